@@ -59,5 +59,17 @@ def sql_round(expr: str, digits: int) -> str:
             f" AS DOUBLE)")
 
 
+def r6(col):
+    """Spark side of the comparison rounding: first to 9 digits (removes the
+    summation-order noise of floating sums), then to 6."""
+    from pyspark.sql import functions as F
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(F.round(c, 9), 6)
+
+
+def sql_r6(expr: str) -> str:
+    return sql_round(sql_round(expr, 9), 6)
+
+
 def with_views(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
