@@ -40,6 +40,7 @@ def iot(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("event_id") * 7) % 1010 / F.lit(10.0)).alias("humidity"),
         (F.lit(780) + F.col("event_id") % 450).cast("double").alias("pressure"),
         (F.col("value") / 2).alias("vibration"),
+        "user_id", "event_type", "props",
     )
 
 
@@ -52,7 +53,8 @@ iot AS (
          round(value - 20, 2) AS temperature,
          CAST((event_id * 7) % 1010 AS DOUBLE) / 10 AS humidity,
          CAST(780 + event_id % 450 AS DOUBLE) AS pressure,
-         value / 2 AS vibration
+         value / 2 AS vibration,
+         user_id, event_type, props
   FROM events)"""
 
 
