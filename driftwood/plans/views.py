@@ -17,7 +17,22 @@ PROTOCOLS = ["MQTT", "SNMP", "CoAP", "TCP", "WebSocket"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A small file with one row group is read by a single task, and every
+    row-level operator above it (JSON, VARIANT, regexes) would run on one
+    core. Then a round-robin repartition of the pruned columns is cheap and
+    uses all cores. Inputs with many splits (the normal case at scale) are
+    returned unchanged, so no shuffle is added there.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def _protocol_of(n: Column) -> Column:
