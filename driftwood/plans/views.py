@@ -41,7 +41,11 @@ def _protocol_of(n: Column) -> Column:
 
 def iot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device readings derived from ``events`` (one row per event)."""
-    ev = table(spark, sf_dir, "events")
+    return iot_from(table(spark, sf_dir, "events"))
+
+
+def iot_from(ev: DataFrame) -> DataFrame:
+    """The ``iot`` projection of an events frame (batch or stream)."""
     dev = F.col("user_id") % 5
     event_time = F.expr(
         f"timestamp_micros({T0_US} + (unix_micros(cast(ts as timestamp)) - {T0_US}) "
@@ -76,7 +80,11 @@ iot AS (
 def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call-detail records derived from ``events``: msisdn = user, domain =
     event type, a record lasts ``floor(value)`` minutes."""
-    ev = table(spark, sf_dir, "events")
+    return cdr_from(table(spark, sf_dir, "events"))
+
+
+def cdr_from(ev: DataFrame) -> DataFrame:
+    """The ``cdr`` projection of an events frame (batch or stream)."""
     start_us = F.unix_micros(F.col("ts").cast("timestamp"))
     return ev.select(
         F.col("user_id").alias("msisdn"),
