@@ -24,6 +24,20 @@ def read_cdr_csv(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
+def split_corrupt(df: DataFrame, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """(clean rows, quarantined rows) of a permissive CSV/JSON scan.
+
+    Spark rejects queries on a raw scan that read only the corrupt-record
+    column, so the parsed scan is first materialised with a reliable
+    ``checkpoint()`` in the shared checkpoint folder (which also cuts the
+    lineage: both outputs are read from it, the source is parsed once)."""
+    df = df.checkpoint(eager=True)
+    cols = df.columns
+    bad = df.where(F.col(corrupt).isNotNull()).select(*cols)
+    good = df.where(F.col(corrupt).isNull()).select(*[c for c in cols if c != corrupt])
+    return good, bad
+
+
 def read_pairs_text(text_df: DataFrame, file_col: str = "file",
                     value_col: str = "value") -> DataFrame:
     """SRC-2 on rows of whole texts: line 1 is the case count ``T``, then
@@ -32,7 +46,7 @@ def read_pairs_text(text_df: DataFrame, file_col: str = "file",
     a bad count gives no cases and ``error`` set on a single row.
     """
     lines = F.split(F.regexp_replace(F.trim(F.col(value_col)), r"\r\n", "\n"), "\n")
-    t = F.try_cast(F.trim(F.element_at(lines, 1)), "int")
+    t = F.trim(F.element_at(lines, 1)).try_cast("int")
     base = text_df.select(F.col(file_col).alias("file"), lines.alias("_lines"),
                           t.alias("_t"))
     cases = base.where(F.col("_t") > 0).select(
