@@ -78,6 +78,18 @@ def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
     Rows with a null key, start or end cannot be placed and are left out
     (they fall out of grouping in the reference too). ``order`` breaks ties
     on equal starts.
+
+    Plan (previous-record rule): one shuffle of the records on (key, bucket)
+    and one ordered pass computes each row's local break flag and running
+    count; a per-bucket aggregate over that same partitioning (no second
+    shuffle) yields the bucket's first start, last end and break count; a
+    window over that small table gives each bucket its carry-in and call
+    offset, joined back on (key, bucket). Only a bucket's first row depends
+    on earlier buckets, so the records are read and shuffled once.
+
+    The running-max rule needs the largest earlier end for every row, so it
+    first aggregates each bucket's largest end (a partial aggregate, small
+    shuffle), then makes the same ordered pass with that carry.
     """
     if gap_from not in ("previous", "running_max"):
         raise ValueError("gap_from must be 'previous' or 'running_max'")
@@ -85,51 +97,54 @@ def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
     bucket_us = interval_micros(bucket)
     keys = tuple(keys)
     order_cols = [start, *[c for c in order if c != start]]
+    kb = [*keys, "_b"]
 
     placeable = reduce(lambda a, b: a & b,
                        [F.col(c).isNotNull() for c in (*keys, start, end)])
-    d = df.where(placeable)
-    d = (d.withColumn("_s_us", F.unix_micros(start))
-          .withColumn("_e_us", F.unix_micros(end))
-          .withColumn("_b", F.floor(F.col("_s_us") / F.lit(bucket_us)).cast("long")))
-
-    # Per-(key, bucket) summary: what a later bucket needs to know.
+    d = (df.where(placeable)
+           .withColumn("_s_us", F.unix_micros(start))
+           .withColumn("_e_us", F.unix_micros(end))
+           .withColumn("_b", F.floor(F.col("_s_us") / F.lit(bucket_us)).cast("long")))
+    local = Window.partitionBy(*kb).orderBy(*order_cols)
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
-    summary = (d.groupBy(*keys, "_b")
-                .agg(F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e"),
-                     F.max("_e_us").alias("_max_e")))
-    if gap_from == "previous":
-        summary = summary.withColumn("_carry", F.lag("_last_e").over(by_bucket))
-    else:
-        summary = summary.withColumn(
-            "_carry", F.max("_max_e").over(
-                by_bucket.rowsBetween(Window.unboundedPreceding, -1)))
-    summary = summary.select(*keys, "_b", "_carry")
+    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
 
-    local = Window.partitionBy(*keys, "_b").orderBy(*order_cols)
-    if gap_from == "previous":
-        prev_local = F.lag("_e_us").over(local)
-    else:
-        prev_local = F.max("_e_us").over(local.rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("_prev_local", prev_local).join(summary, [*keys, "_b"], "left")
     if gap_from == "previous":
-        prev = F.coalesce(F.col("_prev_local"), F.col("_carry"))
+        d = d.withColumn("_prev", F.lag("_e_us").over(local))
+        d = d.withColumn("_flag", F.when(F.col("_s_us") - F.col("_prev") > F.lit(gap_us),
+                                         F.lit(1)).otherwise(F.lit(0)))
+        d = d.withColumn("_local_no", F.sum("_flag").over(running))
+        summary = (d.groupBy(*kb)
+                    .agg(F.min("_s_us").alias("_first_s"),
+                         F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e"),
+                         F.sum("_flag").alias("_n"))
+                    .withColumn("_carry", F.lag("_last_e").over(by_bucket))
+                    .withColumn("_first_flag",
+                                F.when(F.col("_first_s") - F.col("_carry") > F.lit(gap_us),
+                                       F.lit(1)).otherwise(F.lit(0)))
+                    .withColumn("_offset",
+                                F.coalesce(F.sum(F.col("_n") + F.col("_first_flag")).over(before),
+                                           F.lit(0)) + F.col("_first_flag"))
+                    .select(*kb, "_offset"))
     else:
-        prev = F.greatest(F.col("_prev_local"), F.col("_carry"))
-    d = d.withColumn("_flag", F.when(F.col("_s_us") - prev > F.lit(gap_us), F.lit(1))
-                     .otherwise(F.lit(0)))
-    d = d.withColumn("_local_no", F.sum("_flag").over(
-        local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    # Calls opened in earlier buckets of the same key.
-    offsets = (d.groupBy(*keys, "_b").agg(F.sum("_flag").alias("_n"))
-                .withColumn("_offset", F.coalesce(F.sum("_n").over(
-                    by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .select(*keys, "_b", "_offset"))
-    d = d.join(offsets, [*keys, "_b"], "left")
+        carry = (d.groupBy(*kb).agg(F.max("_e_us").alias("_max_e"))
+                  .withColumn("_carry", F.max("_max_e").over(before))
+                  .select(*kb, "_carry"))
+        d = d.join(carry, kb, "left")
+        prev = F.greatest(F.max("_e_us").over(
+            local.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
+        d = d.withColumn("_prev", prev)
+        d = d.withColumn("_flag", F.when(F.col("_s_us") - F.col("_prev") > F.lit(gap_us),
+                                         F.lit(1)).otherwise(F.lit(0)))
+        d = d.withColumn("_local_no", F.sum("_flag").over(running))
+        summary = (d.groupBy(*kb).agg(F.sum("_flag").alias("_n"))
+                    .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+                    .select(*kb, "_offset"))
+
+    d = d.join(summary, kb, "left")
     d = d.withColumn(out, (F.col("_offset") + F.col("_local_no")).cast("long"))
-    return d.drop("_s_us", "_e_us", "_b", "_carry", "_prev_local", "_flag",
-                  "_local_no", "_offset")
+    return d.drop("_s_us", "_e_us", "_b", "_carry", "_prev", "_flag", "_local_no", "_offset")
 
 
 def call_aggregates(sessions: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),

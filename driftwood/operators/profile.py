@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.operators.quality import ISO_8601
+from driftwood.session import ensure_checkpoint_dir
 
 SAMPLE_CAP = 100          # distinct values kept per field (fixed value)
 
@@ -114,17 +115,24 @@ def profile_fields(df: DataFrame, msg: str = "msg", cap: int = SAMPLE_CAP,
     keeps the ``cap`` smallest of those; a field with billions of distinct
     values is never sorted in one task.
     """
+    # One aggregate over the exploded fields (repeated values collapse
+    # before the shuffle), materialised with a reliable checkpoint in the
+    # shared checkpoint folder: the four statistics below read it, so the
+    # messages are parsed once and a lost executor does not re-parse them.
     kv = field_values(df, msg)
-    stats = kv.groupBy("field").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.count_if("is_null").alias("null_count"))
-    types = (kv.where(~F.col("is_null")).groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    d = (kv.groupBy("field", "type", "is_null", "text").agg(F.count(F.lit(1)).alias("n"))
+           .checkpoint(eager=True))
+    stats = d.groupBy("field").agg(
+        F.sum("n").alias("count"),
+        F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(F.lit(0))).alias("null_count"))
+    types = (d.where(~F.col("is_null")).groupBy("field", "type").agg(F.sum("n").alias("n"))
                .groupBy("field")
                .agg(F.array_join(F.transform(
                    F.array_sort(F.collect_list(F.struct("type", "n"))),
                    lambda e: F.concat(e["type"], F.lit("="), e["n"].cast("string"))), ",")
                     .alias("type_distribution")))
-    distinct = kv.where(~F.col("is_null")).select("field", "text").distinct()
+    distinct = d.where(~F.col("is_null")).select("field", "text").distinct()
     ndist = distinct.groupBy("field").agg(F.count(F.lit(1)).alias("_d"))
     bucket = Window.partitionBy("field", "_s").orderBy("text")
     whole = Window.partitionBy("field").orderBy("text")
