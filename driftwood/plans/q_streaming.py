@@ -24,6 +24,8 @@ WATERMARK_US = C.interval_micros(WATERMARK)
 
 def events_stream(spark, sf_dir):
     """The events table as a file stream (same rows, streaming plan)."""
+    from driftwood.plans.views import utc
+    utc(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return (spark.readStream.schema(schema)
             .option("pathGlobFilter", "events.parquet")

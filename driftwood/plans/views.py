@@ -16,7 +16,15 @@ TIME_COMPRESSION = 100            # events' 30 days squeezed into ~7 hours
 PROTOCOLS = ["MQTT", "SNMP", "CoAP", "TCP", "WebSocket"]
 
 
+def utc(spark: SparkSession) -> None:
+    """The data model is UTC (driver tables hold wall-clock TIMESTAMP_NTZ
+    values read as UTC instants); pin the session zone before planning."""
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    utc(spark)
     return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 

@@ -56,12 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only invent one when
     it is unset, which happens in local tests.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - an unreadable conf counts as unset
+            root = None
     if not root:
+        # Unset: only in local tests. A cluster names its shared folder.
         root = tempfile.mkdtemp(prefix="driftwood-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -2,9 +2,10 @@
 
 source (Kafka or file stand-in) -> parse envelope -> flatten -> metrics ->
 watermark -> three sliding-window aggregates -> ONE ``foreachBatch`` that
-writes window results, anomalies, health scores and the quarantine (D13:
+writes window results, anomalies, health scores and runs user hooks (D13:
 the original started four queries that each re-read the source and
-recomputed the windows).
+recomputed the windows). Rows that cannot enter the windows go to a
+quarantine by a second, stateless query partitioned by reason (SNK-9).
 
 Fault tolerance: offsets and window state live in the checkpoint (under the
 cluster's shared ``spark.checkpoint.dir``); each batch writes its outputs
@@ -130,9 +131,18 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str,
     shared checkpoint folder and return what was written, as a batch frame."""
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.outputMode(output_mode).format("parquet")
-           .option("checkpointLocation", ckpt).option("path", out)
-           .trigger(availableNow=True).start())
+    # State partitions are fixed when a checkpoint is created; this drain
+    # owns a fresh one, so size them to the cluster instead of inheriting a
+    # batch-oriented shuffle setting.
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        q = (df.writeStream.outputMode(output_mode).format("parquet")
+               .option("checkpointLocation", ckpt).option("path", out)
+               .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, saved)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
