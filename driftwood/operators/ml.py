@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwood.session import ensure_checkpoint_dir
+
 FEATURES = ("temperature", "humidity", "pressure", "vibration")
 N_TREES = 100
 SAMPLE = 256
@@ -167,6 +169,8 @@ def fit_forests(df: DataFrame, key: str = "device_id", features=FEATURES,
     """ML-2/3: returns (scaler, models). ``order_key`` identifies rows for
     the seeded hash sample (deterministic for a given seed)."""
     scaler = device_scaler(df, key, features).where(F.col("n") >= min_rows)
+    ensure_checkpoint_dir(df.sparkSession)
+    scaler = scaler.checkpoint(eager=True)
     z = scaled(df, scaler, key, features)
     cap = n_trees * sample
     rank = Window.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), F.col(order_key)), order_key)
@@ -189,6 +193,11 @@ def fit_forests(df: DataFrame, key: str = "device_id", features=FEATURES,
                              "trees": [_pack(trees)]})
 
     models = train.groupBy(key).applyInPandas(fit, schema=MODEL_SCHEMA)
+    # Fitting is an action, as an estimator's fit is: the scaler and the
+    # forests are written once (reliable checkpoints in the shared folder),
+    # so scoring reads them instead of retraining, and a lost executor does
+    # not retrain either.
+    models = models.checkpoint(eager=True)
     return scaler, models
 
 
