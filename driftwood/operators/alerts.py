@@ -153,23 +153,22 @@ def system_health(active: DataFrame) -> DataFrame:
 
 def dashboard(points: DataFrame, state: DataFrame, as_of: Column, key_metrics,
               panel_minutes: int = 15) -> DataFrame:
-    """ALR-6: one JSON document of bounded size: health, key-metric
-    summaries (at most ``len(key_metrics)`` rows) and the last 10 alerts."""
+    """ALR-6: the dashboard as one JSON row per section (``system_health``,
+    ``performance_metrics``, ``active_alerts``), each of bounded size: the
+    health counts, at most ``len(key_metrics)`` summaries, the last 10
+    alerts. Sections are unioned, not joined."""
     active = active_alerts(state)
-    health = system_health(active)
-    panel = metric_summary(points, as_of, panel_minutes, names=list(key_metrics))
-    last = last_alerts(active)
-    metrics_doc = panel.agg(F.map_from_entries(F.collect_list(F.struct(
-        "name", F.struct("count", "min", "max", "avg", "latest")))).alias("performance_metrics"))
-    alerts_doc = last.agg(F.collect_list(F.struct(
-        "id", "created_at", "severity", "component", "message")).alias("active_alerts"))
-    # Three single-row frames: joining them on a constant key is row-bound.
-    one = F.lit(1)
-    doc = (health.withColumn("_k", one)
-                 .join(metrics_doc.withColumn("_k", one), "_k")
-                 .join(alerts_doc.withColumn("_k", one), "_k"))
-    return doc.select(F.to_json(F.struct(
-        as_of.alias("timestamp"),
-        F.struct("status", "total_alerts", "critical_alerts", "warning_alerts")
-         .alias("system_health"),
-        "performance_metrics", "active_alerts")).alias("dashboard"))
+    health = system_health(active).select(
+        F.lit("system_health").alias("section"),
+        F.to_json(F.struct("status", "total_alerts", "critical_alerts", "warning_alerts"))
+         .alias("json"))
+    panel = metric_summary(points, as_of, panel_minutes, names=list(key_metrics)).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(
+            "name", F.struct("count", "min", "max", "avg", "latest"))))).alias("json")
+    ).select(F.lit("performance_metrics").alias("section"), "json")
+    alerts = last_alerts(active).agg(
+        F.to_json(F.collect_list(F.struct("id", "created_at", "severity", "component",
+                                          "message"))).alias("json")
+    ).select(F.lit("active_alerts").alias("section"), "json")
+    return (health.unionByName(panel).unionByName(alerts)
+                  .withColumn("timestamp", as_of))

@@ -10,7 +10,7 @@ largest end seen so far (``gap_from="running_max"``, the rule that Spark's
 
 Scale: a single msisdn may carry a large share of all records, so the window
 is never partitioned by the key alone. Records are split by (key, time
-bucket of start); each bucket is ordered locally and only a tiny per-bucket
+bucket of start, 10 minutes by default); each bucket is ordered locally and only a tiny per-bucket
 summary (last end, largest end, number of call breaks) crosses bucket
 boundaries. The summary has one row per (key, bucket); joining it back is
 broadcast by adaptive execution when it is small and shuffle-joined on the
@@ -72,7 +72,7 @@ def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
                start: str = "start_dt", end: str = "end_dt",
                gap: str = CALL_GAP, gap_from: str = "previous",
                order: tuple[str, ...] = ("end_dt", "ulvolume", "dlvolume"),
-               bucket: str = "1 hour", out: str = "call_no") -> DataFrame:
+               bucket: str = "10 minutes", out: str = "call_no") -> DataFrame:
     """WIN-1/2: number the calls of each key (0, 1, 2, ... in start order).
 
     Rows with a null key, start or end cannot be placed and are left out
@@ -200,7 +200,7 @@ def classify_calls(calls: DataFrame, bitrate_unit: str = "reference",
 def analyze_calls(records: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
                   bitrate_unit: str = "reference", order: tuple[str, ...] =
                   ("end_dt", "ulvolume", "dlvolume"), gap_from: str = "previous",
-                  bucket: str = "1 hour") -> DataFrame:
+                  bucket: str = "10 minutes") -> DataFrame:
     """Parsed records (start_dt, end_dt, volumes) -> classified calls."""
     trimmed = idle_trim(records)
     sessions = sessionize(trimmed, keys=keys, order=order, gap_from=gap_from,

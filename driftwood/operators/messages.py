@@ -66,6 +66,26 @@ def parse_envelope(kafka_rows: DataFrame, schema: T.StructType = ENVELOPE_SCHEMA
                          F.col("_m.timestamp").alias("envelope_ts"), F.col("_m.data").alias("message"))
 
 
+def consumer_records(kafka_rows: DataFrame, schema: T.StructType = ENVELOPE_SCHEMA) -> DataFrame:
+    """SRC-4: the consumer's record view: UTF-8 key, decoded JSON value,
+    headers as a string map, Kafka coordinates and the record time as ISO
+    text (a source that delivers epoch milliseconds converts them with
+    ``timestamp_millis``, SCL-18)."""
+    ts = F.col("timestamp")
+    if isinstance(kafka_rows.schema["timestamp"].dataType, T.LongType):
+        ts = F.timestamp_millis(ts)
+    headers = F.map_from_entries(F.transform(
+        F.coalesce(F.col("headers"), F.array().cast(
+            "array<struct<key:string,value:binary>>")),
+        lambda h: F.struct(h["key"], h["value"].cast("string"))))
+    return kafka_rows.select(
+        "topic", "partition", "offset",
+        F.col("key").cast("string").alias("key"),
+        F.from_json(F.col("value").cast("string"), schema).alias("value"),
+        headers.alias("headers"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("timestamp"))
+
+
 def flatten_messages(parsed: DataFrame, processing_time: Column | None = None) -> DataFrame:
     """PRJ-2 + FLT-1: device_id, protocol, sensor map, metadata map, event
     time (message timestamp, else the envelope's: D1), processing time."""

@@ -197,3 +197,31 @@ def shift_nested(spark, sf_dir):
                     "s.metrics.humidity", "s.metrics.pressure", "s.geo_location.latitude",
                     "s.geo_location.longitude",
                     M.map_text(F.col("s.device_metadata")).alias("device_metadata"))
+
+
+# Consumer view of the produced rows: partition = event_id % 6, offset =
+# event_id div 6, record time = the event time in epoch milliseconds.
+@register("kafka_consumer_records", _SQL_MSG + """
+SELECT topic, event_id % 6 AS partition, event_id // 6 AS offset, dev AS key,
+       dev AS device_id, 'source=events' AS headers,
+       strftime(make_timestamp((epoch_us(event_time) // 1000) * 1000), '%Y-%m-%dT%H:%M:%S.%g')
+         AS timestamp
+FROM msg""")
+def kafka_consumer_records(spark, sf_dir):
+    m = message_rows(spark, sf_dir)
+    envelope = F.to_json(F.struct(
+        M.iso_text(F.col("event_time")).alias("timestamp"),
+        F.struct("timestamp", "device_id", "protocol", "data", "metadata").alias("data")))
+    produced = m.select(
+        F.col("device_id").cast("binary").alias("key"),
+        envelope.cast("binary").alias("value"),
+        "topic",
+        (F.col("event_id") % 6).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 6).cast("long").alias("offset"),
+        F.floor(F.unix_micros("event_time") / 1000).cast("long").alias("timestamp"),
+        F.array(F.struct(F.lit("source").alias("key"),
+                         F.lit("events").cast("binary").alias("value"))).alias("headers"))
+    c = M.consumer_records(produced)
+    return c.select("topic", "partition", "offset", "key",
+                    F.col("value.data.device_id").alias("device_id"),
+                    M.map_text(F.col("headers")).alias("headers"), "timestamp")

@@ -188,6 +188,15 @@ def system_health(spark, sf_dir):
     return AL.system_health(AL.active_alerts(_state(spark, sf_dir)))
 
 
+@register("dashboard")
+def dashboard(spark, sf_dir):
+    """ALR-6, rows-only: its parts have oracles (system_health,
+    metric_key_panel, alert_last10); the JSON document has none."""
+    p = points(spark, sf_dir)
+    return AL.dashboard(p, _state(spark, sf_dir), latest_time(p), MT.KEY_METRICS) \
+             .withColumn("timestamp", F.unix_micros("timestamp"))
+
+
 # Timers: every event starts ``<event_type>_<event_id>``; three in four end
 # ``floor(value * 1000)`` ms later; every 9th event also ends an unknown timer.
 def _timers(spark, sf_dir):

@@ -13,7 +13,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"device_iforest"}
+ROWS_ONLY = {"device_iforest", "dashboard"}
 
 
 def test_entry_smoke(spark):
