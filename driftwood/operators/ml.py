@@ -140,19 +140,20 @@ def forest_scores(x: np.ndarray, trees, sample_size: int) -> np.ndarray:
 
 
 def _pack(trees) -> bytes:
+    """All trees as five concatenated arrays plus per-tree node offsets."""
     buf = io.BytesIO()
-    arrays = {}
-    for t, tree in enumerate(trees):
-        for name, arr in zip(("f", "s", "l", "r", "n"), tree):
-            arrays[f"{name}{t}"] = arr
-    np.savez(buf, **arrays)
+    parts = list(zip(*trees))
+    sizes = np.array([len(t[0]) for t in trees], dtype=np.int64)
+    np.savez(buf, offsets=np.concatenate([[0], np.cumsum(sizes)]),
+             **{name: np.concatenate(arrs) for name, arrs in zip("fslrn", parts)})
     return buf.getvalue()
 
 
 def _unpack(blob: bytes):
     z = np.load(io.BytesIO(blob))
-    count = len(z.files) // 5
-    return [tuple(z[f"{name}{t}"] for name in ("f", "s", "l", "r", "n")) for t in range(count)]
+    off = z["offsets"]
+    cols = [z[name] for name in "fslrn"]
+    return [tuple(c[off[t]:off[t + 1]] for c in cols) for t in range(len(off) - 1)]
 
 
 def _device_seed(device: str, seed: int) -> int:

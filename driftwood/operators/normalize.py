@@ -139,10 +139,37 @@ def fold_coap(raw: DataFrame, source: str = "source_id") -> DataFrame:
         _meta(host=F.col("host"), port=F.col("port")).alias("metadata"), "poll_id")
 
 
+def normalize_row_local(raw: DataFrame, source: str = "source_id") -> DataFrame:
+    """MQTT, WebSocket and TCP rows in ONE projection (a per-protocol CASE),
+    so the landing data is read once for all row-local protocols."""
+    r = raw.where(F.col("protocol").isin("MQTT", "WebSocket", "TCP"))
+    text = _text()
+    proto = F.col("protocol")
+    tcp_data = F.when(~F.is_valid_utf8(text), F.create_map(
+        F.lit("raw_binary"), F.lower(F.hex(F.col("payload"))),
+        F.lit("size"), F.octet_length(F.col("payload")).cast("string"))
+    ).otherwise(object_or_wrapped(text, "raw_text"))
+    data = (F.when(proto == "TCP", tcp_data)
+             .otherwise(object_or_wrapped(text, "raw_message")))
+    device = (F.when(proto == "MQTT", device_from_topic(F.col("topic")))
+               .when(proto == "WebSocket", F.coalesce(F.col("device_id"), F.lit("websocket_client")))
+               .otherwise(F.coalesce(F.col("device_id"), F.concat(
+                   F.lit("tcp_"), F.col("host"), F.lit("_"), F.col("port").cast("string")))))
+    metadata = (F.when(proto == "MQTT", _meta(topic=F.col("topic"), qos=F.col("qos"),
+                                              retain=F.lower(F.col("retain").cast("string"))))
+                 .when(proto == "WebSocket", _meta(uri=F.col("uri"),
+                                                   message_size=F.char_length(text)))
+                 .otherwise(_meta(host=F.col("host"), port=F.col("port"),
+                                  data_size=F.octet_length(F.col("payload")))))
+    return r.select(F.col(source).alias("source_id"), device.alias("device_id"),
+                    proto.alias("protocol"), F.col("received_at").alias("timestamp"),
+                    data.alias("data"), metadata.alias("metadata"))
+
+
 def normalize_all(raw: DataFrame, source: str = "source_id") -> DataFrame:
-    """SET-2: one stream of standard messages from every protocol."""
-    parts = [normalize_mqtt(raw, source), normalize_websocket(raw, source),
-             normalize_tcp(raw, source),
+    """SET-2: one stream of standard messages from every protocol: the
+    row-local protocols in one pass, the two poll folds as aggregates."""
+    parts = [normalize_row_local(raw, source),
              fold_snmp(raw, source).select(*MESSAGE_COLUMNS),
              fold_coap(raw, source).select(*MESSAGE_COLUMNS)]
     return reduce(lambda a, b: a.unionByName(b), parts)
