@@ -1,5 +1,5 @@
-"""Row-level data-quality validation (QUA-1..13) and the quality summary
-(AGG-9).
+"""Row-level data-quality validation (QUA-1..13, SET-3) and the quality
+summary (AGG-9).
 
 Messages are dynamic JSON held as VARIANT, so a key that is absent stays
 apart from a key whose value is null, and each value keeps its JSON type.
