@@ -202,7 +202,7 @@ def shift_nested(spark, sf_dir):
 # Consumer view of the produced rows: partition = event_id % 6, offset =
 # event_id div 6, record time = the event time in epoch milliseconds.
 @register("kafka_consumer_records", _SQL_MSG + """
-SELECT topic, event_id % 6 AS partition, event_id // 6 AS offset, dev AS key,
+SELECT topic, CAST(event_id % 6 AS INTEGER) AS partition, event_id // 6 AS offset, dev AS key,
        dev AS device_id, 'source=events' AS headers,
        strftime(make_timestamp((epoch_us(event_time) // 1000) * 1000), '%Y-%m-%dT%H:%M:%S.%g')
          AS timestamp

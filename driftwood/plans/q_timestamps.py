@@ -59,7 +59,7 @@ def timestamp_diff_query(spark, sf_dir):
 
 @register("timestamp_case_array", _SQL_CASES + """
 SELECT file, case_id // 10000 AS chunk,
-       to_json(list(CAST(diff_seconds AS VARCHAR) ORDER BY case_id)) AS results,
+       CAST(to_json(list(CAST(diff_seconds AS VARCHAR) ORDER BY case_id)) AS VARCHAR) AS results,
        count(*) AS n_cases
 FROM diffs GROUP BY file, case_id // 10000""")
 def timestamp_case_array(spark, sf_dir):
