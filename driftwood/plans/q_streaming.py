@@ -18,6 +18,7 @@ from driftwood.plans.q_windows import _wins_sql, compared, sql_compared
 from driftwood.plans.registry import register, with_views
 from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from
 from driftwood.streaming.pipeline import WATERMARK, run_available_now
+from driftwood.streaming.sessions import stream_calls_previous
 
 WATERMARK_US = C.interval_micros(WATERMARK)
 
@@ -110,3 +111,46 @@ def calls_sessionize_running_max(spark, sf_dir):
                     F.unix_micros("call_start").alias("session_start_us"), "fdr_count",
                     "ul_bytes", "dl_bytes", F.unix_micros("call_end").alias("call_end_us"))
 
+
+
+@register("calls_stream_previous", with_views(SQL_CDR, """
+trimmed AS (
+  SELECT *, CASE WHEN end_dt - INTERVAL 10 MINUTE < start_dt THEN end_dt
+                 ELSE end_dt - INTERVAL 10 MINUTE END AS adjusted_end_dt
+  FROM cdr
+  WHERE msisdn IS NOT NULL AND domain IS NOT NULL
+    AND start_dt IS NOT NULL AND end_dt IS NOT NULL)""", """
+flagged AS (
+  SELECT *, CASE WHEN epoch_us(start_dt) - epoch_us(lag(end_dt) OVER w) > 300000000
+                 THEN 1 ELSE 0 END AS new_call
+  FROM trimmed
+  WINDOW w AS (PARTITION BY msisdn, domain
+               ORDER BY start_dt, end_dt, ulvolume, dlvolume, event_id))""", """
+sessions AS (
+  SELECT *, sum(new_call) OVER (PARTITION BY msisdn, domain
+               ORDER BY start_dt, end_dt, ulvolume, dlvolume, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS call_no
+  FROM flagged)""", """
+ordered AS (
+  SELECT *, last_value(epoch_us(end_dt)) OVER (
+              PARTITION BY msisdn, domain, call_no
+              ORDER BY start_dt, end_dt, ulvolume, dlvolume, event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_e
+  FROM sessions)""", """
+calls AS (
+  SELECT msisdn, domain, CAST(call_no AS BIGINT) AS call_no,
+         min(epoch_us(start_dt)) AS call_start_us, max(epoch_us(adjusted_end_dt)) AS call_end_us,
+         count(*) AS fdr_count, CAST(sum(ulvolume) AS BIGINT) AS ul_bytes,
+         CAST(sum(dlvolume) AS BIGINT) AS dl_bytes, max(last_e) AS last_e
+  FROM ordered GROUP BY msisdn, domain, call_no)""") + f"""
+SELECT msisdn, domain, call_no, call_start_us, call_end_us, fdr_count, ul_bytes, dl_bytes
+FROM calls
+WHERE ((SELECT max(epoch_us(start_dt)) FROM cdr) // 1000 - {WATERMARK_US // 1000}) * 1000 - last_e
+      > {C.interval_micros(C.CALL_GAP)}""")
+def calls_stream_previous(spark, sf_dir):
+    """STR-10 with the previous-record rule on a stream: a custom stateful
+    operator (``applyInPandasWithState``, event-time timeouts)."""
+    rec = C.idle_trim(cdr_from(events_stream(spark, sf_dir)))
+    rec = rec.where(F.col("msisdn").isNotNull() & F.col("domain").isNotNull()
+                    & F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
+    return run_available_now(stream_calls_previous(rec, WATERMARK), spark, "calls-previous")
