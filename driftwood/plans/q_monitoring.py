@@ -40,8 +40,11 @@ def points(spark, sf_dir):
 
 
 def latest_time(df):
-    """``as_of`` = the latest point time, as a scalar subquery."""
-    return df.agg(F.max("ts")).scalar()
+    """``as_of`` = the latest point time. In production ``as_of`` is "now";
+    here it comes from the data, fetched once as one number (epoch
+    microseconds, time-zone safe) so the bounds are literals that prune."""
+    us = df.agg(F.max(F.unix_micros("ts"))).first()[0]
+    return F.timestamp_micros(F.lit(us))
 
 
 _SQL_POINTS = f"""
