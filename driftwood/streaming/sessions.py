@@ -24,7 +24,6 @@ dropped, as in Spark's own stateful operators.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,56 +52,56 @@ def stream_calls_previous(records: DataFrame, watermark: str = "10 minutes",
                            F.col("ulvolume").alias("ul"), F.col("dlvolume").alias("dl"),
                            F.col(tiebreak).alias("tb")))
 
+    cols = ["s", "e", "a", "ul", "dl", "tb"]
+
     def step(key, batches, state):
+        # Plain tuples, not pandas, per key: a key holds a handful of rows
+        # per batch, and per-call pandas overhead would dominate.
         msisdn, domain = key
         if state.exists:
             (ps, pe, pa, pul, pdl, pid, has_open, call_no, c_start, c_end,
              last_e, c_n, c_ul, c_dl) = state.get
-            pend = pd.DataFrame({"s": list(ps), "e": list(pe), "a": list(pa),
-                                 "ul": list(pul), "dl": list(pdl), "tb": list(pid)})
+            pend = list(zip(ps, pe, pa, pul, pdl, pid))
         else:
-            pend = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("s", "e", "a", "ul", "dl", "tb")})
+            pend = []
             has_open, call_no, c_start, c_end, last_e, c_n, c_ul, c_dl = (
                 False, -1, 0, 0, 0, 0, 0, 0)
         wm = state.getCurrentWatermarkMs() * 1000
-        fresh = [b[["s", "e", "a", "ul", "dl", "tb"]] for b in batches if len(b)]
-        if fresh:
-            new = pd.concat(fresh, ignore_index=True).astype("int64")
-            if wm > 0:
-                new = new[new["s"] >= wm]          # late records
-            pend = pd.concat([pend, new], ignore_index=True) if len(pend) else new
-        pend = pend.sort_values(["s", "e", "ul", "dl", "tb"], kind="mergesort")
-        ready = pend[pend["s"] < wm] if wm > 0 else pend.iloc[0:0]
-        pend = pend[pend["s"] >= wm] if wm > 0 else pend
+        for b in batches:
+            if len(b):
+                new = b[cols].to_numpy(dtype="int64").tolist()
+                pend.extend(r for r in new if wm <= 0 or r[0] >= wm)   # drop late
+        pend.sort(key=lambda r: (r[0], r[1], r[3], r[4], r[5]))
+        if wm > 0:
+            ready = [r for r in pend if r[0] < wm]
+            pend = [r for r in pend if r[0] >= wm]
+        else:
+            ready = []
         out = []
-
-        def close():
-            out.append((msisdn, domain, call_no, c_start, c_end, c_n, c_ul, c_dl))
-
-        for s, e, a, ul, dl in ready[["s", "e", "a", "ul", "dl"]].itertuples(index=False):
-            if has_open and s - last_e > gap_us:
-                close()
+        for s_, e_, a_, ul_, dl_, _ in ready:
+            if has_open and s_ - last_e > gap_us:
+                out.append((msisdn, domain, call_no, c_start, c_end, c_n, c_ul, c_dl))
                 has_open = False
             if not has_open:
                 has_open, call_no = True, call_no + 1
-                c_start, c_end, c_n, c_ul, c_dl = s, a, 0, 0, 0
-            c_start, c_end = min(c_start, s), max(c_end, a)
-            c_n, c_ul, c_dl, last_e = c_n + 1, c_ul + ul, c_dl + dl, e
+                c_start, c_end, c_n, c_ul, c_dl = s_, a_, 0, 0, 0
+            c_start, c_end = min(c_start, s_), max(c_end, a_)
+            c_n, c_ul, c_dl, last_e = c_n + 1, c_ul + ul_, c_dl + dl_, e_
         if has_open and wm > 0 and wm - last_e > gap_us:
-            close()
+            out.append((msisdn, domain, call_no, c_start, c_end, c_n, c_ul, c_dl))
             has_open = False
-        if not has_open and not len(pend):
+        if not has_open and not pend:
             if state.exists:
                 state.remove()
         else:
-            state.update((pend["s"].tolist(), pend["e"].tolist(), pend["a"].tolist(),
-                          pend["ul"].tolist(), pend["dl"].tolist(), pend["tb"].tolist(),
-                          bool(has_open), int(call_no), int(c_start), int(c_end), int(last_e),
-                          int(c_n), int(c_ul), int(c_dl)))
+            cols_t = list(zip(*pend)) if pend else [[]] * 6
+            state.update(tuple(list(c) for c in cols_t) + (
+                bool(has_open), int(call_no), int(c_start), int(c_end), int(last_e),
+                int(c_n), int(c_ul), int(c_dl)))
             wake = [last_e + gap_us + 1] if has_open else []
-            if len(pend):
-                wake.append(int(pend["s"].min()) + 1)
-            state.setTimeoutTimestamp(max(int(np.ceil(min(wake) / 1000)), wm // 1000 + 1))
+            if pend:
+                wake.append(pend[0][0] + 1)
+            state.setTimeoutTimestamp(max(-(-min(wake) // 1000), wm // 1000 + 1))
         if out:
             yield pd.DataFrame(out, columns=["msisdn", "domain", "call_no", "call_start_us",
                                              "call_end_us", "fdr_count", "ul_bytes", "dl_bytes"])
