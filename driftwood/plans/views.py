@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+# A file that yields too few splits is at most one or a few row groups (a few
+# hundred MB): 64 partitions use a large share of a small cluster without
+# turning it into thousands of tiny tasks on a large one.
+BALANCE_CAP = 64
+
+
 def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
@@ -37,7 +43,7 @@ def balanced(df: DataFrame) -> DataFrame:
     uses all cores. Inputs with many splits (the normal case at scale) are
     returned unchanged, so no shuffle is added there.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    target = min(df.sparkSession.sparkContext.defaultParallelism, BALANCE_CAP)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
