@@ -105,14 +105,19 @@ def evaluate_rules(points: DataFrame, rules: DataFrame, as_of: Column,
 def alert_state(log: DataFrame) -> DataFrame:
     """WIN-5 / JOI-4 / ALR-5: one row per alert id with its latest create
     and whether a later resolve exists. ``log`` has (id, action, ts, seq,
-    severity, component, message)."""
+    severity, component, message).
+
+    One aggregate on ``id`` (one read of the log, no join): the latest
+    create by ``max_by`` over create rows only, the latest resolve by a
+    conditional ``max``; ids that were never created drop out."""
     key = F.struct("ts", "seq")
-    created = (log.where(F.col("action") == "create").groupBy("id")
-                  .agg(F.max_by(F.struct("ts", "seq", "severity", "component", "message"), key)
-                       .alias("c")))
-    resolved = (log.where(F.col("action") == "resolve").groupBy("id")
-                   .agg(F.max(key).alias("r")))
-    j = created.join(resolved, "id", "left")
+    is_create = F.col("action") == "create"
+    g = log.groupBy("id").agg(
+        F.max_by(F.struct("ts", "seq", "severity", "component", "message"),
+                 F.when(is_create, key)).alias("c"),
+        F.max(F.when(F.col("action") == "resolve", key)).alias("r"),
+        F.count_if(is_create).alias("_creates"))
+    j = g.where(F.col("_creates") > 0)
     is_resolved = F.coalesce(
         (F.col("r.ts") > F.col("c.ts")) | ((F.col("r.ts") == F.col("c.ts")) & (F.col("r.seq") > F.col("c.seq"))),
         F.lit(False))
