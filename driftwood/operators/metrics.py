@@ -60,13 +60,16 @@ def retain_last(points: DataFrame, n: int = RETAIN_POINTS) -> DataFrame:
     return points.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
-def timer_durations(starts: DataFrame, ends: DataFrame) -> DataFrame:
+def timer_durations(timer_events: DataFrame) -> DataFrame:
     """MET-1 / JOI-3: ``performance.<operation>.duration_ms`` for timers
-    that started and ended; an end without a start is ignored. The
-    operation is the timer id without its last ``_suffix``."""
-    s = starts.groupBy("timer_id").agg(F.max("ts").alias("start_ts"))
-    e = ends.groupBy("timer_id").agg(F.min("ts").alias("end_ts"))
-    j = s.join(e, "timer_id", "inner").where(F.col("end_ts") >= F.col("start_ts"))
+    that started and ended, from one log of ``(timer_id, phase, ts)`` with
+    phase ``start`` or ``end``. The match is one aggregate on the timer id
+    (latest start, first end), not a join; an end without a start is
+    ignored. The operation is the timer id without its last ``_suffix``."""
+    g = timer_events.groupBy("timer_id").agg(
+        F.max(F.when(F.col("phase") == "start", F.col("ts"))).alias("start_ts"),
+        F.min(F.when(F.col("phase") == "end", F.col("ts"))).alias("end_ts"))
+    j = g.where(F.col("start_ts").isNotNull() & (F.col("end_ts") >= F.col("start_ts")))
     op = F.regexp_replace("timer_id", "_[^_]*$", "")
     return j.select(
         "timer_id",

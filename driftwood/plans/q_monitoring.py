@@ -201,17 +201,21 @@ def dashboard(spark, sf_dir):
 
 
 # Timers: every event starts ``<event_type>_<event_id>``; three in four end
-# ``floor(value * 1000)`` ms later; every 9th event also ends an unknown timer.
-def _timers(spark, sf_dir):
+# ``floor(value * 1000)`` ms later; every 9th event also ends an unknown
+# timer. One scan yields the whole timer log (start, end and stray end rows).
+def _timer_log(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     tid = F.concat(F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"))
-    starts = ev.select(tid.alias("timer_id"), ts.alias("ts"))
     end_ts = F.timestamp_micros(F.unix_micros(ts) + F.floor(F.col("value") * 1000).cast("long") * 1000)
-    ends = ev.where(F.col("event_id") % 4 != 0).select(tid.alias("timer_id"), end_ts.alias("ts"))
-    ghosts = ev.where(F.col("event_id") % 9 == 0).select(
-        F.concat(F.lit("ghost_"), F.col("event_id").cast("string")).alias("timer_id"), ts.alias("ts"))
-    return starts, ends.unionByName(ghosts)
+    rows = F.array_compact(F.array(
+        F.struct(tid.alias("timer_id"), F.lit("start").alias("phase"), ts.alias("ts")),
+        F.when(F.col("event_id") % 4 != 0,
+               F.struct(tid.alias("timer_id"), F.lit("end").alias("phase"), end_ts.alias("ts"))),
+        F.when(F.col("event_id") % 9 == 0,
+               F.struct(F.concat(F.lit("ghost_"), F.col("event_id").cast("string")).alias("timer_id"),
+                        F.lit("end").alias("phase"), ts.alias("ts")))))
+    return ev.select(F.inline(rows))
 
 
 @register("timer_durations", """
@@ -221,8 +225,7 @@ SELECT event_type || '_' || CAST(event_id AS VARCHAR) AS timer_id,
        CAST(CAST(floor(value * 1000) AS BIGINT) * 1000 AS DOUBLE) / 1000.0 AS value
 FROM events WHERE event_id % 4 <> 0""")
 def timer_durations(spark, sf_dir):
-    starts, ends = _timers(spark, sf_dir)
-    d = MT.timer_durations(starts, ends)
+    d = MT.timer_durations(_timer_log(spark, sf_dir))
     return d.select("timer_id", "name", F.unix_micros("ts").alias("end_us"), "value")
 
 

@@ -75,10 +75,10 @@ def test_summary_latest_is_last_appended(spark):
 
 
 def test_timers_ignore_unmatched_end(spark):
-    starts = spark.createDataFrame([("ingest_1", T)], "timer_id string, ts timestamp")
-    ends = spark.createDataFrame([("ingest_1", T + dt.timedelta(milliseconds=250)),
-                                  ("ghost_2", T)], "timer_id string, ts timestamp")
-    d = MT.timer_durations(starts, ends).collect()
+    log = spark.createDataFrame([("ingest_1", "start", T),
+                                 ("ingest_1", "end", T + dt.timedelta(milliseconds=250)),
+                                 ("ghost_2", "end", T)], "timer_id string, phase string, ts timestamp")
+    d = MT.timer_durations(log).collect()
     assert [(r.name, r.value) for r in d] == [("performance.ingest.duration_ms", 250.0)]
 
 
