@@ -13,3 +13,4 @@ from driftwood.functions.text import (  # noqa: F401
     topic_pattern_regex,
     topic_matches,
 )
+from driftwood.functions.rows import select_where  # noqa: F401

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwood.functions.rows import select_where
 from driftwood.schemas import ENVELOPE_SCHEMA
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
@@ -91,7 +92,7 @@ def flatten_messages(parsed: DataFrame, processing_time: Column | None = None) -
     time (message timestamp, else the envelope's: D1), processing time."""
     proc = F.current_timestamp() if processing_time is None else processing_time
     extra = [c for c in ("topic", "partition", "offset", "kafka_timestamp") if c in parsed.columns]
-    return parsed.select(
+    return select_where(parsed, [
         *extra,
         F.col("message.device_id").alias("device_id"),
         F.col("message.protocol").alias("protocol"),
@@ -100,24 +101,26 @@ def flatten_messages(parsed: DataFrame, processing_time: Column | None = None) -
         F.coalesce(F.try_to_timestamp(F.col("message.timestamp")),
                    F.try_to_timestamp(F.col("envelope_ts"))).alias("event_time"),
         proc.alias("processing_time"),
-    ).where(F.col("device_id").isNotNull())
+    ], lambda r: r["device_id"].isNotNull())
 
 
-def has_required(message: str = "message") -> Column:
+def has_required(message: Column | str = "message") -> Column:
     """FLT-2: device_id and timestamp present (null counts as missing: D6)."""
-    return F.col(f"{message}.device_id").isNotNull() & F.col(f"{message}.timestamp").isNotNull()
+    m = F.col(message) if isinstance(message, str) else message
+    return m["device_id"].isNotNull() & m["timestamp"].isNotNull()
 
 
 def processed_records(parsed: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """PRJ-6: the forwarded record shape; missing maps become empty maps."""
     at = F.current_timestamp() if processed_at is None else processed_at
     empty = F.create_map().cast(STRING_MAP)
-    return parsed.where(has_required()).select(
+    return select_where(parsed, [
         F.col("message.device_id").alias("device_id"),
         F.col("message.timestamp").alias("timestamp"),
         at.alias("processed_at"),
         F.coalesce(F.col("message.data"), empty).alias("metrics"),
-        F.coalesce(F.col("message.metadata"), empty).alias("metadata"))
+        F.coalesce(F.col("message.metadata"), empty).alias("metadata"),
+    ], has_required)
 
 
 def temperature_alerts(processed: DataFrame, threshold: float = 80.0,
