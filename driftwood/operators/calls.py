@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.functions.timestamps import repair_glued_datetime
+from driftwood.session import ensure_checkpoint_dir
 
 # Fixed values of the call analysis.
 CALL_GAP = "5 minutes"          # a larger gap starts a new call
@@ -68,37 +69,19 @@ def idle_trim(df: DataFrame, start: str = "start_dt", end: str = "end_dt",
             .withColumn("adjusted_duration_sec", (adj_us - s_us) / F.lit(1_000_000.0)))
 
 
-def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
-               start: str = "start_dt", end: str = "end_dt",
-               gap: str = CALL_GAP, gap_from: str = "previous",
-               order: tuple[str, ...] = ("end_dt", "ulvolume", "dlvolume"),
-               bucket: str = "10 minutes", out: str = "call_no") -> DataFrame:
-    """WIN-1/2: number the calls of each key (0, 1, 2, ... in start order).
-
-    Rows with a null key, start or end cannot be placed and are left out
-    (they fall out of grouping in the reference too). ``order`` breaks ties
-    on equal starts.
-
-    Plan (previous-record rule): one shuffle of the records on (key, bucket)
-    and one ordered pass computes each row's local break flag and running
-    count; a per-bucket aggregate over that same partitioning (no second
-    shuffle) yields the bucket's first start, last end and break count; a
-    window over that small table gives each bucket its carry-in and call
-    offset, joined back on (key, bucket). Only a bucket's first row depends
-    on earlier buckets, so the records are read and shuffled once.
-
-    The running-max rule needs the largest earlier end for every row, so it
-    first aggregates each bucket's largest end (a partial aggregate, small
-    shuffle), then makes the same ordered pass with that carry.
-    """
+def _flagged(df: DataFrame, keys: tuple[str, ...], start: str, end: str, gap_us: int,
+             bucket_us: int, gap_from: str, order_cols: list[str]) -> DataFrame:
+    """The ordered pass shared by :func:`sessionize` and :func:`call_sessions`:
+    records split by (key, bucket of start), each bucket ordered locally;
+    ``_flag`` marks a record that breaks from its predecessor in the bucket
+    and ``_local_no`` counts the breaks so far. For the running-max rule the
+    largest end of all earlier buckets is carried in (a partial aggregate of
+    the records, then a window over that small per-bucket table), so every
+    flag is final; for the previous-record rule only a bucket's first record
+    may still break from the previous bucket, which the caller settles."""
     if gap_from not in ("previous", "running_max"):
         raise ValueError("gap_from must be 'previous' or 'running_max'")
-    gap_us = interval_micros(gap)
-    bucket_us = interval_micros(bucket)
-    keys = tuple(keys)
-    order_cols = [start, *[c for c in order if c != start]]
     kb = [*keys, "_b"]
-
     placeable = reduce(lambda a, b: a & b,
                        [F.col(c).isNotNull() for c in (*keys, start, end)])
     d = (df.where(placeable)
@@ -106,45 +89,121 @@ def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
            .withColumn("_e_us", F.unix_micros(end))
            .withColumn("_b", F.floor(F.col("_s_us") / F.lit(bucket_us)).cast("long")))
     local = Window.partitionBy(*kb).orderBy(*order_cols)
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    by_bucket = Window.partitionBy(*keys).orderBy("_b")
-    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-
     if gap_from == "previous":
-        d = d.withColumn("_prev", F.lag("_e_us").over(local))
-        d = d.withColumn("_flag", F.when(F.col("_s_us") - F.col("_prev") > F.lit(gap_us),
-                                         F.lit(1)).otherwise(F.lit(0)))
-        d = d.withColumn("_local_no", F.sum("_flag").over(running))
-        summary = (d.groupBy(*kb)
-                    .agg(F.min("_s_us").alias("_first_s"),
-                         F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e"),
-                         F.sum("_flag").alias("_n"))
-                    .withColumn("_carry", F.lag("_last_e").over(by_bucket))
-                    .withColumn("_first_flag",
-                                F.when(F.col("_first_s") - F.col("_carry") > F.lit(gap_us),
-                                       F.lit(1)).otherwise(F.lit(0)))
-                    .withColumn("_offset",
-                                F.coalesce(F.sum(F.col("_n") + F.col("_first_flag")).over(before),
-                                           F.lit(0)) + F.col("_first_flag"))
-                    .select(*kb, "_offset"))
+        prev = F.lag("_e_us").over(local)
     else:
+        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, -1)
         carry = (d.groupBy(*kb).agg(F.max("_e_us").alias("_max_e"))
                   .withColumn("_carry", F.max("_max_e").over(before))
                   .select(*kb, "_carry"))
         d = d.join(carry, kb, "left")
         prev = F.greatest(F.max("_e_us").over(
             local.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
-        d = d.withColumn("_prev", prev)
-        d = d.withColumn("_flag", F.when(F.col("_s_us") - F.col("_prev") > F.lit(gap_us),
-                                         F.lit(1)).otherwise(F.lit(0)))
-        d = d.withColumn("_local_no", F.sum("_flag").over(running))
-        summary = (d.groupBy(*kb).agg(F.sum("_flag").alias("_n"))
-                    .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-                    .select(*kb, "_offset"))
+    d = d.withColumn("_flag", F.when(F.col("_s_us") - prev > F.lit(gap_us),
+                                     F.lit(1)).otherwise(F.lit(0)))
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return d.withColumn("_local_no", F.sum("_flag").over(running))
+
 
+def sessionize(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
+               start: str = "start_dt", end: str = "end_dt",
+               gap: str = CALL_GAP, gap_from: str = "previous",
+               order: tuple[str, ...] = ("end_dt", "ulvolume", "dlvolume"),
+               bucket: str = "10 minutes", out: str = "call_no") -> DataFrame:
+    """WIN-1/2: number the calls of each key (0, 1, 2, ... in start order),
+    on every record.
+
+    Rows with a null key, start or end cannot be placed and are left out
+    (they fall out of grouping in the reference too). ``order`` breaks ties
+    on equal starts.
+
+    Plan: one ordered pass per (key, bucket) gives each record its local
+    break count; a per-bucket summary (first start, last end, break count)
+    is windowed across the buckets of a key to give each bucket its call
+    offset, and joined back on (key, bucket). The summary and the numbered
+    records both read the ordered pass, so Spark runs it twice. When only
+    the calls are needed, :func:`call_sessions` runs it once.
+    """
+    gap_us = interval_micros(gap)
+    keys = tuple(keys)
+    order_cols = [start, *[c for c in order if c != start]]
+    kb = [*keys, "_b"]
+    d = _flagged(df, keys, start, end, gap_us, interval_micros(bucket), gap_from, order_cols)
+    summary = _offsets(d.groupBy(*kb).agg(
+        F.min("_s_us").alias("_first_s"),
+        F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e"),
+        F.sum("_flag").alias("_n")), keys, gap_us, gap_from)
     d = d.join(summary, kb, "left")
     d = d.withColumn(out, (F.col("_offset") + F.col("_local_no")).cast("long"))
-    return d.drop("_s_us", "_e_us", "_b", "_carry", "_prev", "_flag", "_local_no", "_offset")
+    return d.drop("_s_us", "_e_us", "_b", "_carry", "_flag", "_local_no", "_offset")
+
+
+def _offsets(buckets: DataFrame, keys: tuple[str, ...], gap_us: int,
+             gap_from: str) -> DataFrame:
+    """Per (key, bucket): the number of calls that start before the bucket's
+    local call 0, from one row per bucket with ``_n`` (breaks inside the
+    bucket) and, for the previous-record rule, ``_first_s``/``_last_e``.
+    The window is over buckets only, so a hot key costs one row per bucket."""
+    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    if gap_from == "running_max":
+        off = F.coalesce(F.sum("_n").over(before), F.lit(0))
+        return buckets.select(*keys, "_b", off.alias("_offset"))
+    first_flag = F.when(F.col("_first_s") - F.lag("_last_e").over(by_bucket) > F.lit(gap_us),
+                        F.lit(1)).otherwise(F.lit(0))
+    return (buckets.withColumn("_first_flag", first_flag)
+                   .select(*keys, "_b",
+                           (F.coalesce(F.sum(F.col("_n") + F.col("_first_flag")).over(before),
+                                       F.lit(0)) + F.col("_first_flag")).alias("_offset")))
+
+
+def call_sessions(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
+                  start: str = "start_dt", end: str = "end_dt",
+                  adjusted_end: str = "adjusted_end_dt", gap: str = CALL_GAP,
+                  gap_from: str = "previous",
+                  order: tuple[str, ...] = ("end_dt", "ulvolume", "dlvolume"),
+                  bucket: str = "10 minutes", out: str = "call_no") -> DataFrame:
+    """WIN-1/2 + AGG-2: the calls of :func:`sessionize` aggregated as
+    :func:`call_aggregates` aggregates them, reading, shuffling and ordering
+    the records once.
+
+    The ordered pass per (key, bucket) folds the records into partial calls
+    (one row per local call of a bucket) on the partitioning it already has.
+    The partials are written once as a reliable checkpoint in the shared
+    folder, since two branches read them: the per-bucket summary (windowed
+    across the buckets of a key) and the numbering that joins it back. A
+    final aggregate merges partials of calls that span buckets. A hot key
+    is spread over its buckets throughout; only the one-row-per-bucket
+    summary is ordered per key.
+    """
+    gap_us = interval_micros(gap)
+    keys = tuple(keys)
+    order_cols = [start, *[c for c in order if c != start]]
+    kb = [*keys, "_b"]
+    d = _flagged(df, keys, start, end, gap_us, interval_micros(bucket), gap_from, order_cols)
+    aggs = [F.sum("ulvolume").alias("ul_bytes"), F.sum("dlvolume").alias("dl_bytes"),
+            F.min(start).alias("call_start"), F.max(adjusted_end).alias("call_end"),
+            F.count(F.lit(1)).alias("fdr_count")]
+    if gap_from == "previous":
+        aggs += [F.min("_s_us").alias("_first_s"),
+                 F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e")]
+    partials = d.groupBy(*kb, "_local_no").agg(*aggs)
+    ensure_checkpoint_dir(df.sparkSession)
+    partials = partials.checkpoint(eager=True)
+    bucket_aggs = [F.max("_local_no").alias("_n")]
+    if gap_from == "previous":
+        bucket_aggs += [F.min("_first_s").alias("_first_s"),
+                        F.max_by("_last_e", "_local_no").alias("_last_e")]
+    summary = _offsets(partials.groupBy(*kb).agg(*bucket_aggs), keys, gap_us, gap_from)
+    numbered = (partials.join(summary, kb, "left")
+                        .withColumn(out, (F.col("_offset") + F.col("_local_no")).cast("long")))
+    return (numbered.groupBy(*keys, out)
+                    .agg(F.sum("ul_bytes").alias("ul_bytes"),
+                         F.sum("dl_bytes").alias("dl_bytes"),
+                         F.min("call_start").alias("call_start"),
+                         F.max("call_end").alias("call_end"),
+                         F.sum("fdr_count").alias("fdr_count")))
 
 
 def call_aggregates(sessions: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),

@@ -12,14 +12,13 @@ from driftwood.plans.views import SQL_CDR, cdr, table
 ORDER = ("end_dt", "ulvolume", "dlvolume", "event_id")
 
 
-def _sessions(spark, sf_dir, gap_from="previous"):
+def _calls(spark, sf_dir, gap_from="previous"):
     trimmed = C.idle_trim(cdr(spark, sf_dir))
-    return C.sessionize(trimmed, order=ORDER, gap_from=gap_from)
+    return C.call_sessions(trimmed, order=ORDER, gap_from=gap_from)
 
 
 def _classified(spark, sf_dir, unit, min_rate=C.MIN_BITRATE):
-    return C.classify_calls(C.call_aggregates(_sessions(spark, sf_dir)),
-                            bitrate_unit=unit, min_rate=min_rate)
+    return C.classify_calls(_calls(spark, sf_dir), bitrate_unit=unit, min_rate=min_rate)
 
 
 _SQL_SESSIONS = with_views(SQL_CDR, """
@@ -72,7 +71,7 @@ SELECT msisdn, domain, call_no, fdr_count, ul_bytes, dl_bytes,
        epoch_us(call_start) AS call_start_us, epoch_us(call_end) AS call_end_us
 FROM calls""")
 def calls_sessionize(spark, sf_dir):
-    a = C.call_aggregates(_sessions(spark, sf_dir))
+    a = _calls(spark, sf_dir)
     return a.select("msisdn", "domain", "call_no", "fdr_count", "ul_bytes", "dl_bytes",
                     F.unix_micros("call_start").alias("call_start_us"),
                     F.unix_micros("call_end").alias("call_end_us"))

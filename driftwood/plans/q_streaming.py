@@ -105,8 +105,7 @@ FROM calls""")
 def calls_sessionize_running_max(spark, sf_dir):
     """The batch form of the running-max rule (``gap_from="running_max"``),
     split by time bucket like the previous-record rule."""
-    s = C.sessionize(C.idle_trim(cdr(spark, sf_dir)), order=ORDER, gap_from="running_max")
-    a = C.call_aggregates(s)
+    a = C.call_sessions(C.idle_trim(cdr(spark, sf_dir)), order=ORDER, gap_from="running_max")
     return a.select("msisdn", "domain", "call_no",
                     F.unix_micros("call_start").alias("session_start_us"), "fdr_count",
                     "ul_bytes", "dl_bytes", F.unix_micros("call_end").alias("call_end_us"))

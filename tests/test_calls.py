@@ -143,3 +143,17 @@ def test_bucket_split_matches_single_bucket(spark):
         fine = C.sessionize(base, order=order, bucket="1 minute", gap_from=rule).select(*cols)
         coarse = C.sessionize(base, order=order, bucket="3650 days", gap_from=rule).select(*cols)
         assert fine.exceptAll(coarse).count() == 0 and coarse.exceptAll(fine).count() == 0
+
+
+def test_call_sessions_match_numbered_records(spark):
+    """The call-level form equals aggregating the numbered records, for
+    buckets finer and coarser than the calls."""
+    from driftwood.plans.views import cdr
+    base = C.idle_trim(cdr(spark, "/root/testdata/sf0.001"))
+    order = ("end_dt", "ulvolume", "dlvolume", "event_id")
+    for rule in ("previous", "running_max"):
+        want = C.call_aggregates(C.sessionize(base, order=order, gap_from=rule))
+        for bucket in ("1 minute", "10 minutes", "3650 days"):
+            got = C.call_sessions(base, order=order, bucket=bucket, gap_from=rule)
+            assert got.columns == want.columns
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
