@@ -98,15 +98,20 @@ def normalize_tcp(raw: DataFrame, source: str = "source_id") -> DataFrame:
 
 def _fold(values: DataFrame, keys: list[str], entry_key: str, entry_value: Column,
           order: str) -> DataFrame:
-    """Last value per (keys, entry key) by ``order``, folded to one map."""
-    last = (values.groupBy(*keys, entry_key)
-                  .agg(F.max_by(entry_value, F.col(order)).alias("_v"),
-                       F.max("received_at").alias("received_at"),
-                       F.min(order).alias("_first")))
-    return (last.groupBy(*keys)
-                .agg(F.map_from_entries(F.collect_list(F.struct(entry_key, "_v"))).alias("data"),
-                     F.max("received_at").alias("received_at"),
-                     F.min("_first").alias("source_id")))
+    """Last value per (keys, entry key) by ``order``, folded to one map.
+
+    One aggregate per poll (one shuffle): the poll's entries are collected,
+    sorted by (entry key, order), and the last entry of each key is kept. A
+    poll is bounded by its configured OIDs or resources."""
+    entry = F.struct(F.col(entry_key).alias("k"), F.col(order).alias("o"),
+                     entry_value.alias("v"))
+    polls = values.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_e"),
+                                      F.max("received_at").alias("received_at"),
+                                      F.min(order).alias("source_id"))
+    last = F.filter("_e", lambda e, i: F.coalesce(F.get(F.col("_e"), i + 1)["k"] != e["k"],
+                                                  F.lit(True)))
+    return polls.select(*keys, F.map_from_entries(F.transform(
+        last, lambda e: F.struct(e["k"], e["v"]))).alias("data"), "received_at", "source_id")
 
 
 def fold_snmp(raw: DataFrame, source: str = "source_id") -> DataFrame:

@@ -72,6 +72,22 @@ def test_snmp_and_coap_folds(spark):
     assert N.normalize_all(raw).count() == 2
 
 
+
+def test_poll_fold_keeps_last_arrival_per_oid(spark):
+    """A value repeated within a poll keeps its last arrival (as a
+    dictionary update does); the message id is the poll's first arrival."""
+    poll = dict(protocol="SNMP", received_at=T, host="h", port=161, community="c", poll_id="p")
+    rows = [dict(poll, oid="b", oid_value="b1"), dict(poll, oid="a", oid_value="a1"),
+            dict(poll, oid="b", oid_value="b2"), dict(poll, oid="a", oid_value="a2"),
+            dict(poll, oid="c", oid_value="c1"),
+            dict(poll, oid="b", oid_value="b3", received_at=T + dt.timedelta(seconds=1))]
+    raw = _raw(spark, rows)
+    first = raw.agg(F.min("source_id")).first()[0]
+    s = N.fold_snmp(raw).collect()
+    assert len(s) == 1
+    assert s[0].data == {"a": "a2", "b": "b3", "c": "c1"}
+    assert s[0].source_id == first and s[0].timestamp == T + dt.timedelta(seconds=1)
+
 def test_topic_filter():
     from driftwood.functions.text import topic_pattern_regex
     import re
