@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # Checkpoints (partial calls, profile aggregate, fitted models) are
     # removed from the shared folder once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Checkpoint files are raw rows unless compressed (spark.io codec).
+    "spark.checkpoint.compress": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
