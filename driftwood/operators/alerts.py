@@ -82,10 +82,12 @@ def evaluate_rules(points: DataFrame, rules: DataFrame, as_of: Column,
                    minutes: int = RULE_WINDOW_MINUTES) -> DataFrame:
     """ALR-3/4: summaries of the last ``minutes`` joined with the rules
     (rules without data are skipped), compared on the latest value; each
-    breach is an alert row. The rule frame is broadcast: its size is the
-    number of configured rules, not a function of the data."""
+    breach is an alert row. No broadcast hint: a rule table built from the
+    configuration is a local relation of a few rows, which the planner's
+    size check (``spark.sql.autoBroadcastJoinThreshold``) broadcasts, while a
+    large rule table passed in gets a shuffle join instead."""
     summary = metric_summary(points, as_of, minutes).withColumnRenamed("name", "metric")
-    j = summary.join(F.broadcast(rules), "metric", "inner")
+    j = summary.join(rules, "metric", "inner")
     hit = j.where(breached(F.col("latest"), F.col("operator"), F.col("threshold")))
     component = F.concat(F.lit("monitor."), F.col("rule"))
     details = F.to_json(F.struct(
