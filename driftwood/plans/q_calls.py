@@ -77,6 +77,15 @@ def calls_sessionize(spark, sf_dir):
                     F.unix_micros("call_end").alias("call_end_us"))
 
 
+# WIN-1/2 as users call it: the call number on every record.
+@register("calls_record_numbers", _SQL_SESSIONS + """
+SELECT msisdn, domain, event_id, CAST(call_no AS BIGINT) AS call_no
+FROM sessions""")
+def calls_record_numbers(spark, sf_dir):
+    s = C.sessionize(C.idle_trim(cdr(spark, sf_dir)), order=ORDER)
+    return s.select("msisdn", "domain", "event_id", "call_no")
+
+
 @register("calls_bitrate", _sql_classified(_REF_RATE) + "SELECT * FROM classified")
 def calls_bitrate(spark, sf_dir):
     return C.result_columns(_classified(spark, sf_dir, "reference"))
