@@ -175,7 +175,9 @@ def call_sessions(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
     across the buckets of a key) and the numbering that joins it back. A
     final aggregate merges partials of calls that span buckets. A hot key
     is spread over its buckets throughout; only the one-row-per-bucket
-    summary is ordered per key.
+    summary is ordered per key. Batch only: the checkpoint is an action. The
+    stream forms are in ``driftwood.streaming.sessions`` and
+    ``plans.q_streaming``.
     """
     gap_us = interval_micros(gap)
     keys = tuple(keys)
