@@ -157,3 +157,28 @@ def test_call_sessions_match_numbered_records(spark):
             got = C.call_sessions(base, order=order, bucket=bucket, gap_from=rule)
             assert got.columns == want.columns
             assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_call_sessions_read_records_once(spark):
+    """The records are scanned and shuffled by one job (the checkpointed
+    partial calls); the calls themselves read only the checkpoint."""
+    from driftwood.plans.views import cdr
+    base = C.idle_trim(cdr(spark, "/root/testdata/sf0.001"))
+    cls = type(base)
+    plans = []
+    orig = cls.checkpoint
+
+    def spy(self, *a, **k):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return orig(self, *a, **k)
+
+    cls.checkpoint = spy
+    try:
+        calls = C.call_sessions(base, order=("end_dt", "ulvolume", "dlvolume", "event_id"))
+    finally:
+        cls.checkpoint = orig
+    assert len(plans) == 1
+    assert plans[0].count("FileScan") == 1
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    final = calls._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in final and "ExistingRDD" in final
