@@ -61,49 +61,53 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
                        ).mapInArrow(cut_up, PIECES)
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns ``(lengths, times)`` that use every piece of the histogram
-    once; the lengths of a pattern add up to ``capacity`` at most."""
+def _fill(histogram: dict[int, int], capacity: int, passes: tuple[tuple[int, ...], ...]
+          ) -> list[tuple[tuple[int, ...], int]]:
+    """One plan: for each pass, every length (longest first) looks up the
+    combinations of the given sizes that fill its gap exactly; what is left
+    goes best-fit."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
     patterns: list[tuple[tuple[int, ...], int]] = []
 
-    def take(lengths: tuple[int, ...]) -> int:
+    def take(*lengths: int) -> None:
         """Use a combination as often as its counts allow."""
         need = defaultdict(int)
         for x in lengths:
-            need[x] += 1
+            need[int(x)] += 1
         times = min(int(left[x]) // k for x, k in need.items())
         if times > 0:
             for x, k in need.items():
                 left[x] -= k * times
-            patterns.append((lengths, times))
-        return times
-
-    take((capacity,))  # full pieces stand alone
-    for long in range(capacity - 1, 0, -1):
-        if not left[long]:
-            continue
-        gap = capacity - long
-        if left[gap]:
-            take((long, gap))
-        # Pair sums: the larger part first, so that small pieces last.
-        for a in np.nonzero(left[: gap])[0][::-1]:
+            patterns.append((tuple(int(x) for x in lengths), times))
+
+    def singles(long: int, gap: int) -> None:
+        take(long, gap)
+
+    def pairs(long: int, gap: int) -> None:
+        for a in np.nonzero(left[:gap])[0][::-1]:  # the larger part first: small pieces last
             if not left[long] or 2 * a < gap:
                 break
-            if left[a] and left[gap - a]:
-                take((long, int(a), int(gap - a)))
-        # Triple sums: for each largest part, the pairs that complete it.
-        for a in np.nonzero(left[: gap])[0][::-1]:
+            take(long, a, gap - a)
+
+    def triples(long: int, gap: int) -> None:
+        for a in np.nonzero(left[:gap])[0][::-1]:
             if not left[long] or 3 * a < gap:
                 break
-            rest = gap - int(a)
-            b = np.arange((rest + 1) // 2, min(int(a), rest - 1) + 1)
+            rest = gap - a
+            b = np.arange((rest + 1) // 2, min(a, rest - 1) + 1)
             for x in b[(left[b] > 0) & (left[rest - b] > 0)][::-1]:
                 if not left[long] or not left[a]:
                     break
-                take((long, int(a), int(x), int(rest - x)))
+                take(long, a, x, rest - x)
+
+    take(capacity)  # full pieces stand alone
+    for sizes in passes:
+        for long in range(capacity - 1, 0, -1):
+            for find in (f for k, f in enumerate((singles, pairs, triples), 1) if k in sizes):
+                if left[long]:
+                    find(long, capacity - long)
     # Residuals: best fit by whole counts into groups of equal open patterns.
     open_by_gap: dict[int, list[list]] = defaultdict(list)
     for length in range(capacity, 0, -1):
@@ -111,14 +115,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
         while n:
             gap = next((g for g in range(length, capacity) if open_by_gap[g]), None)
             if gap is None:
-                # As many of this length as fit, in sequences of their own.
-                per = capacity // length
-                if n >= per:
-                    open_by_gap[capacity - per * length].append([(length,) * per, n // per])
-                    n %= per
-                else:
-                    open_by_gap[capacity - n * length].append([(length,) * n, 1])
-                    n = 0
+                per = min(n, capacity // length)  # that many share a sequence of their own
+                open_by_gap[capacity - per * length].append([(length,) * per, n // per])
+                n %= per
                 continue
             lengths, times = open_by_gap[gap].pop()
             used = min(times, n)
@@ -126,9 +125,21 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
                 open_by_gap[gap].append([lengths, times - used])
             open_by_gap[gap - length].append([(*lengths, length), used])
             n -= used
-        left[length] = 0
-    patterns += [(lengths, times) for groups in open_by_gap.values() for lengths, times in groups]
-    return patterns
+    return patterns + [(lengths, times) for groups in open_by_gap.values()
+                       for lengths, times in groups]
+
+
+#: Orders in which combination sizes are looked up. Which of them wastes least
+#: depends on how many small pieces there are to spare for the long ones.
+PASSES = (((1, 2, 3),), ((1,), (2,), (3,)), ((1,), (2,)), ((1,),), ())
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns ``(lengths, times)`` that use every piece of the histogram
+    once; the lengths of a pattern add up to ``capacity`` at most. Of the
+    lookup orders in ``PASSES``, the one with the fewest sequences."""
+    return min((_fill(histogram, capacity, passes) for passes in PASSES),
+               key=lambda patterns: sum(times for _, times in patterns))
 
 
 def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:

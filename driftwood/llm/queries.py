@@ -5,10 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwood.llm import packing
+from driftwood.llm import byte_bpe, packing
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
+@register("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @register("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(documents(spark, sf_dir),
