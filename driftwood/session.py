@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,7 @@ def get_session(master: str | None = None, app: str = "driftwood",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,6 +77,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, also
+    where the session was started outside the source folder. Once a session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_driftwood_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # The driver's own file server hands the archive to the executors.
+    archive = os.path.join(tempfile.mkdtemp(prefix="driftwood-code-"), "driftwood.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("driftwood", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._driftwood_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
