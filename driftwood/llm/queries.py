@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwood.llm import byte_bpe, packing
+from driftwood.llm import byte_bpe, lz_fingerprint, packing
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
@@ -20,3 +20,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(documents(spark, sf_dir),
                                   public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(pieces)
+
+
+@register("op8_lz_fingerprint")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edited_fingerprints(documents(spark, sf_dir))
