@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwood.llm import byte_bpe, lz_fingerprint, packing
+from driftwood.llm import byte_bpe, lz_fingerprint, near_documents, packing
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
@@ -25,3 +25,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_lz_fingerprint")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.edited_fingerprints(documents(spark, sf_dir))
+
+
+@register("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents.near_documents(documents(spark, sf_dir))
