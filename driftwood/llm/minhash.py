@@ -116,7 +116,7 @@ def _linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
         part[owner[a:b], column[a:b] - lo] = 1
         common += part @ part.T
     both = sizes[:, None] + sizes[None, :]
-    near = common * (1 + threshold) >= threshold * both - 1e-6
+    near = common.astype(np.float64) * (1 + threshold) >= (threshold - 1e-9) * both
     np.fill_diagonal(near, False)
     return near
 

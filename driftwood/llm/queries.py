@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, lz_fingerprint, near_documents, packing
+from driftwood.llm import byte_bpe, lz_fingerprint, near_documents, packing, paragraphs
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
@@ -30,3 +31,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents.near_documents(documents(spark, sf_dir))
+
+
+@register("op7_paragraph_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, also for those that lose nothing."""
+    docs = documents(spark, sf_dir)
+    removed = paragraphs.removals(paragraphs.near_paragraphs(docs))
+    return docs.select("doc_id").join(removed, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("chars_removed", F.lit(0)).alias("chars_removed"), "spans", "kept_in")
