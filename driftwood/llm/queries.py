@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, lz_fingerprint, near_documents, packing, paragraphs
+from driftwood.llm import byte_bpe, line_dedup, lz_fingerprint, near_documents, packing, paragraphs
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
@@ -41,3 +41,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id").join(removed, "doc_id", "left").select(
         "doc_id", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("chars_removed", F.lit(0)).alias("chars_removed"), "spans", "kept_in")
+
+
+@register("op2_fuzzy_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+        F.col("n_removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
