@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, line_dedup, lz_fingerprint, near_documents, packing, paragraphs
+from driftwood.llm import byte_bpe, langid, line_dedup, lz_fingerprint, near_documents, packing, paragraphs
+from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
 
@@ -48,3 +49,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
         "doc_id", F.col("n_lines").cast("long").alias("n_lines"),
         F.col("n_removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from two thirds of the documents by id; answers for all."""
+    third = F.coalesce(crc_of_id("doc_id") % 3 == 1, F.lit(False))
+    docs = documents(spark, sf_dir).withColumn("held_out", third)
+    model = langid.train(docs.where(crc_of_id("doc_id") % 3 != 1))
+    return langid.predict(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
