@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, langid, line_dedup, lz_fingerprint, near_documents, packing, paragraphs
+from driftwood.llm import byte_bpe, langid, line_dedup, lz_fingerprint, near_documents, packing, paragraphs, voronoi_knn
 from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
@@ -58,3 +58,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", third)
     model = langid.train(docs.where(crc_of_id("doc_id") % 3 != 1))
     return langid.predict(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op4_voronoi_top_k")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = voronoi_knn.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return voronoi_knn.top_k(vectors)
