@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, langid, line_dedup, lz_fingerprint, near_documents, packing, paragraphs, voronoi_knn
+from driftwood.llm import byte_bpe, langid, lattice_lm, line_dedup, lz_fingerprint, near_documents, packing, paragraphs, voronoi_knn
 from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
@@ -64,3 +64,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = voronoi_knn.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return voronoi_knn.top_k(vectors)
+
+
+@register("op10_lattice_lm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose crc32 is no multiple of ten; scores all."""
+    docs = documents(spark, sf_dir).withColumns({"held_out": crc_of_id("doc_id") % 10 == 0,
+                                                 "training": crc_of_id("doc_id") % 10 != 0})
+    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
