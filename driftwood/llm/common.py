@@ -44,15 +44,16 @@ def key_ranges(keys: DataFrame, key: str, rows_per_range: int) -> tuple[np.ndarr
     return np.unique(np.asarray(found, np.int64)), n
 
 
-def range_of(bounds: np.ndarray):
-    """Column function: number of the range that an id falls in."""
+#: Stands for a null id, before all others.
+NO_ID = -2 ** 63
+
+
+def range_of(bounds: np.ndarray, key: str):
+    """Number of the range that the id column ``key`` falls in (null: 0)."""
     @F.pandas_udf(T.IntegerType())
     def place(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        out = np.zeros(len(ids), np.int32)
-        out[known] = np.searchsorted(bounds, ids[known].astype("int64").to_numpy(), side="right")
-        return pd.Series(out)
-    return place
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int32))
+    return place(F.coalesce(F.col(key), F.lit(NO_ID)))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

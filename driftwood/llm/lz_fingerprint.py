@@ -16,11 +16,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from driftwood.llm.common import key_ranges, range_of
+from driftwood.llm.common import NO_ID, key_ranges, range_of
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MASK = (1 << 30) - 1  # phrase hashes stay small integers while parsing
@@ -100,18 +102,23 @@ def with_next(docs: DataFrame, rows_per_range: int = 4000, id_col: str = "doc_id
     rows = docs.select(F.col(id_col).cast("long").alias("d"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     bounds, _ = key_ranges(rows.select("d"), "d", rows_per_range)
-    placed = rows.withColumn("place", range_of(bounds)("d"))
+    placed = rows.withColumn("place", range_of(bounds, "d"))
     # Ranges that hold rows, and the id that each begins with: as many rows as ranges.
     heads = sorted((r["place"], r["d"]) for r in
-                   rows.select("d", range_of(bounds)("d").alias("place")).groupBy("place")
-                   .agg(F.min(F.coalesce("d", F.lit(-2 ** 63))).alias("d")).collect())
-    before = {place: heads[i - 1][0] for i, (place, _) in enumerate(heads)}
-    first = docs.sparkSession.createDataFrame(
-        [(place, d, before[place]) for place, d in heads], "place int, k long, to int")
+                   rows.select("d").withColumn("place", range_of(bounds, "d")).groupBy("place")
+                   .agg(F.min(F.coalesce("d", F.lit(NO_ID))).alias("d")).collect())
+    # The range before each range, by its first id.
+    first = np.array([d for _, d in heads], np.int64)
+    before = np.roll([p for p, _ in heads], 1) if heads else np.zeros(0, np.int64)
+
+    @F.pandas_udf(T.IntegerType())
+    def echo_to(ids: pd.Series) -> pd.Series:
+        at = np.minimum(np.searchsorted(first, ids.to_numpy()), max(0, len(first) - 1))
+        return pd.Series(before[at], dtype="Int32").where(first[at] == ids.to_numpy())
+
     # Of several rows with the first id, the one with the smallest text.
-    echo = (placed.withColumn("k", F.coalesce("d", F.lit(-2 ** 63)))
-            .join(first, ["place", "k"])
-            .groupBy("place", "to", "k").agg(F.min("t").alias("t"))
+    echo = (rows.withColumn("to", echo_to(F.coalesce("d", F.lit(NO_ID)))).where("to is not null")
+            .groupBy("to").agg(F.min("t").alias("t"))
             .select(F.col("to").alias("place"), F.lit(None).cast("long").alias("d"), "t",
                     F.lit(True).alias("lone")))
     parts = max(1, len(heads))
