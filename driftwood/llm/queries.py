@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import byte_bpe, langid, lattice_lm, line_dedup, lz_fingerprint, near_documents, packing, paragraphs, voronoi_knn
+from driftwood.llm import byte_bpe, langid, lattice_lm, line_dedup, lz_fingerprint, near_documents, packing, paragraphs, suffix_dedup, voronoi_knn
 from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
@@ -72,3 +72,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumns({"held_out": crc_of_id("doc_id") % 10 == 0,
                                                  "training": crc_of_id("doc_id") % 10 != 0})
     return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
