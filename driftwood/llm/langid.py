@@ -201,3 +201,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                          *(F.col(c) for c in keep))
     kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in source.schema.fields[2:])
     return source.mapInArrow(work, "doc_id long, lang_pred string, score double" + kept)
+
+
+def accepted(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a
+    calibrated probability of ``min_score`` or more. ``und`` goes. No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = map(shared.value.predict, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([lang != "und" and p >= min_score for lang, p in found], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
