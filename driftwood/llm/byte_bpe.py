@@ -220,7 +220,8 @@ class Codec:
             self.runs.clear()
         parts = []
         for ids in packed:
-            at = (np.nonzero(self.starts[np.frombuffer(ids, "<u4")])[0] * 4).tolist()
+            number = np.minimum(np.frombuffer(ids, "<u4"), len(self.starts) - 1)  # unknown ids fail below
+            at = (np.nonzero(self.starts[number])[0] * 4).tolist()
             edges = [0, *at, len(ids)]
             parts.append([ids[a:b] for a, b in zip(edges, edges[1:]) if a < b])
         fresh = list({r for p in parts for r in p if r not in self.runs})
