@@ -55,9 +55,10 @@ def bands_for(threshold: float, recall: float, most_hashes: int) -> tuple[int, i
     candidates, whose chance to bring together a pair at ``threshold`` is at
     least ``recall`` with at most ``most_hashes`` hashes."""
     for rows in range(most_hashes, 0, -1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows)) if threshold < 1 else 1
-        if bands * rows <= most_hashes:
-            return bands, rows
+        meet = threshold ** rows  # chance that one band brings a pair together
+        bands = 1 if meet >= recall else math.log1p(-recall) / math.log1p(-meet) if meet > 1e-12 else math.inf
+        if bands * rows <= most_hashes and math.ceil(bands) * rows <= most_hashes:
+            return math.ceil(bands), rows
     raise ValueError("more hashes are needed for this recall")
 
 
