@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftwood.operators.calls import interval_micros
 from driftwood.schemas import PROGRESS_SCHEMA
 
 # The dashboard's key metrics and summary windows (minutes).
@@ -60,28 +61,33 @@ def retain_last(points: DataFrame, n: int = RETAIN_POINTS) -> DataFrame:
     return points.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
-def timer_durations(timer_events: DataFrame) -> DataFrame:
+def timer_durations(timer_events: DataFrame, order: str | None = None,
+                    tags: str | None = None) -> DataFrame:
     """MET-1 / JOI-3: ``performance.<operation>.duration_ms`` for timers
     that started and ended, from one log of ``(timer_id, phase, ts)`` with
-    phase ``start`` or ``end``. The match is one aggregate on the timer id
-    (latest start, first end), not a join; an end without a start is
-    ignored. The operation is the timer id without its last ``_suffix``."""
-    g = timer_events.groupBy("timer_id").agg(
-        F.max(F.when(F.col("phase") == "start", F.col("ts"))).alias("start_ts"),
-        F.min(F.when(F.col("phase") == "end", F.col("ts"))).alias("end_ts"))
-    j = g.where(F.col("start_ts").isNotNull() & (F.col("end_ts") >= F.col("start_ts")))
+    phase ``start`` or ``end``. An end counts when the event just before it
+    in its timer is a start, so an id may be used again, a start that starts
+    anew replaces the open one, and an end without a start is ignored. Equal
+    times go by the column ``order``, then start before end. With ``tags``
+    the end's tags stay on the point. The operation is the timer id without
+    its last ``_suffix``."""
+    by = [F.col("ts"), *([F.col(order)] if order else []), F.col("phase").desc()]
+    w = Window.partitionBy("timer_id").orderBy(*by)
+    j = (timer_events.withColumn("_phase", F.lag("phase").over(w)).withColumn("_start", F.lag("ts").over(w))
+         .where((F.col("phase") == "end") & (F.col("_phase") == "start")))
     op = F.regexp_replace("timer_id", "_[^_]*$", "")
     return j.select(
         "timer_id",
         F.concat(F.lit("performance."), op, F.lit(".duration_ms")).alias("name"),
-        F.col("end_ts").alias("ts"),
-        ((F.unix_micros("end_ts") - F.unix_micros("start_ts")) / F.lit(1000.0)).alias("value"))
+        "ts",
+        ((F.unix_micros("ts") - F.unix_micros("_start")) / F.lit(1000.0)).alias("value"),
+        *([F.col(tags)] if tags else []))
 
 
 def throughput_metrics(events: DataFrame, component: str, ts: str = "ts",
                        every: str = "1 minute") -> DataFrame:
     """MET-2: ``throughput.<component>.messages_per_second`` per time bucket."""
-    seconds = {"1 minute": 60.0, "1 second": 1.0, "10 seconds": 10.0}[every]
+    seconds = interval_micros(every) / 1e6
     return (events.groupBy(F.col(component).alias("_c"), F.window(ts, every).alias("_w"))
                   .agg(F.count(F.lit(1)).alias("_n"))
                   .select(F.concat(F.lit("throughput."), F.col("_c"),

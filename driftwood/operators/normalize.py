@@ -28,10 +28,19 @@ def _text(payload: str = "payload") -> Column:
     return F.col(payload).cast("string")
 
 
+def whole_json(text: Column) -> Column:
+    """The text as a VARIANT, null unless it is one JSON value and nothing
+    else. Spark's JSON parsers stop behind the first value; as the only
+    element of an array, a value cannot have anything behind it."""
+    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull(),
+                  F.try_variant_get(array, "$[0]", "variant"))
+
+
 def object_or_wrapped(text: Column, key: str) -> Column:
     """A JSON object as a string map; anything else (plain text, a JSON
     scalar or array, D15) wrapped as ``{key: text}``."""
-    is_object = F.startswith(F.ltrim(text), F.lit("{"))
+    is_object = F.startswith(F.schema_of_variant(whole_json(text)), F.lit("OBJECT"))
     parsed = F.when(is_object, F.from_json(text, STRING_MAP))
     return F.coalesce(parsed, F.create_map(F.lit(key), text))
 
@@ -135,7 +144,7 @@ def fold_coap(raw: DataFrame, source: str = "source_id") -> DataFrame:
             .withColumn("device_id", F.coalesce(F.col("device_id"),
                                                 F.concat(F.lit("coap_"), F.col("host")))))
     text = _text()
-    doc = F.coalesce(F.to_json(F.try_parse_json(text)),
+    doc = F.coalesce(F.to_json(whole_json(text)),
                      F.to_json(F.struct(text.alias("raw_data"))))
     folded = _fold(r, ["device_id", "poll_id", "host", "port"], "resource", doc, source)
     return folded.select(

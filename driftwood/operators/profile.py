@@ -8,13 +8,14 @@ timestamps, (max - min) / (n - 1), so no global sort is needed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.operators.quality import ISO_8601
-from driftwood.session import ensure_checkpoint_dir
 
-SAMPLE_CAP = 100          # distinct values kept per field (fixed value)
+SAMPLE_CAP = 100          # fixed value: length of a field's list of sample values
 
 
 def parse_messages(df: DataFrame, json_col: str = "json", out: str = "msg") -> DataFrame:
@@ -77,78 +78,115 @@ def profile_protocols(df: DataFrame, msg: str = "msg") -> DataFrame:
               .groupBy("protocol").agg(F.count(F.lit(1)).alias("messages")))
 
 
-def variant_type_name(kind: Column) -> Column:
-    """VARIANT type -> the type names of the original profile."""
+def value_type(kind: Column, text: Column) -> Column:
+    """Type names of the original profile. A number is an int unless its
+    source text has a point or an exponent, whatever its size."""
     return (F.when(kind == "STRING", F.lit("str"))
-             .when(kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)"), F.lit("int"))
-             .when(kind.rlike(r"^(DECIMAL|DOUBLE|FLOAT)"), F.lit("float"))
+             .when(kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"),
+                   F.when(text.rlike("[.eE]"), F.lit("float")).otherwise(F.lit("int")))
              .when(kind == "BOOLEAN", F.lit("bool"))
              .when(kind.startswith("OBJECT"), F.lit("dict"))
              .when(kind.startswith("ARRAY"), F.lit("list"))
              .otherwise(F.lower(kind)))
 
 
-def field_values(df: DataFrame, msg: str = "msg") -> DataFrame:
+def field_values(df: DataFrame, msg: str = "msg", json_col: str = "json") -> DataFrame:
     """One row per (message, top-level key): field, is_null, type, text.
 
-    The object is read as ``map<string, variant>`` and exploded (a plain
-    generator, no shuffle); non-object messages contribute no fields.
+    The types come from the VARIANT, the texts from the JSON itself, so that
+    ``25.0`` and ``25`` stay two values. Both are plain generators (no
+    shuffle); non-object messages contribute no fields.
     """
-    kv = df.select(F.explode(F.try_variant_get(F.col(msg), "$", "map<string,variant>"))
-                   .alias("field", "_v"))
+    text = F.from_json(F.col(json_col), "map<string,string>")
+    kv = (df.select(F.try_variant_get(F.col(msg), "$", "map<string,variant>").alias("_m"), text.alias("_t"))
+          .select(F.explode("_m").alias("field", "_v"), "_t"))
+    kv = kv.select("field", "_v", F.try_element_at("_t", F.col("field")).alias("_text"))
     return kv.select(
         "field",
         F.is_variant_null("_v").alias("is_null"),
-        variant_type_name(F.schema_of_variant("_v")).alias("type"),
-        F.when(F.schema_of_variant("_v") == "STRING", F.try_variant_get("_v", "$", "string"))
-         .otherwise(F.to_json("_v")).alias("text"))
+        value_type(F.schema_of_variant("_v"), F.col("_text")).alias("type"),
+        F.when(~F.is_variant_null("_v"), F.col("_text")).alias("text"))
 
 
-def profile_fields(df: DataFrame, msg: str = "msg", cap: int = SAMPLE_CAP,
-                   salt: int = 16) -> DataFrame:
+def profile_fields(df: DataFrame, msg: str = "msg", samples: int = SAMPLE_CAP,
+                   salt: int = 16, json_col: str = "json") -> DataFrame:
     """AGG-10 + SRT-4: per field: present count (nulls included), null
-    count, completeness, type histogram, distinct values (capped), uniqueness
-    and the ``cap`` smallest distinct values.
-
-    The sample is a two-level top-k: values of one field are spread over
-    ``salt`` buckets, each bucket keeps its ``cap`` smallest, then the field
-    keeps the ``cap`` smallest of those; a field with billions of distinct
-    values is never sorted in one task.
+    count, completeness, type histogram, exact number of distinct values,
+    uniqueness (distinct values over the count) and the ``samples`` smallest
+    distinct values, which is the length of that list only.
+
+    Counts and types are one aggregate per field and type. The distinct
+    values are spread over the tasks by (field, text); each keeps the
+    smallest of its (field, salt) before the field's are compared, so a field
+    with billions of distinct values is never sorted or counted in one task.
     """
-    # One aggregate over the exploded fields (repeated values collapse
-    # before the shuffle), materialised with a reliable checkpoint in the
-    # shared checkpoint folder: the four statistics below read it, so the
-    # messages are parsed once and a lost executor does not re-parse them.
-    kv = field_values(df, msg)
-    ensure_checkpoint_dir(df.sparkSession)
-    d = (kv.groupBy("field", "type", "is_null", "text").agg(F.count(F.lit(1)).alias("n"))
-           .checkpoint(eager=True))
-    stats = d.groupBy("field").agg(
+    kv = field_values(df, msg, json_col)
+    per_type = kv.groupBy("field", "type", "is_null").agg(F.count(F.lit(1)).alias("n"))
+    stats = per_type.groupBy("field").agg(
         F.sum("n").alias("count"),
-        F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(F.lit(0))).alias("null_count"))
-    types = (d.where(~F.col("is_null")).groupBy("field", "type").agg(F.sum("n").alias("n"))
-               .groupBy("field")
-               .agg(F.array_join(F.transform(
-                   F.array_sort(F.collect_list(F.struct("type", "n"))),
-                   lambda e: F.concat(e["type"], F.lit("="), e["n"].cast("string"))), ",")
-                    .alias("type_distribution")))
-    distinct = d.where(~F.col("is_null")).select("field", "text").distinct()
-    ndist = distinct.groupBy("field").agg(F.count(F.lit(1)).alias("_d"))
+        F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(F.lit(0))).alias("null_count"),
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.when(~F.col("is_null"), F.struct("type", "n")))),
+            lambda e: F.concat(e["type"], F.lit("="), e["n"].cast("string"))), ",").alias("type_distribution"))
+    distinct = (kv.where(~F.col("is_null")).select("field", "text").distinct()
+                .withColumn("_s", F.pmod(F.xxhash64("text"), F.lit(salt))))
     bucket = Window.partitionBy("field", "_s").orderBy("text")
     whole = Window.partitionBy("field").orderBy("text")
-    sample = (distinct.withColumn("_s", F.pmod(F.xxhash64("text"), F.lit(salt)))
-                      .withColumn("_r", F.row_number().over(bucket)).where(F.col("_r") <= cap)
-                      .withColumn("_r", F.row_number().over(whole)).where(F.col("_r") <= cap)
+    # Per (field, salt) the count and the smallest values, then per field.
+    counted = distinct.groupBy("field", "_s").agg(F.count(F.lit(1)).alias("n")).groupBy("field").agg(
+        F.sum("n").alias("distinct_values"))
+    sample = (distinct.withColumn("_r", F.row_number().over(bucket)).where(F.col("_r") <= samples)
+                      .withColumn("_r", F.row_number().over(whole)).where(F.col("_r") <= samples)
                       .groupBy("field")
                       .agg(F.array_join(F.array_sort(F.collect_list("text")), "|")
                            .alias("sample_values")))
-    out = (stats.join(types, "field", "left").join(ndist, "field", "left")
-                .join(sample, "field", "left"))
-    capped = F.least(F.coalesce(F.col("_d"), F.lit(0)), F.lit(cap))
+    out = stats.join(counted, "field", "left").join(sample, "field", "left")
+    n = F.coalesce("distinct_values", F.lit(0))
     return out.select(
         "field", "count", "null_count",
         ((F.col("count") - F.col("null_count")) / F.col("count")).alias("completeness"),
         F.coalesce(F.col("type_distribution"), F.lit("")).alias("type_distribution"),
-        capped.alias("distinct_values"),
-        (capped / F.col("count")).alias("uniqueness"),
+        n.alias("distinct_values"),
+        (n / F.col("count")).alias("uniqueness"),
         F.coalesce(F.col("sample_values"), F.lit("")).alias("sample_values"))
+
+
+def device_gaps(df: DataFrame, msg: str = "msg", device: str = "device_id", field: str = "timestamp",
+                hours: int = 1) -> DataFrame:
+    """WIN-3 per device: number of gaps between consecutive timestamps, and
+    the smallest, largest and mean gap in seconds.
+
+    A device may hold a third of all rows, so timestamps are ordered within
+    (device, ``hours``-hour bucket); only each bucket's first and last
+    timestamp meet per device, to add the gaps between buckets.
+    """
+    rows = df.select(_key_or_unknown(F.col(msg), device).alias("device_id"),
+                     F.unix_micros(_ts(F.col(msg), field)).alias("us")).where("us is not null")
+    rows = rows.withColumn("bucket", F.floor(F.col("us") / (hours * 3_600_000_000)))
+    inside = Window.partitionBy("device_id", "bucket").orderBy("us")
+    gap = (rows.withColumn("gap", F.col("us") - F.lag("us").over(inside))
+           .groupBy("device_id", "bucket").agg(
+               F.min("us").alias("first"), F.max("us").alias("last"), F.count("gap").alias("n"),
+               F.min("gap").alias("least"), F.max("gap").alias("most")))
+    between = F.col("first") - F.lag("last").over(Window.partitionBy("device_id").orderBy("bucket"))
+    edge = gap.withColumn("edge", between)
+    total = F.max("last") - F.min("first")
+    count = F.sum("n") + F.count("edge")
+    return edge.groupBy("device_id").agg(
+        count.alias("gaps"),
+        (F.least(F.min("least"), F.min("edge")) / 1e6).alias("min_gap_seconds"),
+        (F.greatest(F.max("most"), F.max("edge")) / 1e6).alias("max_gap_seconds"),
+        F.when(count > 0, total / 1e6 / count).alias("mean_gap_seconds"))
+
+
+def profile(df: DataFrame, msg: str = "msg", json_col: str = "json") -> DataFrame:
+    """PRO-1: the whole profile as rows ``(section, json)``: ``total``,
+    ``timestamps``, ``devices``, ``protocols``, ``fields`` and ``device_gaps``;
+    one row per device, protocol and field, so no section is gathered."""
+    sections = {
+        "total": profile_total(df), "timestamps": profile_timestamps(df, msg),
+        "devices": profile_devices(df, msg), "protocols": profile_protocols(df, msg),
+        "fields": profile_fields(df, msg, json_col=json_col), "device_gaps": device_gaps(df, msg)}
+    parts = [s.select(F.lit(name).alias("section"), F.to_json(F.struct(*s.columns)).alias("json"))
+             for name, s in sections.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

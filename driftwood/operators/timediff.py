@@ -23,22 +23,17 @@ def case_differences(cases: DataFrame) -> DataFrame:
     return out.withColumn("error", err)
 
 
-def case_results_json(diffs: DataFrame, file_col: str = "file",
-                      chunk_size: int = 10_000) -> DataFrame:
-    """AGG-14: the results of one input as JSON arrays of strings in case
-    order, e.g. ``["25200","88200"]``.
-
-    An input's cases are cut by case-id range into chunks of at most
-    ``chunk_size`` ids (``chunk`` = case_id div chunk_size), one row per
-    (input, chunk); concatenating the chunks in order gives the input's
-    array. An input of ordinary size is a single row with chunk 0, and a huge
-    input is never gathered into one task.
+def case_results_json(diffs: DataFrame, file_col: str = "file") -> DataFrame:
+    """AGG-14: the results of one input as one JSON array of strings in case
+    order, e.g. ``["25200","88200"]``; one row per input.
+
+    An input is one request text that SRC-2 reads as a single row, so its
+    cases fit a row again; inputs spread over the tasks by their name.
     """
-    chunk = F.floor(F.col("case_id") / F.lit(chunk_size)).cast("long")
-    return (diffs.groupBy(file_col, chunk.alias("chunk"))
+    return (diffs.groupBy(file_col)
             .agg(F.sort_array(F.collect_list(F.struct("case_id", "diff_seconds"))).alias("_c"),
                  F.count(F.lit(1)).alias("n_cases"))
-            .select(file_col, "chunk",
+            .select(file_col,
                     F.to_json(F.transform("_c", lambda x: x["diff_seconds"].cast("string")))
                     .alias("results"),
                     "n_cases"))

@@ -202,7 +202,8 @@ def dashboard(spark, sf_dir):
 
 # Timers: every event starts ``<event_type>_<event_id>``; three in four end
 # ``floor(value * 1000)`` ms later; every 9th event also ends an unknown
-# timer. One scan yields the whole timer log (start, end and stray end rows).
+# timer; every 5th uses its id again one hour later, for one second. One scan
+# yields the whole timer log (start, end and stray end rows).
 def _timer_log(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
@@ -214,7 +215,13 @@ def _timer_log(spark, sf_dir):
                F.struct(tid.alias("timer_id"), F.lit("end").alias("phase"), end_ts.alias("ts"))),
         F.when(F.col("event_id") % 9 == 0,
                F.struct(F.concat(F.lit("ghost_"), F.col("event_id").cast("string")).alias("timer_id"),
-                        F.lit("end").alias("phase"), ts.alias("ts")))))
+                        F.lit("end").alias("phase"), ts.alias("ts"))),
+        F.when(F.col("event_id") % 5 == 0,
+               F.struct(tid.alias("timer_id"), F.lit("start").alias("phase"),
+                        (ts + F.expr("INTERVAL 1 HOUR")).alias("ts"))),
+        F.when(F.col("event_id") % 5 == 0,
+               F.struct(tid.alias("timer_id"), F.lit("end").alias("phase"),
+                        (ts + F.expr("INTERVAL '1:00:01' HOUR TO SECOND")).alias("ts")))))
     return ev.select(F.inline(rows))
 
 
@@ -223,7 +230,11 @@ SELECT event_type || '_' || CAST(event_id AS VARCHAR) AS timer_id,
        'performance.' || event_type || '.duration_ms' AS name,
        epoch_us(CAST(ts AS TIMESTAMP)) + CAST(floor(value * 1000) AS BIGINT) * 1000 AS end_us,
        CAST(CAST(floor(value * 1000) AS BIGINT) * 1000 AS DOUBLE) / 1000.0 AS value
-FROM events WHERE event_id % 4 <> 0""")
+FROM events WHERE event_id % 4 <> 0
+UNION ALL
+SELECT event_type || '_' || CAST(event_id AS VARCHAR), 'performance.' || event_type || '.duration_ms',
+       epoch_us(CAST(ts AS TIMESTAMP)) + 3601000000, 1000.0
+FROM events WHERE event_id % 5 = 0""")
 def timer_durations(spark, sf_dir):
     d = MT.timer_durations(_timer_log(spark, sf_dir))
     return d.select("timer_id", "name", F.unix_micros("ts").alias("end_us"), "value")

@@ -4,8 +4,8 @@ derived from ``events`` (NRM-1..7, SET-2, FLT-7).
 Landing rows, by ``event_id``: the protocol is the (event_id % 5)-th of the
 five; MQTT topics cycle over ``actuators/dev<u>/status``,
 ``sensors/dev<u>/data`` and ``sensors/dev<u>/raw/extra`` (every 29th is
-``x``); the payload is ``props`` (a JSON object), every 13th is broken text,
-every 31st a bare JSON scalar; every 26th TCP payload starts with bytes that
+``x``); the payload is ``props`` (a JSON object), every 13th is broken
+text, every 31st a bare JSON scalar, every 17th an object with text behind it; every 26th TCP payload starts with bytes that
 are not UTF-8; every 7th CoAP response failed (4.04).
 """
 
@@ -30,7 +30,8 @@ def landing(spark, sf_dir):
     eid, u = F.col("event_id"), F.col("user_id")
     us = u.cast("string")
     text = (F.when(eid % 13 == 0, F.concat(F.lit("broken "), F.col("props")))
-             .when(eid % 31 == 0, F.lit("42")).otherwise(F.col("props")))
+             .when(eid % 31 == 0, F.lit("42"))
+             .when(eid % 17 == 0, F.concat(F.col("props"), F.lit(" trailing"))).otherwise(F.col("props")))
     proto = F.element_at(F.array(*[F.lit(p) for p in PROTOCOLS]), (eid % 5 + 1).cast("int"))
     payload = F.when((proto == "TCP") & (eid % 26 == 0),
                      F.concat(F.unhex(F.lit("FF00")), text.cast("binary"))
@@ -68,7 +69,8 @@ raw AS (
   SELECT event_id AS source_id, {PROTOCOLS!r}[CAST(event_id % 5 AS INTEGER) + 1] AS protocol,
          event_time AS received_at, user_id, event_id, props,
          CASE WHEN event_id % 13 = 0 THEN 'broken ' || props
-              WHEN event_id % 31 = 0 THEN '42' ELSE props END AS text,
+              WHEN event_id % 31 = 0 THEN '42'
+              WHEN event_id % 17 = 0 THEN props || ' trailing' ELSE props END AS text,
          CASE WHEN event_id % 29 = 0 THEN 'x'
               WHEN event_id % 3 = 0 THEN 'actuators/dev' || CAST(user_id AS VARCHAR) || '/status'
               WHEN event_id % 3 = 1 THEN 'sensors/dev' || CAST(user_id AS VARCHAR) || '/data'
@@ -82,7 +84,7 @@ raw AS (
          'p' || CAST(event_id // 10 AS VARCHAR) AS poll_id
   FROM iot)""", """
 texts AS (
-  SELECT *, CASE WHEN text LIKE '{%' THEN 'k=' || json_extract_string(text, '$.k') END AS obj
+  SELECT *, CASE WHEN json_valid(text) AND text LIKE '{%' THEN 'k=' || json_extract_string(text, '$.k') END AS obj
   FROM raw)""")
 
 _SQL_MQTT = """

@@ -207,22 +207,15 @@ def profile_protocols(spark, sf_dir):
     return P.profile_protocols(quality_messages(spark, sf_dir))
 
 
-def _num_text(x: str) -> str:
-    """Text of a JSON number as the VARIANT prints it (integral values
-    without a fraction)."""
-    return (f"CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) "
-            f"ELSE CAST({x} AS VARCHAR) END")
-
-
 @register("profile_fields", _SQL_Q + f""",
 kv AS (
   SELECT 'device_id' AS field, false AS is_null, 'str' AS type, dev AS text FROM q WHERE dev_present
   UNION ALL SELECT 'timestamp', false, 'str', ts_text FROM q
   UNION ALL SELECT 'protocol', false, 'str', proto FROM q
   UNION ALL SELECT 'temperature', false, CASE WHEN temp_bad THEN 'str' ELSE 'float' END,
-                   CASE WHEN temp_bad THEN 'not-a-number' ELSE {_num_text('temp')} END FROM q
-  UNION ALL SELECT 'humidity', hum IS NULL, 'float', {_num_text('hum')} FROM q
-  UNION ALL SELECT 'pressure', false, 'float', {_num_text('pres')} FROM q),
+                   CASE WHEN temp_bad THEN 'not-a-number' ELSE CAST(temp AS VARCHAR) END FROM q
+  UNION ALL SELECT 'humidity', hum IS NULL, 'float', CAST(hum AS VARCHAR) FROM q
+  UNION ALL SELECT 'pressure', false, 'float', CAST(pres AS VARCHAR) FROM q),
 stats AS (SELECT field, count(*) AS count, count(*) FILTER (WHERE is_null) AS null_count
           FROM kv GROUP BY field),
 types AS (SELECT field, string_agg(type || '=' || CAST(n AS VARCHAR), ',' ORDER BY type) AS td
@@ -236,8 +229,8 @@ smp AS (SELECT field, string_agg(text, '|' ORDER BY text) AS sample_values
 SELECT s.field, s.count, s.null_count,
        {sql_r6('(s.count - s.null_count) / s.count')} AS completeness,
        coalesce(t.td, '') AS type_distribution,
-       least(coalesce(nd.d, 0), 100) AS distinct_values,
-       {sql_r6('least(coalesce(nd.d, 0), 100) / s.count')} AS uniqueness,
+       coalesce(nd.d, 0) AS distinct_values,
+       {sql_r6('coalesce(nd.d, 0) / s.count')} AS uniqueness,
        coalesce(smp.sample_values, '') AS sample_values
 FROM stats s LEFT JOIN types t USING (field) LEFT JOIN nd USING (field)
      LEFT JOIN smp USING (field)""")
@@ -245,3 +238,33 @@ def profile_fields(spark, sf_dir):
     f = P.profile_fields(quality_messages(spark, sf_dir))
     return (f.withColumn("completeness", r6("completeness"))
              .withColumn("uniqueness", r6("uniqueness")))
+
+
+@register("profile_device_gaps", _SQL_Q + f""",
+g AS (
+  SELECT CASE WHEN dev_present THEN dev ELSE 'unknown' END AS device_id,
+         epoch_us(ts) - lag(epoch_us(ts)) OVER (
+           PARTITION BY CASE WHEN dev_present THEN dev ELSE 'unknown' END ORDER BY ts) AS gap
+  FROM q WHERE ts IS NOT NULL)
+SELECT device_id, count(gap) AS gaps, {sql_r6('min(gap) / 1e6')} AS min_gap_seconds,
+       {sql_r6('max(gap) / 1e6')} AS max_gap_seconds,
+       {sql_r6('sum(gap) / 1e6 / nullif(count(gap), 0)')} AS mean_gap_seconds
+FROM g GROUP BY device_id""")
+def profile_device_gaps(spark, sf_dir):
+    g = P.device_gaps(quality_messages(spark, sf_dir))
+    return g.select("device_id", "gaps", *(r6(c).alias(c) for c in (
+        "min_gap_seconds", "max_gap_seconds", "mean_gap_seconds")))
+
+
+@register("profile_dataset", _SQL_Q + """
+SELECT 'total' AS section, count(*) AS n FROM q
+UNION ALL SELECT 'timestamps', 1
+UNION ALL SELECT 'devices', count(DISTINCT CASE WHEN dev_present THEN coalesce(dev, '-') ELSE 'unknown' END) FROM q
+UNION ALL SELECT 'protocols', count(DISTINCT proto) FROM q
+UNION ALL SELECT 'fields', 6
+UNION ALL SELECT 'device_gaps', count(DISTINCT CASE WHEN dev_present THEN coalesce(dev, '-') ELSE 'unknown' END) FROM q WHERE ts IS NOT NULL""")
+def profile_dataset(spark, sf_dir):
+    """Rows of each section; the sections' contents have oracles of their own."""
+    p = P.profile(quality_messages(spark, sf_dir))
+    n = F.when(F.col("section") == "total", F.get_json_object("json", "$.total_records").cast("long")).otherwise(1)
+    return p.groupBy("section").agg(F.sum(n).alias("n"))

@@ -7,6 +7,7 @@ second the order date plus ``o_custkey * 37 % 86400`` seconds with -0700.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driftwood.functions.timestamps import parse_offset_timestamp, timestamp_diff
@@ -58,9 +59,13 @@ def timestamp_diff_query(spark, sf_dir):
 
 
 @register("timestamp_case_array", _SQL_CASES + """
-SELECT file, case_id // 10000 AS chunk,
-       CAST(to_json(list(CAST(diff_seconds AS VARCHAR) ORDER BY case_id)) AS VARCHAR) AS results,
-       count(*) AS n_cases
-FROM diffs GROUP BY file, case_id // 10000""")
+SELECT file, list_reduce(list_prepend('[', list_append(
+         list_transform(list_zip(r, range(len(r))),
+                        lambda x: CASE WHEN x[2] = 0 THEN '' ELSE ',' END || '"' || x[1] || '"'), ']')),
+         lambda a, b: a || b) AS results,
+       len(r) AS n_cases
+FROM (SELECT file, list(CAST(diff_seconds AS VARCHAR) ORDER BY case_id) AS r FROM diffs GROUP BY file)""")
 def timestamp_case_array(spark, sf_dir):
-    return case_results_json(_diffs(spark, sf_dir))
+    """One array per input; a case's id is its position in the input, from 0."""
+    position = F.row_number().over(Window.partitionBy("file").orderBy("case_id")) - 1
+    return case_results_json(_diffs(spark, sf_dir).withColumn("case_id", position))

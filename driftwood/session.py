@@ -70,7 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - an unreadable conf counts as unset
             root = None
     if not root:
-        # Unset: only in local tests. A cluster names its shared folder.
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # One machine: a local folder is shared by all tasks.
         root = tempfile.mkdtemp(prefix="driftwood-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.schemas import CDR_SCHEMA_WITH_CORRUPT
+from driftwood.session import ensure_checkpoint_dir
 
 
 def read_cdr_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +32,7 @@ def split_corrupt(df: DataFrame, corrupt: str = "_corrupt_record") -> tuple[Data
     column, so the parsed scan is first materialised with a reliable
     ``checkpoint()`` in the shared checkpoint folder (which also cuts the
     lineage: both outputs are read from it, the source is parsed once)."""
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     cols = df.columns
     bad = df.where(F.col(corrupt).isNotNull()).select(*cols)
@@ -42,26 +44,29 @@ def read_pairs_text(text_df: DataFrame, file_col: str = "file",
                     value_col: str = "value") -> DataFrame:
     """SRC-2 on rows of whole texts: line 1 is the case count ``T``, then
     ``2T`` lines of timestamps. One output row per (file, case), in input
-    order (``case_id`` 0-based). A missing second line gives a null ``t2``;
-    a bad count gives no cases and ``error`` set on a single row.
+    order (``case_id`` 0-based). A missing second line gives a null ``t2``.
+    The lines present bound the cases: a count beyond them adds one row with
+    the ``error`` "missing cases" (its ``case_id`` is the first missing one),
+    and a bad count gives no cases and one row with ``error`` set.
     """
     lines = F.split(F.regexp_replace(F.trim(F.col(value_col)), r"\r\n", "\n"), "\n")
     t = F.trim(F.element_at(lines, 1)).try_cast("int")
-    base = text_df.select(F.col(file_col).alias("file"), lines.alias("_lines"),
-                          t.alias("_t"))
-    cases = base.where(F.col("_t") > 0).select(
-        "file", "_lines",
-        F.posexplode(F.sequence(F.lit(1), F.col("_t"))).alias("case_id", "_k"))
-    cases = cases.select(
-        "file", F.col("case_id").cast("int").alias("case_id"),
-        F.try_element_at("_lines", (F.col("case_id") * 2 + 2).cast("int")).alias("t1"),
-        F.try_element_at("_lines", (F.col("case_id") * 2 + 3).cast("int")).alias("t2"),
-        F.lit(None).cast("string").alias("error"))
-    bad = base.where(F.col("_t").isNull() | (F.col("_t") <= 0)).select(
-        "file", F.lit(None).cast("int").alias("case_id"),
-        F.lit(None).cast("string").alias("t1"), F.lit(None).cast("string").alias("t2"),
-        F.lit("invalid case count").alias("error"))
-    return cases.unionByName(bad)
+    base = text_df.select(F.col(file_col).alias("file"), lines.alias("_lines"), t.alias("_t"))
+    there = F.least(F.col("_t"), F.ceil((F.size("_lines") - 1) / 2).cast("int"))
+    none = F.lit(None).cast("string")
+    kind = "array<struct<case_id:int,t1:string,t2:string,error:string>>"
+
+    def failed(at, why: str):
+        return F.array(F.struct(at.cast("int").alias("case_id"), none.alias("t1"), none.alias("t2"),
+                                F.lit(why).alias("error"))).cast(kind)
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(there, F.lit(1)) - 1), lambda k: F.struct(
+        k.cast("int").alias("case_id"), F.get("_lines", k * 2 + 1).alias("t1"),
+        F.get("_lines", k * 2 + 2).alias("t2"), none.alias("error"))).cast(kind)
+    cases = F.when(there > 0, pairs).otherwise(F.array().cast(kind))
+    rows = F.when(F.coalesce(F.col("_t") > 0, F.lit(False)),
+                  F.when(there < F.col("_t"), F.concat(cases, failed(there, "missing cases"))).otherwise(cases)
+                  ).otherwise(failed(F.lit(None), "invalid case count"))
+    return base.select("file", F.inline(rows))
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
