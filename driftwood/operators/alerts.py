@@ -170,12 +170,16 @@ def dashboard(points: DataFrame, state: DataFrame, as_of: Column, key_metrics,
         F.to_json(F.struct("status", "total_alerts", "critical_alerts", "warning_alerts"))
          .alias("json"))
     panel = metric_summary(points, as_of, panel_minutes, names=list(key_metrics)).agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct(
-            "name", F.struct("count", "min", "max", "avg", "latest"))))).alias("json")
+        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
+            "name", F.struct("count", "min", "max", "avg", "latest")))))).alias("json")
     ).select(F.lit("performance_metrics").alias("section"), "json")
     alerts = last_alerts(active).agg(
-        F.to_json(F.collect_list(F.struct("id", "created_at", "severity", "component",
-                                          "message"))).alias("json")
+        F.to_json(F.transform(
+            F.reverse(F.array_sort(F.collect_list(F.struct("created_at", "seq", "id", "severity", "component",
+                                                           "message")))),
+            lambda a: F.struct(a["id"].alias("id"), a["created_at"].alias("created_at"),
+                               a["severity"].alias("severity"), a["component"].alias("component"),
+                               a["message"].alias("message")))).alias("json")
     ).select(F.lit("active_alerts").alias("section"), "json")
     return (health.unionByName(panel).unionByName(alerts)
                   .withColumn("timestamp", as_of))

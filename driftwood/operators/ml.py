@@ -8,16 +8,17 @@
   grown on min(256, n) points with height limit ceil(log2(size)); the
   anomaly score is 2^(-E[h(x)] / c(size)). A device needs at least 10 rows.
   The anomaly threshold is the score quantile at 1 - contamination over the
-  device's training points (about 10 % of them are flagged).
-* ML-4: scoring evaluates each device's trees with numpy on Arrow batches.
-
-Scale: training never reads a whole device. Each device keeps the rows with
-the smallest hash ranks, at most ``trees * sample`` of them (25,600), chosen
-by a ``row_number`` filter that Spark applies per partition before the
-shuffle; only that bounded sample reaches ``applyInPandas``. Scoring splits
-each device's rows into hash chunks of bounded size (their number follows
-the device's row count, so a device with a third of all rows spreads over
-many tasks), joins the model once per chunk (never onto each row) and scores
+  device's rows (about 10 % of them are flagged).
+* ML-4: scoring evaluates each device's trees with numpy on Arrow batches; a
+  row of a device without a model, or without a device, is not anomalous.
+
+Scale: each tree's 256 points are drawn from all rows of its device by a
+seeded hash per (tree, row); what passes is little more than 256 rows a tree
+however many the device has, and only that reaches ``applyInPandas``. The
+threshold is a quantile over the scores of all rows. Scoring splits each
+device's rows into hash chunks of bounded size (their number follows the
+device's row count, so a device with a third of all rows spreads over many
+tasks), joins the model once per chunk (never onto each row) and scores
 chunks with ``mapInArrow``; models are decoded once per device per task.
 """
 
@@ -71,9 +72,9 @@ def device_scaler(df: DataFrame, key: str = "device_id", features=FEATURES) -> D
 
 def scaled(df: DataFrame, scaler: DataFrame, key: str = "device_id",
            features=FEATURES) -> DataFrame:
-    """Rows with standardised features ``_z_<feature>`` (inner join: a
-    device without a scaler has no model either)."""
-    v = feature_vector(df, features).join(scaler, key, "inner")
+    """Rows with standardised features ``_z_<feature>`` (JOI-2, a left join:
+    they are null for a device without a scaler, which has no model either)."""
+    v = feature_vector(df, features).join(scaler, key, "left")
     return v.select("*", *[((F.col(f"_f_{f}") - F.col(f"mean_{f}")) / F.col(f"std_{f}"))
                            .alias(f"_z_{f}") for f in features])
 
@@ -172,42 +173,51 @@ def fit_forests(df: DataFrame, key: str = "device_id", features=FEATURES,
     scaler = device_scaler(df, key, features).where(F.col("n") >= min_rows)
     ensure_checkpoint_dir(df.sparkSession)
     scaler = scaler.checkpoint(eager=True)
-    z = scaled(df, scaler, key, features)
-    cap = n_trees * sample
-    rank = Window.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), F.col(order_key)), order_key)
-    train = (z.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= cap)
-              .select(key, F.col("n").alias("_n_all"), *[f"_z_{f}" for f in features]))
     zcols = [f"_z_{f}" for f in features]
+    # A row joins tree t if its hash for t is below a share of the device's
+    # rows that gives the tree its points and a margin of over six standard
+    # deviations; the smallest hashes among these are the tree's sample.
+    share = F.least(F.lit(1.0), F.lit(sample + 7 * sample ** 0.5 + 20) / F.col("n"))
+    bound = (share * F.lit(float(1 << 32))).cast("long")
+    draw = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
+        t.alias("tree"), F.xxhash64(F.lit(seed), t, F.col(order_key)).bitwiseAND(F.lit((1 << 32) - 1)).alias("h")))
+    drawn = (scaled(df, scaler, key, features).where(F.col("n").isNotNull())
+             .select(key, "n", order_key, *zcols, F.inline(F.filter(draw, lambda d: d["h"] < bound))))
+    rank = Window.partitionBy(key, "tree").orderBy("h", order_key)
+    train = (drawn.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= sample)
+             .select(key, F.col("n").alias("_n_all"), "tree", "_r", *zcols))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         device = pdf[key].iloc[0]
-        x = pdf[zcols].to_numpy(dtype=float)
         rng = np.random.default_rng(_device_seed(device, seed))
-        psi = int(min(sample, len(x)))
+        psi = int(min(sample, pdf["_n_all"].iloc[0]))
         limit = int(np.ceil(np.log2(max(psi, 2))))
-        trees = [_grow(x[rng.choice(len(x), size=psi, replace=False)], rng, limit)
-                 for _ in range(n_trees)]
-        scores = forest_scores(x, trees, psi)
-        threshold = float(np.quantile(scores, 1.0 - contamination))
+        trees = [_grow(part[zcols].to_numpy(dtype=float), rng, limit)
+                 for _, part in pdf.sort_values(["tree", "_r"]).groupby("tree")]
         return pd.DataFrame({key: [device], "n_train": [int(pdf["_n_all"].iloc[0])],
-                             "threshold": [threshold], "sample_size": [psi],
-                             "trees": [_pack(trees)]})
+                             "sample_size": [psi], "trees": [_pack(trees)]})
 
-    models = train.groupBy(key).applyInPandas(fit, schema=MODEL_SCHEMA)
     # Fitting is an action, as an estimator's fit is: the scaler and the
     # forests are written once (reliable checkpoints in the shared folder),
     # so scoring reads them instead of retraining, and a lost executor does
     # not retrain either.
-    models = models.checkpoint(eager=True)
+    forests = train.groupBy(key).applyInPandas(
+        fit, f"{key} string, n_train long, sample_size long, trees binary").checkpoint(eager=True)
+    scores = score_forests(df, scaler, forests.withColumn("threshold", F.lit(None).cast("double")),
+                           key, features, (order_key,))
+    thresholds = scores.where(F.col("anomaly_score").isNotNull()).groupBy(key).agg(
+        F.percentile_approx("anomaly_score", 1.0 - contamination, 100_000).alias("threshold"))
+    models = forests.join(thresholds, key).select(*MODEL_SCHEMA.fieldNames()).checkpoint(eager=True)
     return scaler, models
 
 
 def score_forests(df: DataFrame, scaler: DataFrame, models: DataFrame,
                   key: str = "device_id", features=FEATURES,
                   keep: tuple[str, ...] = ("event_id",),
-                  chunk_rows: int = 100_000) -> DataFrame:
-    """ML-4 / JOI-2: ``anomaly_score`` and ``is_anomaly`` per row; a device
-    without a model is never anomalous.
+                  chunk_rows: int = 10_000) -> DataFrame:
+    """ML-4 / JOI-2: ``anomaly_score`` and ``is_anomaly`` per row, one output
+    row for each input row; a row of a device without a model (too few rows,
+    unseen, or a null id) has a null score and is not anomalous.
 
     Rows of a device are hash-split into chunks of at most about
     ``chunk_rows`` points (the chunk count follows the device's row count,
@@ -217,7 +227,9 @@ def score_forests(df: DataFrame, scaler: DataFrame, models: DataFrame,
     """
     import pyarrow as pa
 
-    z = scaled(df, scaler, key, features)
+    every = scaled(df, scaler, key, features)
+    # Rows without a model go past the packing: there is nothing to score.
+    z = every.where(F.col("n").isNotNull())
     zcols = [f"_z_{f}" for f in features]
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(chunk_rows))).cast("long")
     z = z.withColumn("_chunk", F.pmod(F.xxhash64(*keep), n_chunks))
@@ -254,11 +266,14 @@ def score_forests(df: DataFrame, scaler: DataFrame, models: DataFrame,
                     cache[device] = _unpack(blob)
                 s = forest_scores(x_all[a:b], cache[device], int(size_col[i]))
                 scores[a:b] = s
-                flags[a:b] = s > thr_col[i]
+                if thr_col[i] is not None:
+                    flags[a:b] = s > thr_col[i]
             cols = [pa.array(dev_out, type=pa.string())]
             cols += [flat.field(k) for k in keep]
-            cols += [pa.array(scores), pa.array(flags)]
+            cols += [pa.array(scores, mask=np.isnan(scores)), pa.array(flags)]
             yield pa.RecordBatch.from_arrays(cols, names=[key, *keep, "anomaly_score",
                                                           "is_anomaly"])
 
-    return joined.mapInArrow(score, schema=out_schema)
+    plain = every.where(F.col("n").isNull()).select(
+        key, *keep, F.lit(None).cast("double").alias("anomaly_score"), F.lit(False).alias("is_anomaly"))
+    return joined.mapInArrow(score, schema=out_schema).unionByName(plain)

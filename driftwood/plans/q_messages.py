@@ -28,7 +28,11 @@ def _s(c):
 
 
 def message_rows(spark, sf_dir):
-    i = iot(spark, sf_dir)
+    return message_rows_from(iot(spark, sf_dir))
+
+
+def message_rows_from(i):
+    """The messages of an ``iot`` frame (batch or stream)."""
     eid = F.col("event_id")
     temp_text = F.when(eid % 11 == 0, F.lit("n/a")).otherwise(_s("temperature"))
     data = F.when(eid % 23 == 0, F.lit(None)).otherwise(F.create_map(
@@ -48,7 +52,10 @@ def message_rows(spark, sf_dir):
 
 def kafka_rows(spark, sf_dir):
     """SNK-6: the producer side (key, JSON value, topic, headers)."""
-    m = message_rows(spark, sf_dir)
+    return kafka_rows_from(message_rows(spark, sf_dir))
+
+
+def kafka_rows_from(m):
     env_ts = M.iso_text(F.col("event_time") + F.expr("INTERVAL 2 SECONDS"))
     return M.to_envelope(m, env_ts, topic=F.col("topic"),
                          headers={"source": F.lit("events")})

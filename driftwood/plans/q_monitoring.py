@@ -170,6 +170,27 @@ def alert_active(spark, sf_dir):
                     "seq")
 
 
+@register("alert_critical", _SQL_ALERTS + """
+SELECT id, component, epoch_us(created_at) AS created_us, resolved FROM state WHERE severity = 'CRITICAL'""")
+def alert_critical(spark, sf_dir):
+    """FLT-11: alerts of one severity, resolved or not."""
+    a = AL.by_severity(_state(spark, sf_dir), "CRITICAL")
+    return a.select("id", "component", F.unix_micros("created_at").alias("created_us"), "resolved")
+
+
+_COMPARED = ((">", "v > t"), ("<", "v < t"), (">=", "v >= t"), ("<=", "v <= t"), ("==", "v = t"), ("!=", "false"))
+
+
+@register("rule_comparisons", "WITH e AS (SELECT event_id, floor(value) AS v, CAST(event_id % 500 AS DOUBLE) AS t FROM events) "
+          + " UNION ALL ".join(f"SELECT event_id, '{o}' AS operator, {c} AS breached FROM e" for o, c in _COMPARED))
+def rule_comparisons(spark, sf_dir):
+    """FLT-12: every comparison on every event, against a threshold by id."""
+    ev = table(spark, sf_dir, "events").withColumn(
+        "operator", F.explode(F.array(*[F.lit(o) for o, _ in _COMPARED])))
+    return ev.select("event_id", "operator", AL.breached(
+        F.floor("value").cast("double"), F.col("operator"), (F.col("event_id") % 500).cast("double")).alias("breached"))
+
+
 @register("alert_last10", _SQL_ALERTS + """
 SELECT id, component, severity, epoch_us(created_at) AS created_us, seq
 FROM active ORDER BY created_at DESC, seq DESC LIMIT 10""")

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from driftwood.operators import calls as C
 from driftwood.operators import windows as W
+from driftwood.operators.messages import map_text
+from driftwood.plans import q_messages as QM
 from driftwood.plans.q_calls import ORDER
 from driftwood.plans.q_windows import _wins_sql, compared, sql_compared
-from driftwood.plans.registry import register, with_views
+from driftwood.plans.registry import ORACLE, register, with_views
 from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from
-from driftwood.streaming.pipeline import WATERMARK, run_available_now
+from driftwood.session import scratch_path
+from driftwood.streaming.pipeline import WATERMARK, processing_flow, run_available_now
 from driftwood.streaming.sessions import stream_calls_previous
 
 WATERMARK_US = C.interval_micros(WATERMARK)
@@ -153,3 +156,37 @@ def calls_stream_previous(spark, sf_dir):
     rec = rec.where(F.col("msisdn").isNotNull() & F.col("domain").isNotNull()
                     & F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
     return run_available_now(stream_calls_previous(rec, WATERMARK), spark, "calls-previous")
+
+
+def _flow(spark, sf_dir, part):
+    """Drain the message stream through the processing flow (ALR-2) and read
+    one of its outputs back."""
+    root, ckpt = scratch_path(spark, "flow-out"), scratch_path(spark, "flow-ckpt")
+    stream = QM.kafka_rows_from(QM.message_rows_from(iot_from(events_stream(spark, sf_dir))))
+    q = (stream.writeStream.foreachBatch(processing_flow(root)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.option("basePath", f"{root}/{part}").parquet(f"{root}/{part}")
+
+
+@register("flow_processed", ORACLE["processed_records"])
+def flow_processed(spark, sf_dir):
+    p = _flow(spark, sf_dir, "processed")
+    return p.select("device_id", "timestamp", map_text(F.col("metrics")).alias("metrics"),
+                    map_text(F.col("metadata")).alias("metadata"))
+
+
+@register("flow_alerts", ORACLE["high_temperature_alerts"])
+def flow_alerts(spark, sf_dir):
+    return _flow(spark, sf_dir, "alerts").select("device_id", "alert_type", "value", "threshold", "severity")
+
+
+@register("flow_quarantine", QM._SQL_MSG + """
+SELECT CASE WHEN dev IS NULL THEN 'missing_device_id' ELSE 'missing_timestamp' END AS reason,
+       event_id
+FROM msg WHERE dev IS NULL OR NOT has_ts""")
+def flow_quarantine(spark, sf_dir):
+    return _flow(spark, sf_dir, "quarantine").select(
+        "reason", F.col("message.metadata")["event_id"].cast("long").alias("event_id"))

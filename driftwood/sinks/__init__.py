@@ -95,6 +95,18 @@ def write_messages(messages: DataFrame, cfg: SinkConfig, envelope_ts: Column | N
     return obs.get
 
 
+def publish_rows(rows: DataFrame, cfg: SinkConfig, batch_id: int | None = None) -> None:
+    """SNK-7: rows ``key, value, topic``, each to the topic it names. The
+    file stand-in takes one folder a batch, so that a replayed batch replaces
+    its own rows; Kafka consumers must expect repeats after a replay."""
+    if cfg.kind == "kafka":
+        opts = {k: v for k, v in _kafka_opts(cfg).items() if k != "topic"}
+        rows.write.format("kafka").options(**opts).save()
+        return
+    target = cfg.path if batch_id is None else os.path.join(cfg.path, f"batch_id={batch_id}")
+    rows.write.mode("append" if batch_id is None else "overwrite").json(target)
+
+
 def write_quarantine(bad: DataFrame, path: str, batch_id: int | None = None) -> None:
     """SNK-9: invalid records partitioned by reason; inside ``foreachBatch``
     pass the batch id so a replayed batch overwrites its own output."""

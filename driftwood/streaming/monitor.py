@@ -11,6 +11,7 @@ new alerts to handlers whose failures are isolated.
 
 from __future__ import annotations
 
+import logging
 import os
 import uuid
 from collections.abc import Callable
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from driftwood.operators import alerts as AL
 
+LOG = logging.getLogger(__name__)
 RULE_CHECK_EVERY = "30 seconds"      # fixed value: rule check period
 
 
@@ -61,23 +63,38 @@ def read_progress(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(folder).withColumnRenamed("value", "json")
 
 
-def start_rule_monitor(points: DataFrame, rules: DataFrame, alerts_path: str,
+def start_rule_monitor(points: DataFrame, rules: DataFrame, metrics_path: str, alerts_path: str,
                        checkpoint: str, handlers: dict[str, Callable[[DataFrame, int], None]]
                        | None = None, every: str | None = RULE_CHECK_EVERY) -> StreamingQuery:
-    """STR-11: every ``every`` the rules are evaluated on the points seen in
-    the last five minutes of the batch's newest point; alerts are appended
-    to ``alerts_path`` (per batch, replay-safe) and passed to ``handlers``."""
+    """STR-11: every ``every`` the rules are evaluated on all points of the
+    five minutes up to the newest point so far. A batch first joins the
+    metric table at ``metrics_path`` (date partitions, one folder a batch, so
+    a replayed batch replaces its own rows); the rules then read the last
+    minutes back from it, whichever batch they came in. Alerts are written to
+    ``alerts_path`` (per batch, replay-safe) and passed to ``handlers``."""
     handlers = handlers or {}
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        as_of = batch.agg(F.max("ts")).scalar()
-        alerts = AL.evaluate_rules(batch, rules, as_of)
+        spark = batch.sparkSession
+        (batch.withColumn("date", F.to_date("ts")).write.mode("overwrite").partitionBy("date")
+         .parquet(os.path.join(metrics_path, f"batch_id={batch_id}")))
+        latest = batch.agg(F.max(F.unix_micros("ts"))).first()[0]
+        if latest is None:
+            return
+        table = spark.read.schema(batch.schema.add("batch_id", "long").add("date", "date")).option(
+            "basePath", metrics_path).parquet(metrics_path).where(F.col("batch_id") <= batch_id)
+        newest = table.where(F.col("date") >= F.to_date(F.timestamp_micros(F.lit(latest)))).agg(
+            F.max(F.unix_micros("ts"))).first()[0]
+        as_of = F.timestamp_micros(F.lit(newest))
+        # The bound on the partition column keeps the read to one or two dates.
+        since = F.to_date(as_of - F.expr(f"INTERVAL {AL.RULE_WINDOW_MINUTES} MINUTE"))
+        alerts = AL.evaluate_rules(table.where(F.col("date") >= since), rules, as_of)
         alerts.write.mode("overwrite").parquet(os.path.join(alerts_path, f"batch_id={batch_id}"))
         for _name, handler in handlers.items():
             try:
                 handler(alerts, batch_id)
             except Exception:  # noqa: BLE001 - a failing handler stays isolated
-                pass
+                LOG.exception("alert handler %s failed on batch %s", _name, batch_id)
 
     w = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(check)
     w = w.trigger(availableNow=True) if every is None else w.trigger(processingTime=every)
