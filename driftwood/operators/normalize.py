@@ -5,16 +5,15 @@ payload logic runs over a landing table of captured payloads
 (``RAW_PAYLOAD_SCHEMA``), batch or stream, and yields standard messages
 ``(device_id, protocol, timestamp, data map, metadata map)``.
 
-SNMP and CoAP polls return several values that form one message: a poll is
-folded with a hash aggregate on (device, poll); a value repeated within a
-poll keeps its last arrival (as a dictionary update does). Polls are small
-(bounded by the configured OIDs/resources), so the fold never collects an
-unbounded group.
+SNMP and CoAP polls return several values that form one message: a value
+repeated within a poll keeps its last arrival (as a dictionary update does),
+and the entries left, bounded by the configured OIDs or resources, are folded
+to one map.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,52 +104,55 @@ def normalize_tcp(raw: DataFrame, source: str = "source_id") -> DataFrame:
                     F.col(source))
 
 
-def _fold(values: DataFrame, keys: list[str], entry_key: str, entry_value: Column,
-          order: str) -> DataFrame:
-    """Last value per (keys, entry key) by ``order``, folded to one map.
+def fold_polls(raw: DataFrame, source: str = "source_id",
+               resources: Sequence[str] | None = None) -> DataFrame:
+    """NRM-3/4: one message per SNMP or CoAP poll, both in one pass.
 
-    One aggregate per poll (one shuffle): the poll's entries are collected,
-    sorted by (entry key, order), and the last entry of each key is kept. A
-    poll is bounded by its configured OIDs or resources."""
-    entry = F.struct(F.col(entry_key).alias("k"), F.col(order).alias("o"),
-                     entry_value.alias("v"))
-    polls = values.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_e"),
-                                      F.max("received_at").alias("received_at"),
-                                      F.min(order).alias("source_id"))
-    last = F.filter("_e", lambda e, i: F.coalesce(F.get(F.col("_e"), i + 1)["k"] != e["k"],
-                                                  F.lit(True)))
-    return polls.select(*keys, F.map_from_entries(F.transform(
-        last, lambda e: F.struct(e["k"], e["v"]))).alias("data"), "received_at", "source_id")
+    * SNMP: the var-binds of a poll -> map OID -> value.
+    * CoAP: its successful (2.xx) responses -> map resource -> JSON document
+      (the payload if it is JSON, else ``{raw_data}``); polls without one
+      emit nothing. The metadata name the polled ``resources``, by default
+      those that answered.
+
+    A value repeated within a poll keeps its last arrival: one aggregate per
+    (poll, entry), combined before the shuffle, so repeats are never
+    collected; a second one folds the poll's entries, as many as there are
+    OIDs or resources. A row without a poll id is a poll of its own.
+    """
+    snmp = F.col("protocol") == "SNMP"
+    ok = snmp | ((F.col("protocol") == "CoAP") & F.startswith(F.col("response_code"), F.lit("2.")))
+    text = _text()
+    doc = F.coalesce(F.to_json(whole_json(text)), F.to_json(F.struct(text.alias("raw_data"))))
+    values = raw.where(ok).select(
+        "protocol", "host", "port", "poll_id", "received_at", F.col(source).alias("source_id"),
+        F.coalesce("device_id", F.concat(F.lower("protocol"), F.lit("_"), F.col("host"))).alias("device_id"),
+        F.when(F.col("poll_id").isNull(), F.col(source)).alias("_own"),
+        F.when(snmp, F.col("community")).alias("community"),
+        F.when(snmp, F.col("oid")).otherwise(F.col("resource")).alias("k"),
+        F.when(snmp, F.col("oid_value")).otherwise(doc).alias("v"))
+    keys = ["protocol", "device_id", "poll_id", "_own", "host", "port", "community"]
+    last = values.groupBy(*keys, "k").agg(
+        F.max_by("v", "source_id").alias("v"), F.max("received_at").alias("received_at"),
+        F.min("source_id").alias("source_id"))
+    polls = last.groupBy(*keys).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("data"),
+        F.max("received_at").alias("timestamp"), F.min("source_id").alias("source_id"))
+    polled = F.array_join(F.map_keys("data"), ",") if resources is None else F.lit(",".join(resources))
+    return polls.select(
+        "source_id", "device_id", "protocol", "timestamp", "data",
+        F.when(F.col("protocol") == "SNMP", _meta(host=F.col("host"), port=F.col("port"), community=F.col("community")))
+        .otherwise(_meta(host=F.col("host"), port=F.col("port"), resources=polled)).alias("metadata"), "poll_id")
 
 
 def fold_snmp(raw: DataFrame, source: str = "source_id") -> DataFrame:
-    """NRM-3: the var-binds of one poll -> map OID -> value."""
-    r = raw.where(F.col("protocol") == "SNMP").withColumn(
-        "device_id", F.coalesce(F.col("device_id"), F.concat(F.lit("snmp_"), F.col("host"))))
-    folded = _fold(r, ["device_id", "poll_id", "host", "port", "community"], "oid",
-                   F.col("oid_value"), source)
-    return folded.select(
-        "source_id", "device_id", F.lit("SNMP").alias("protocol"),
-        F.col("received_at").alias("timestamp"), "data",
-        _meta(host=F.col("host"), port=F.col("port"), community=F.col("community"))
-        .alias("metadata"), "poll_id")
-
-
-def fold_coap(raw: DataFrame, source: str = "source_id") -> DataFrame:
-    """NRM-4: successful (2.xx) resource responses of one poll -> map
-    resource -> JSON document (payload if it is JSON, else ``{raw_data}``);
-    polls without a successful response emit nothing."""
-    r = (raw.where((F.col("protocol") == "CoAP") & F.startswith(F.col("response_code"), F.lit("2.")))
-            .withColumn("device_id", F.coalesce(F.col("device_id"),
-                                                F.concat(F.lit("coap_"), F.col("host")))))
-    text = _text()
-    doc = F.coalesce(F.to_json(whole_json(text)),
-                     F.to_json(F.struct(text.alias("raw_data"))))
-    folded = _fold(r, ["device_id", "poll_id", "host", "port"], "resource", doc, source)
-    return folded.select(
-        "source_id", "device_id", F.lit("CoAP").alias("protocol"),
-        F.col("received_at").alias("timestamp"), "data",
-        _meta(host=F.col("host"), port=F.col("port")).alias("metadata"), "poll_id")
+    """NRM-3 alone (see :func:`fold_polls`)."""
+    return fold_polls(raw.where(F.col("protocol") == "SNMP"), source)
+
+
+def fold_coap(raw: DataFrame, source: str = "source_id",
+              resources: Sequence[str] | None = None) -> DataFrame:
+    """NRM-4 alone (see :func:`fold_polls`)."""
+    return fold_polls(raw.where(F.col("protocol") == "CoAP"), source, resources)
 
 
 def normalize_row_local(raw: DataFrame, source: str = "source_id") -> DataFrame:
@@ -180,10 +182,9 @@ def normalize_row_local(raw: DataFrame, source: str = "source_id") -> DataFrame:
                     data.alias("data"), metadata.alias("metadata"))
 
 
-def normalize_all(raw: DataFrame, source: str = "source_id") -> DataFrame:
+def normalize_all(raw: DataFrame, source: str = "source_id",
+                  resources: Sequence[str] | None = None) -> DataFrame:
     """SET-2: one stream of standard messages from every protocol: the
-    row-local protocols in one pass, the two poll folds as aggregates."""
-    parts = [normalize_row_local(raw, source),
-             fold_snmp(raw, source).select(*MESSAGE_COLUMNS),
-             fold_coap(raw, source).select(*MESSAGE_COLUMNS)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    row-local protocols in one pass, the polls in another."""
+    return normalize_row_local(raw, source).unionByName(
+        fold_polls(raw, source, resources).select(*MESSAGE_COLUMNS))

@@ -141,7 +141,8 @@ coap AS (
   SELECT min(first_id) AS source_id, device_id, 'CoAP' AS protocol,
          epoch_us(max(received_at)) AS timestamp_us,
          string_agg(resource || '=' || v, ',' ORDER BY resource) AS data,
-         'host=' || host || ',port=' || CAST(port AS VARCHAR) AS metadata,
+         'host=' || host || ',port=' || CAST(port AS VARCHAR)
+           || ',resources=/sensors/temperature,/sensors/humidity' AS metadata,
          poll_id
   FROM coap_last GROUP BY device_id, poll_id, host, port)"""
 
@@ -168,7 +169,7 @@ def snmp_fold(spark, sf_dir):
 
 @register("coap_fold", _SQL_RAW + "," + _SQL_COAP_FOLD + "\nSELECT * FROM coap")
 def coap_fold(spark, sf_dir):
-    return shown(N.fold_coap(landing(spark, sf_dir)), "poll_id")
+    return shown(N.fold_coap(landing(spark, sf_dir), resources=RESOURCES), "poll_id")
 
 
 @register("protocol_union", _SQL_RAW + "," + _SQL_SNMP_FOLD + "," + _SQL_COAP_FOLD + f"""
@@ -178,7 +179,7 @@ UNION ALL {_SQL_TCP}
 UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM snmp
 UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM coap""")
 def protocol_union(spark, sf_dir):
-    return shown(N.normalize_all(landing(spark, sf_dir)))
+    return shown(N.normalize_all(landing(spark, sf_dir), resources=RESOURCES))
 
 
 @register("topic_filter", _SQL_RAW + """

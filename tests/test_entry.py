@@ -2,6 +2,7 @@
 or is a declared rows-only query, and every oracle agrees at sf0.001."""
 
 import os
+import re
 import sys
 
 import duckdb
@@ -24,7 +25,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    own = {q for q in E.queries() if q != "pipeline" and not re.match(r"op\d+_", q)}  # without the corpus package's
+    assert own - set(E.oracle_sql()) == ROWS_ONLY
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

@@ -36,8 +36,8 @@ def main(argv):
     lines = ["# Executed plans", "",
              f"Final adaptive plans of every registered query at `{sf_dir}` on local[8] "
              "(generated by `tools/plan_report.py`). Streaming queries show the batch read "
-             "of their sink. Counts are of plan nodes; `round_robin` marks the rebalance "
-             "of single-split test files (no-op at scale). `ckpt_reads` counts reads of a "
+             "of their sink. Counts are of plan nodes."
+             " `ckpt_reads` counts reads of a "
              "reliable checkpoint written by an earlier job of the same query (partial "
              "calls, profile aggregate, fitted models); that job's own scan and shuffle "
              "are not in these counts (for the call queries: one scan and one records "
