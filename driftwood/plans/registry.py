@@ -29,6 +29,7 @@ _MODULES = (
     "driftwood.plans.q_monitoring",
     "driftwood.plans.q_streaming",
     "driftwood.plans.q_ml",
+    "driftwood.plans.q_io",
 )
 
 
