@@ -7,9 +7,9 @@ matters, and only suffixes that tie with one of another document:
 
 1. Documents lie in blocks of ascending ids; a task holds one block.
 2. Of each document the suffixes at the positions of a difference cover
-   (6 of every 31) are sampled. For any two suffixes some offset below 31
+   (5 of every 21) are sampled. For any two suffixes some offset below 21
    puts both on the cover, so suffixes that tie for ``min_bytes`` bytes have
-   sampled suffixes that tie for ``min_bytes - 30``. Samples are sorted one
+   sampled suffixes that tie for ``min_bytes - 20``. Samples are sorted one
    bucket at a time over all blocks; those that tie with another document's
    are flagged. A flag may be wrong, a missing one never is.
 3. The suffixes within reach of a flag, few against all, are sorted one
@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from driftwood.llm.common import key_ranges, range_of
 from driftwood.llm.minhash import groups_of
 
-# A perfect difference set modulo 31.
-PERIOD = 31
-COVER = (1, 5, 11, 24, 25, 27)
+# A perfect difference set modulo 21.
+PERIOD = 21
+COVER = (3, 6, 7, 12, 14)
 
 _BASE = 0x9E3779B97F4A7C15
 _SLICE = 1 << 17
@@ -127,13 +127,20 @@ class Block:
     def candidates(self, samples, told: np.ndarray):
         """Suffixes with a flagged sample at an offset below the period."""
         _, number, _, several = samples
-        near = np.zeros(len(self.data) + 1, np.int32)
-        near[self.sampled[(several | told)[number]]] = 1
-        total = np.cumsum(near)
-        reach = np.minimum(np.arange(len(self.data)) + PERIOD - 1, len(self.data) - 1)
-        before = np.concatenate([[0], total[:-2]]) if len(self.data) else total[:0]
-        self.suffixes = np.nonzero((total[reach] > before) & (self.room >= self.min_bytes))[0]
-        return self._sorted(self.suffixes, self.min_bytes, 64)
+        self.suffixes = np.nonzero(self._reaching((several | told)[number]))[0]
+        out = self._sorted(self.suffixes, self.min_bytes, 64)
+        # Other blocks need those alone whose samples they have too.
+        self.shared = np.zeros(len(out[0]), bool)
+        self.shared[out[1][self._reaching(told[number])[self.suffixes]]] = True
+        return out
+
+    def _reaching(self, flagged: np.ndarray) -> np.ndarray:
+        """Whether a full-length suffix has one of the flagged samples in reach."""
+        n = len(self.data)
+        mark = np.zeros(n + PERIOD, np.int32)
+        mark[self.sampled[flagged]] = 1
+        total = np.concatenate([[0], np.cumsum(mark)])  # samples before each position
+        return (total[PERIOD:PERIOD + n] > total[:n]) & (self.room >= self.min_bytes)
 
     def covered(self, suffixes, told: np.ndarray) -> np.ndarray:
         _, number, lead, _ = suffixes
@@ -204,7 +211,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
     document and do not take from each other; rows with a null id are
     returned whole and take from none.
     """
-    if min_bytes < 2 * PERIOD - 23:
+    if min_bytes < 2 * PERIOD:
         raise ValueError("the cover leaves too short a sample for this length")
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     bounds, _ = key_ranges(rows.select("d"), "d", rows_per_block)
@@ -226,7 +233,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
         block = Block(table, min_bytes)
         s = block.samples(bits)
         c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
-        return _split(table.column("block")[0].as_py(), 2, c[0], 64, bucket_bits)
+        return _split(table.column("block")[0].as_py(), 2, c[0][block.shared], 64, bucket_bits)
 
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
@@ -236,7 +243,9 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
         block = Block(table, min_bytes)
         s = block.samples(bits)
         c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
-        gone = block.covered(c, _told(replies, 2, c[0], 64, bucket_bits))
+        earlier = np.zeros(len(c[0]), bool)
+        earlier[block.shared] = _told(replies, 2, c[0][block.shared], 64, bucket_bits)
+        gone = block.covered(c, earlier)
         spans, kept = [], []
         for a, b in zip(block.edge, block.edge[1:]):
             part = gone[a:b]
