@@ -86,7 +86,7 @@ def test_packing_stage(steps):
 
 
 def test_odd_rows_through_all_stages(spark, tmp_path):
-    odd = ODD + [(20 + i, f"plain words of document number {i} which says what it has to say") for i in range(5)]
+    odd = ODD + [(20 + i, " ".join(f"word{i}x{k * k}" for k in range(14))) for i in range(5)]
     (docs_of(spark, odd).drop("line", "node", "key").write.parquet(str(tmp_path / "documents.parquet")))
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     kept = Counter(r["doc_id"] for r in rows if r["piece"] == 0)
