@@ -233,7 +233,7 @@ def test_line_dedup_against_brute_force(spark):
 
 
 def test_simhash_of_long_lines(spark):
-    """Lines of more words than a counting lane holds."""
+    """Many words, and bits that nearly all of them have."""
     words = [f"w{i % 7}" for i in range(70_000)]
     frame = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:7])), (3, "w0")], "id long, line string")
     got = {r["id"]: r["simhash"] for r in line_dedup.simhashes(frame).collect()}
