@@ -85,15 +85,136 @@ class Vocabulary:
         return np.where(self.opens, weights / weights[self.opens].sum(), weights / weights[~self.opens].sum())
 
 
+def _step(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Hash of a string from that of the string without its last character."""
+    return (h ^ (code + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15) + (h >> np.uint64(29))
+
+
+def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of exponentials, term by term; at least one is finite."""
+    table = np.stack(terms)
+    top = table.max(axis=0)
+    return top + np.log(np.exp(table - top).sum(axis=0))
+
+
 class Lattice:
-    """Lattice of the words under given piece probabilities."""
+    """Lattices of words under given piece probabilities, all words of one
+    length at a time: a column per substring, a row per word. Longer words
+    than ``WIDE`` characters go one by one."""
+
+    WIDE, ROWS = 48, 8192
 
     def __init__(self, vocabulary: Vocabulary, probability: np.ndarray):
-        log = np.log(probability).tolist()
+        self.log = np.log(probability)
+        log = self.log.tolist()
         self.vocabulary = vocabulary
         self.pieces = {p: (i, log[i]) for p, i in vocabulary.pieces.items()}
         self.byte = [log[i] for i in vocabulary.bytes]
         self.end = log[vocabulary.end]
+        # Pieces by the hash of their characters, and which hashes may be one.
+        spelt = sorted(vocabulary.pieces, key=len)
+        h = np.zeros(len(spelt), np.uint64)
+        for k in range(vocabulary.longest):
+            at = [i for i, p in enumerate(spelt) if len(p) > k]
+            h[at] = _step(h[at], np.array([ord(spelt[i][k]) for i in at], np.uint64))
+        order = np.argsort(h)
+        self.known, self.number = h[order], np.array([vocabulary.pieces[p] for p in spelt])[order]
+        if len(np.unique(h)) != len(h):
+            raise ValueError("two pieces of the vocabulary share a hash")
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(h >> np.uint64(44)).astype(np.int64)] = True
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Piece number of each hash, -1 if it is none."""
+        out = np.full(len(h), -1)
+        at = np.nonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])[0]
+        to = np.minimum(np.searchsorted(self.known, h[at]), len(self.known) - 1)
+        hit = self.known[to] == h[at]
+        out[at[hit]] = self.number[to[hit]]
+        return out
+
+    def _batches(self, words: list[bytes]):
+        """(numbers of the words, their characters as a matrix), and the
+        numbers of the words that are too long for it."""
+        texts = [MARK + w.decode("utf-8", "surrogateescape") for w in words]
+        size = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(size, kind="stable")
+        sizes, start = np.unique(size[order], return_index=True)
+        for n, part in zip(sizes.tolist(), np.split(order, start[1:])):
+            if n > self.WIDE:
+                yield part, None
+                continue
+            for lo in range(0, len(part), self.ROWS):
+                here = part[lo:lo + self.ROWS]
+                raw = "".join([texts[i] for i in here]).encode("utf-32-le", "surrogatepass")
+                yield here, np.frombuffer(raw, np.uint32).reshape(-1, n)
+
+    def _weights(self, codes: np.ndarray):
+        """Per end and start: piece numbers and log weights (-inf for no
+        piece); per character the log weight of its bytes."""
+        n = codes.shape[1]
+        wide = codes.astype(np.uint64)
+        arcs: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(n + 1)]
+        log = np.append(self.log, -np.inf)  # of piece -1
+        for i in range(n):
+            h = np.zeros(len(codes), np.uint64)
+            for j in range(i + 1, min(n, i + self.vocabulary.longest) + 1):
+                h = _step(h, wide[:, j - 1])
+                piece = self._find(h)
+                if (piece >= 0).any():
+                    arcs[j].append((i, piece, log[piece]))
+        chars, number = np.unique(codes, return_inverse=True)
+        spelt = np.array([sum(self.byte[b] for b in chr(c).encode("utf-8", "surrogateescape"))
+                          for c in chars.tolist()])[number.reshape(codes.shape)]
+        return arcs, spelt
+
+    def _forward(self, arcs, spelt: np.ndarray) -> np.ndarray:
+        """Log-space forward recursion: the weight of all paths to each position."""
+        alpha = np.zeros((spelt.shape[1] + 1, len(spelt)))
+        for j in range(1, len(alpha)):
+            terms = [alpha[i] + w for i, _, w in arcs[j]]
+            if j > 1:  # any character but the marker can be spelt in bytes
+                terms.append(alpha[j - 1] + spelt[:, j - 1])
+            alpha[j] = _log_sum(terms)
+        return alpha
+
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        """Natural logs of the words' marginal probabilities over all
+        segmentations, their ends included."""
+        out = np.zeros(len(words))
+        for here, codes in self._batches(words):
+            if codes is None:
+                out[here] = [self.log_probability(words[i]) for i in here]
+            else:
+                out[here] = self._forward(*self._weights(codes))[-1] + self.end
+        return out
+
+    def expect_all(self, words: list[bytes], counts: np.ndarray) -> None:
+        """Add the expected uses of every piece in the words."""
+        for here, codes in self._batches(words):
+            if codes is None:
+                for i in here:
+                    self.expect(words[i], counts)
+                continue
+            arcs, spelt = self._weights(codes)
+            alpha, n = self._forward(arcs, spelt), codes.shape[1]
+            into: list[list[np.ndarray]] = [[] for _ in range(n + 1)]
+            back = np.zeros(len(codes))
+            for j in range(n, 0, -1):
+                if j < n:
+                    back = _log_sum(into[j])
+                rest = back - alpha[-1]
+                for i, piece, w in arcs[j]:
+                    into[i].append(back + w)
+                    at = np.nonzero(piece >= 0)[0]
+                    counts += np.bincount(piece[at], np.exp((alpha[i] + w + rest)[at]), len(counts))
+                if j > 1:
+                    into[j - 1].append(back + spelt[:, j - 1])
+                    share = np.exp(alpha[j - 1] + spelt[:, j - 1] + rest)
+                    chars, number = np.unique(codes[:, j - 1], return_inverse=True)
+                    for c, x in zip(chars.tolist(), np.bincount(number, share).tolist()):
+                        for b in chr(c).encode("utf-8", "surrogateescape"):
+                            counts[self.vocabulary.bytes[b]] += x
 
     def arcs(self, word: bytes) -> list[list[tuple[int, float, object]]]:
         """Per end position: (start, log weight, piece or the bytes of a character)."""
@@ -170,9 +291,8 @@ def learn(words: DataFrame, vocabulary: Vocabulary, rounds: int = 3, prior: floa
         def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(vocabulary.first))
             for batch in batches:
-                for word in batch.column("word").to_pylist():
-                    lattice.value.expect(word, total)
-                    total[vocabulary.end] += 1
+                lattice.value.expect_all(batch.column("word").to_pylist(), total)
+                total[vocabulary.end] += batch.num_rows
             at = np.nonzero(total)[0]
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
 
@@ -229,8 +349,7 @@ def score(docs: DataFrame, model_path: str, held_out: str = "held_out", training
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spelt = np.fromiter(map(lattice.value.log_probability, batch.column("word").to_pylist()), float,
-                                batch.num_rows) + new_log
+            spelt = lattice.value.log_probabilities(batch.column("word").to_pylist()) + new_log
             whole = np.log((batch.column("c").to_numpy() - discount) / (train_tokens + 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.logaddexp(spelt, whole))],
                                              names=["word", "c", "log_p"])
@@ -250,8 +369,8 @@ def score(docs: DataFrame, model_path: str, held_out: str = "held_out", training
         c = right.column("c").to_numpy()
         log_p = right.column("log_p").to_numpy().copy()
         spelt = right.column("word").to_pylist()
-        for i in np.nonzero(np.isnan(log_p))[0]:  # not in a training document
-            log_p[i] = lattice.value.log_probability(spelt[i]) + new_log
+        new = np.nonzero(np.isnan(log_p))[0]  # not in a training document
+        log_p[new] = lattice.value.log_probabilities([spelt[i] for i in new]) + new_log
         number = {w: i for i, w in enumerate(spelt)}
         known, base = c > 0, np.log10(c + 0.1)
         out = []

@@ -127,6 +127,19 @@ def test_forward_recursion_adds_up_all_segmentations():
             or any(len(c.encode()) > 1 for c in word)
 
 
+def test_words_side_by_side_and_one_by_one_agree():
+    v = lattice_lm.Vocabulary(P.path("piece_bpe_32k.model"))
+    lattice = lattice_lm.Lattice(v, v.first)
+    words = [w.encode() for w in "a thing things running été 日本語 x9 ... naïve a\x00b été 🙂🙂".split()] + [b"long" * 40]
+    got = lattice.log_probabilities(words)
+    assert np.allclose(got, [lattice.log_probability(w) for w in words], rtol=1e-10)
+    together, single = np.zeros(len(v.first)), np.zeros(len(v.first))
+    lattice.expect_all(words, together)
+    for w in words:
+        lattice.expect(w, single)
+    assert np.allclose(together, single, rtol=1e-8, atol=1e-12)
+
+
 def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 

@@ -75,9 +75,12 @@ def test_edge_rows(spark):
     assert r[4].quality_score == 40
 
 
-def test_field_stats_cap_and_nulls(spark):
-    msgs = [{"k": i, "n": None if i % 2 else i} for i in range(150)]
+def test_field_stats_and_nulls(spark):
+    msgs = [{"k": i, "n": None if i % 2 else i, "big": 12345678901234567890, "x": 25.0 if i % 3 else 25}
+            for i in range(150)]
     f = {r.field: r for r in P.profile_fields(_msgs(spark, msgs)).collect()}
-    assert f["k"].distinct_values == 100 and f["k"]["count"] == 150
+    assert f["k"].distinct_values == 150 and f["k"]["count"] == 150 and f["k"].uniqueness == 1
     assert f["n"].null_count == 75 and f["n"].completeness == 0.5
-    assert len(f["k"].sample_values.split("|")) == 100
+    assert len(f["k"].sample_values.split("|")) == 100  # the list alone is cut
+    assert f["big"].type_distribution == "int=150" and f["big"].sample_values == "12345678901234567890"
+    assert f["x"].type_distribution == "float=100,int=50" and f["x"].sample_values == "25|25.0"
