@@ -29,7 +29,6 @@ PATTERNS = {
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
     from driftwood.session import get_session
 
     spark = get_session("local[8]", shuffle_partitions=8)
@@ -39,13 +38,15 @@ def main(argv):
              "of their sink. Counts are of plan nodes."
              " `ckpt_reads` counts reads of a "
              "reliable checkpoint written by an earlier job of the same query (partial "
-             "calls, profile aggregate, fitted models); that job's own scan and shuffle "
+             "calls, fitted models); that job's own scan and shuffle "
              "are not in these counts (for the call queries: one scan and one records "
              "shuffle on (key, bucket), plus the narrow carry read for the running-max "
              "rule).", "",
              "| query | " + " | ".join(PATTERNS) + " | pushed filters |",
              "|---|" + "---|" * (len(PATTERNS) + 1)]
-    for name, fn in sorted(E.queries().items()):
+    from driftwood.plans import registry
+    registry.load_all()
+    for name, fn in sorted(registry.QUERIES.items()):
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
