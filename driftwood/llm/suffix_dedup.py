@@ -5,6 +5,8 @@ A byte goes if a string of ``min_bytes`` bytes that covers it also starts in a
 document with a smaller id. Only the order of suffixes up to that depth
 matters, and only suffixes that tie with one of another document:
 
+0. A whole text that a smaller id holds too goes as one run and takes no
+   further part: whatever it has, that other document has.
 1. Documents lie in blocks of ascending ids; a task holds one block.
 2. Of each document the suffixes at the positions of a difference cover
    (5 of every 21) are sampled. For any two suffixes some offset below 21
@@ -32,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwood.llm.common import key_ranges, range_of
+from driftwood.llm.common import cut, key_ranges, range_of
 from driftwood.llm.minhash import groups_of
 
 # A perfect difference set modulo 21.
@@ -90,9 +93,15 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class Block:
-    """The documents of one block, one after the other by ascending id."""
-
-    def __init__(self, table: pa.Table, min_bytes: int):
+    """The documents of one block, one after the other by ascending id,
+    without those that are whole copies."""
+
+    def __init__(self, table: pa.Table, replies: pa.Table, min_bytes: int):
+        copies = {d for d, p in zip(replies.column("bucket").to_pylist(), replies.column("phase").to_pylist())
+                  if p == 0}
+        is_copy = pa.array([d in copies for d in table.column("d").to_pylist()], pa.bool_())
+        self.copies = table.filter(is_copy)
+        table = table.filter(pc.invert(is_copy))
         ids = table.column("d").to_pylist()
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0))
         self.ids = [ids[i] for i in self.order]
@@ -103,7 +112,7 @@ class Block:
         self.edge = np.concatenate([[0], np.cumsum(size)])
         self.min_bytes, self.depth = min_bytes, min_bytes - PERIOD + 1
         # Rows with one id are one document; null ids are not compared.
-        rank = np.cumsum([0] + [a != b for a, b in zip(self.ids, self.ids[1:])]).astype(np.int32)
+        rank = np.cumsum([0] + [a != b for a, b in zip(self.ids, self.ids[1:])]).astype(np.int32)[:len(ids)]
         self.doc = np.repeat(rank, size)
         self.room = np.repeat(np.where([i is None for i in self.ids], 0, self.edge[1:]), size) - np.arange(len(self.data))
         self.local = np.arange(len(self.data)) - np.repeat(self.edge[:-1], size)
@@ -223,14 +232,16 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
     sent = "phase int, bucket long, block int, blob binary"
     back = "block int, phase int, bucket long, blob binary"
 
-    def sample(table: pa.Table) -> pa.Table:
-        block = Block(table, min_bytes)
+    def sample(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not len(table):
+            return _split(0, 1, np.zeros(0, np.uint64), bits, bucket_bits)
+        block = Block(table, replies, min_bytes)
         return _split(table.column("block")[0].as_py(), 1, block.samples(bits)[0], bits, bucket_bits)
 
     def candidates(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
             return _split(0, 2, np.zeros(0, np.uint64), 64, bucket_bits)
-        block = Block(table, min_bytes)
+        block = Block(table, replies, min_bytes)
         s = block.samples(bits)
         c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
         return _split(table.column("block")[0].as_py(), 2, c[0][block.shared], 64, bucket_bits)
@@ -240,7 +251,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
         if not len(table):
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_bytes": pa.array([], pa.int64()),
                              "spans": pa.array([], kind), "kept": pa.array([], pa.binary())})
-        block = Block(table, min_bytes)
+        block = Block(table, replies, min_bytes)
         s = block.samples(bits)
         c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
         earlier = np.zeros(len(c[0]), bool)
@@ -252,15 +263,31 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
             turn = np.nonzero(np.diff(np.concatenate([[False], part, [False]])))[0]
             spans.append([{"start": int(x), "length": int(y - x)} for x, y in zip(turn[::2], turn[1::2])])
             kept.append(block.data[a:b][~part].tobytes())
-        return pa.table({"doc_id": pa.array(block.ids, pa.int64()), "n_bytes": pa.array(np.diff(block.edge)),
+        ids, n_bytes = list(block.ids), np.diff(block.edge).tolist()
+        for d, t in zip(block.copies.column("d").to_pylist(), block.copies.column("t").to_pylist()):
+            raw = t.encode()
+            long = len(raw) >= min_bytes
+            ids.append(d)
+            n_bytes.append(len(raw))
+            spans.append([{"start": 0, "length": len(raw)}] if long else [])
+            kept.append(b"" if long else raw)
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()),
                          "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
 
     def sorted_buckets(values: DataFrame) -> DataFrame:
         return (values.repartition("phase", "bucket").sortWithinPartitions("phase", "bucket")
                 .mapInArrow(_answer, back))
 
+    # Ids of whole copies, told to their blocks like the buckets' replies.
+    keyed = rows.where("d is not null").select("d", F.md5(F.col("t").cast("binary")).alias("key"))
+    first = keyed.groupBy("key").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
+    copies = (keyed.join(first, "key").where("d > first").select("d").distinct()
+              .select(range_of(bounds, "d").alias("block"), F.lit(0).alias("phase"), F.col("d").alias("bucket"),
+                      F.lit(None).cast("binary").alias("blob")))
+    copies = cut(copies)
     # The three passes over the blocks share one exchange of the texts.
-    flags = sorted_buckets(blocks.groupBy("block").applyInArrow(sample, sent))
+    flags = sorted_buckets(blocks.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(sample, sent))
+    flags = flags.unionAll(copies)
     found = sorted_buckets(blocks.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(candidates, sent))
     return blocks.groupBy("block").cogroup(flags.unionAll(found).groupBy("block")).applyInArrow(
         remove, "doc_id long, n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
