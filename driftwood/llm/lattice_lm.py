@@ -271,6 +271,19 @@ class Lattice:
                         counts[self.vocabulary.bytes[b]] += share
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together, so that words of one length are many."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder."""
     path = scratch_path(df.sparkSession, name)
@@ -290,7 +303,7 @@ def learn(words: DataFrame, vocabulary: Vocabulary, rounds: int = 3, prior: floa
 
         def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(vocabulary.first))
-            for batch in batches:
+            for batch in _gathered(batches):
                 lattice.value.expect_all(batch.column("word").to_pylist(), total)
                 total[vocabulary.end] += batch.num_rows
             at = np.nonzero(total)[0]
@@ -348,7 +361,7 @@ def score(docs: DataFrame, model_path: str, held_out: str = "held_out", training
     end_log = math.log((ends + 0.5) / (train_tokens + 1))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             spelt = lattice.value.log_probabilities(batch.column("word").to_pylist()) + new_log
             whole = np.log((batch.column("c").to_numpy() - discount) / (train_tokens + 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.logaddexp(spelt, whole))],
