@@ -1,0 +1,83 @@
+"""DuckDB SQL that says what the manifest, near-copy and word-variant queries return."""
+
+#: Bytewise CRC-32: ``crc_table(i, c)``, from the polynomial.
+CRC_TABLE = """
+crc_bits(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT i, c FROM crc_bits WHERE k = 8)"""
+
+
+def crc_of(name: str, keys: str) -> str:
+    """CTEs that give ``name(key, crc)`` for the distinct texts ``key`` of ``keys``."""
+    return f"""
+{name}_steps(key, rest, c) AS (
+  SELECT key, hex(encode(key)), 4294967295::BIGINT FROM {keys}
+  UNION ALL
+  SELECT key, rest[3:], xor(s.c >> 8, t.c)
+  FROM {name}_steps s JOIN crc_table t ON t.i = xor(s.c & 255, ('0x' || rest[1:2])::BIGINT)
+  WHERE rest <> ''),
+{name} AS (SELECT key, xor(c, 4294967295) AS crc FROM {name}_steps WHERE rest = '')"""
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """``name(tree, level, pos, total, digest)``: all nodes, ``name_runs``: the digests of each run."""
+    return f"""
+{name}(tree, level, pos, total, digest) AS (
+  SELECT tree, 0, pos, total, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (any_value(total) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE total > 1 GROUP BY tree, level, pos // 3),
+{name}_runs AS (SELECT tree, level, pos // 3 AS run, any_value(total) AS total, list(digest ORDER BY pos) AS ds
+               FROM {name} GROUP BY tree, level, pos // 3)"""
+
+
+def _climb(name: str, start: str, tree: str) -> str:
+    return f"""
+{name}(id, tree, level, pos, proof, folded, done) AS (
+  SELECT id, tree, 0, pos, proof, folded, total = 1 FROM {start}
+  UNION ALL
+  SELECT c.id, c.tree, c.level + 1, c.pos // 3,
+         c.proof || array_to_string(r.ds[1:c.pos % 3], '') || array_to_string(r.ds[c.pos % 3 + 2:], ''),
+         sha256(array_to_string(r.ds[1:c.pos % 3], '') || c.folded || array_to_string(r.ds[c.pos % 3 + 2:], '')),
+         r.total <= 3
+  FROM {name} c JOIN {tree}_runs r ON r.tree IS NOT DISTINCT FROM c.tree AND r.level = c.level AND r.run = c.pos // 3
+  WHERE NOT c.done)"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE {CRC_TABLE},
+ids AS (SELECT DISTINCT doc_id::VARCHAR AS key FROM documents WHERE doc_id IS NOT NULL),
+{crc_of("crcs", "ids")},
+leaves AS (
+  SELECT d.doc_id, source AS tree, {_leaf("text")} AS digest,
+         CASE WHEN crc % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS checked
+  FROM documents d LEFT JOIN crcs ON key = d.doc_id::VARCHAR),
+placed AS (
+  SELECT *, row_number() OVER () AS id,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS total FROM leaves),
+{_tree("low", "placed")},
+roots AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS total,
+                 digest, tree AS name FROM low WHERE total = 1),
+{_tree("high", "roots")},
+low_start AS (SELECT id, tree, pos, total, '' AS proof, checked AS folded FROM placed),
+{_climb("low_path", "low_start", "low")},
+high_start AS (SELECT p.id, r.tree, r.pos, r.total, p.proof, p.folded
+               FROM low_path p JOIN roots r ON r.name IS NOT DISTINCT FROM p.tree WHERE p.done),
+{_climb("high_path", "high_start", "high")},
+top AS (SELECT digest AS root FROM high WHERE total = 1)
+SELECT l.doc_id, l.digest AS leaf, r.digest AS subroot, root, sha256(p.proof) AS proof_sha256,
+       p.folded AS folded_root, p.folded = root AS verified
+FROM placed l JOIN high_path p ON p.id = l.id AND p.done
+JOIN roots r ON r.name IS NOT DISTINCT FROM l.tree CROSS JOIN top
+"""
