@@ -81,3 +81,22 @@ SELECT l.doc_id, l.digest AS leaf, r.digest AS subroot, root, sha256(p.proof) AS
 FROM placed l JOIN high_path p ON p.id = l.id AND p.done
 JOIN roots r ON r.name IS NOT DISTINCT FROM l.tree CROSS JOIN top
 """
+
+NEAR_COPIES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, y FROM reach JOIN links ON x = r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""

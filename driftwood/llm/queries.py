@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import (byte_bpe, langid, lattice_lm, line_dedup, lz_fingerprint, manifest_sql, merkle_manifest,
-                           near_documents, packing, paragraphs, suffix_dedup, voronoi_knn)
+from driftwood.llm import (byte_bpe, circulant_minhash, langid, lattice_lm, line_dedup, lz_fingerprint, merkle_manifest,
+                           near_documents, oracle_sql, packing, paragraphs, suffix_dedup, voronoi_knn)
 from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
@@ -83,10 +83,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op13_merkle_manifest", manifest_sql.MANIFEST)
+@register("op13_merkle_manifest", oracle_sql.MANIFEST)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the rows, by the crc32 of their id, are checked without their line breaks."""
     even = F.coalesce(crc_of_id("doc_id") % 2 == 0, F.lit(False))
     tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle_manifest.manifest(documents(spark, sf_dir), tampered, proofs=False).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@register("op12_circulant_minhash", oracle_sql.NEAR_COPIES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_copies(documents(spark, sf_dir))
