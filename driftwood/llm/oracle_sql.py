@@ -100,3 +100,36 @@ reach(doc_id, r) AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+#: The 64 letters from U+00C0 as single bytes, so that an edit distance of bytes is one of letters.
+_SINGLE = ("'" + "".join(map(chr, range(0xC0, 0x100))) + "', '"
+           + "".join(map(chr, range(0x21, 0x61))).replace("'", "''") + "'")
+
+VARIANTS = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, doc_id::VARCHAR || ':' || run AS key, count(*) AS n FROM runs
+            WHERE length(run) >= 6 GROUP BY ALL),
+keys AS (SELECT DISTINCT key FROM counted WHERE doc_id IS NOT NULL),
+{crc_of("crcs", "keys")},
+words AS (
+  SELECT word, sum(n)::BIGINT AS n, translate(word, {_SINGLE}) AS w FROM (
+    SELECT CASE WHEN crc % 199 = 0 THEN run[:crc % length(run)] || run[crc % length(run) + 2:] ELSE run END AS word, n
+    FROM counted LEFT JOIN crcs USING (key))
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+near AS (
+  SELECT a.word, a.n, b.word AS form, b.n AS form_n
+  FROM words a JOIN words b ON abs(length(a.w) - length(b.w)) <= 1 AND levenshtein(a.w, b.w) = 1),
+best AS (SELECT word, count(*) AS n_near, arg_min(struct_pack(f := form, n := form_n), struct_pack(a := -form_n, b := form)) AS x
+         FROM near GROUP BY word),
+named AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN x.n >= 5 * w.n THEN x.f END AS form,
+         CASE WHEN x.n >= 5 * w.n THEN x.n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chase(word, root, form) AS (
+  SELECT word, word, form FROM named
+  UNION ALL SELECT c.word, n.word, n.form FROM chase c JOIN named n ON n.word = c.form)
+SELECT word, named.form, c.root, n, n_near, form_n FROM named JOIN chase c USING (word) WHERE c.form IS NULL
+"""

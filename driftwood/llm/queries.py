@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.llm import (byte_bpe, circulant_minhash, langid, lattice_lm, line_dedup, lz_fingerprint, merkle_manifest,
-                           near_documents, oracle_sql, packing, paragraphs, suffix_dedup, voronoi_knn)
+                           near_documents, oracle_sql, packing, paragraphs, suffix_dedup, voronoi_knn,
+                           word_variants)
 from driftwood.llm.common import crc_of_id
 from driftwood.llm.catalog import ORACLE, QUERIES, documents, register  # noqa: F401
 
@@ -95,3 +96,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_circulant_minhash", oracle_sql.NEAR_COPIES)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_copies(documents(spark, sf_dir))
+
+
+@register("op11_spelling_variants", oracle_sql.VARIANTS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_variants.spelling_variants(documents(spark, sf_dir), spoil=199)
