@@ -42,12 +42,21 @@ class CirculantBands:
         self.first, self.second = odd[:2], odd[2:]
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
-        """Coordinates of one non-empty set, in pieces so that a long text stays small."""
-        out = np.full(self.bands * self.rows, np.uint64(2 ** 64 - 1))
-        for lo in range(0, len(shingles), 4096):
-            place = _bijection(shingles[lo:lo + 4096], *self.first)
-            for k in range(len(out)):
-                out[k] = min(out[k], _bijection(place - np.uint64(k + 1), *self.second).min())
+        """Coordinates of one non-empty set, all at once for a piece of it that
+        fits the cache. The second permutation's last xor-shift is left out: it
+        keeps the upper half of a number, by which the least is found."""
+        shift = np.arange(1, self.bands * self.rows + 1, dtype=np.uint64)[:, None]
+        out = np.full(len(shift), np.uint64(2 ** 64 - 1))
+        a, b = map(np.uint64, self.second)
+        for lo in range(0, len(shingles), 256):
+            x = _bijection(shingles[lo:lo + 256], *self.first)[None, :] - shift
+            high = x >> np.uint64(32)
+            x ^= high
+            x *= a
+            np.right_shift(x, np.uint64(29), out=high)
+            x ^= high
+            x *= b
+            np.minimum(out, x.min(axis=1), out=out)
         return out
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
@@ -89,7 +98,7 @@ def alike(a: Column, b: Column, percent: int) -> Column:
 
 
 def near_copies(docs: DataFrame, percent: int = 85, words: int = 3, recall: float = 0.9999,
-                most_hashes: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                most_hashes: int = 96, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Link documents whose sets of word ``words``-shingles have a Jaccard
     likeness of ``percent`` hundredths or more.
 
