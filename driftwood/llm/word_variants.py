@@ -77,14 +77,19 @@ def word_counts(docs: DataFrame, min_letters: int = 6, spoil: int | None = 199,
     return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _block(classes: int, steps: dict[int, int] | None = None) -> Column:
-    """Name of the block of ``word``, or of the one some letters (class: number) away."""
-    parts = []
+def _class_counts(classes: int) -> list[Column]:
+    """Letters of ``word`` of each class: ``c0, c1, ...``"""
+    out = []
     for k in range(classes):
         letters = "".join(_LETTERS[k::classes])
-        held = F.length("word") - F.length(F.translate("word", letters, ""))
-        parts.append((held + F.lit((steps or {}).get(k, 0))).cast("string"))
-    return F.concat_ws(",", *parts)
+        out.append((F.length("word") - F.length(F.translate("word", letters, ""))).alias(f"c{k}"))
+    return out
+
+
+def _block(classes: int, steps: dict[int, int] | None = None) -> Column:
+    """Name of the block of a word, or of the one some letters (class: number) away."""
+    return F.concat_ws(",", *((F.col(f"c{k}") + F.lit((steps or {}).get(k, 0))).cast("string")
+                              for k in range(classes)))
 
 
 def _meetings(classes: int) -> list[Column]:
@@ -102,7 +107,8 @@ def near_words(words: DataFrame, classes: int = 6, most_rows: int = 3000, most_l
     in code-point order). ``most_rows``, ``most_letters``: rough size of a
     task's two sides; a larger block is cut."""
     at = F.explode(F.array(*_meetings(classes)))
-    placed = words.select("word", "n", _block(classes).alias("home"), at.alias("block"))
+    counted = cut(words.select("word", "n", *_class_counts(classes)))
+    placed = counted.select("word", "n", _block(classes).alias("home"), at.alias("block"))
     placed = placed.withColumn("own", F.col("home") == F.col("block")).drop("home")
     sizes = cut(placed.groupBy("block").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / most_rows, F.sum(F.length("word")) / most_letters)).cast("int").alias("cuts"),
