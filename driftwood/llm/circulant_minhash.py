@@ -98,7 +98,7 @@ def alike(a: Column, b: Column, percent: int) -> Column:
 
 
 def near_copies(docs: DataFrame, percent: int = 85, words: int = 3, recall: float = 0.9999,
-                most_hashes: int = 96, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                most_hashes: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Link documents whose sets of word ``words``-shingles have a Jaccard
     likeness of ``percent`` hundredths or more.
 
@@ -149,18 +149,27 @@ def near_copies(docs: DataFrame, percent: int = 85, words: int = 3, recall: floa
               .where("least <> most").select("key", "least"))
     met = cut(keyed.join(shared, "key"))
     wanted = met.select("node").distinct().join(nodes.select("node", "doc"), "node")
-    sets = cut(rows.join(wanted, F.col("d") == F.col("doc")).select("node", "t")
-               .mapInArrow(full, "node long, shingles binary").dropDuplicates(["node"]))
-    # Each set against the least one of its buckets.
-    stars = (met.where("node <> least").select("node", "least").distinct()
-             .join(sets, "node").join(sets.select(F.col("node").alias("least"), F.col("shingles").alias("other")), "least"))
-    linked = cut(stars.where(alike(F.col("shingles"), F.col("other"), percent))
-                 .select(F.col("node").alias("a"), F.col("least").alias("b")))
-    # Buckets that are still in several parts, in full.
-    rooted = (met.select("key", "node").join(components(linked), "node", "left")
-              .withColumn("root", F.coalesce("root", "node")))
-    parted = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    apart = cut(rooted.join(parted.select("key"), "key").select("key", "node"))
+    sets = cut(rows.join(wanted, F.col("d") == F.col("doc")).select("d", "node", "t").distinct()
+               .mapInArrow(full, "node long, shingles binary"))
+    others = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("other"))
+    # Each set against one least set of its buckets; then, where a bucket is
+    # still in several parts, against one that it is not connected to.
+    linked, apart = None, met.select("key", "node", F.col("least").alias("pivot"))
+    for _ in range(2):
+        pairs = apart.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("pivot"))
+        found = cut(pairs.join(sets, "node").join(others, "pivot")
+                    .where(alike(F.col("shingles"), F.col("other"), percent))
+                    .select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        linked = found if linked is None else linked.unionAll(found)
+        rooted = (met.select("key", "node").join(components(linked), "node", "left")
+                  .withColumn("root", F.coalesce("root", "node")))
+        parted = (rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                            F.min(F.struct("node", "root")).alias("first"))
+                  .where("low < high").select("key", "first"))
+        apart = cut(rooted.join(parted, "key").select(
+            "key", "node", F.when(F.col("root") == F.col("first.root"), F.col("node"))
+            .otherwise(F.col("first.node")).alias("pivot")))
+    # What is left is compared in full.
     pivots = apart.groupBy("key").agg(F.min("node").alias("least"))
     groups = components(apart.join(pivots, "key").select(F.col("node").alias("a"), F.col("least").alias("b")))
     members = groups.join(sets, "node").select("root", "node", F.lit(1).cast("long").alias("weight"), "shingles")

@@ -106,13 +106,18 @@ def near_words(words: DataFrame, classes: int = 6, most_rows: int = 3000, most_l
     words), ``form, form_n`` (the one with the largest n, ties to the smallest
     in code-point order). ``most_rows``, ``most_letters``: rough size of a
     task's two sides; a larger block is cut."""
-    at = F.explode(F.array(*_meetings(classes)))
+    at = F.explode(F.array(*_meetings(classes))).alias("block")
     counted = cut(words.select("word", "n", *_class_counts(classes)))
-    placed = counted.select("word", "n", _block(classes).alias("home"), at.alias("block"))
-    placed = placed.withColumn("own", F.col("home") == F.col("block")).drop("home")
-    sizes = cut(placed.groupBy("block").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / most_rows, F.sum(F.length("word")) / most_letters)).cast("int").alias("cuts"),
-        F.max("own").alias("lives")).where("lives").drop("lives"))
+    own = F.col("home") == F.col("block")
+    # How much each block brings together, from the sizes of the blocks alone.
+    sizes = (counted.groupBy(*(f"c{k}" for k in range(classes)))
+             .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("word")).alias("letters"))
+             .select("rows", "letters", _block(classes).alias("home"), at)
+             .groupBy("block").agg(F.sum("rows").alias("rows"), F.sum("letters").alias("letters"),
+                                   F.max(own).alias("lives")).where("lives")
+             .select("block", F.ceil(F.greatest(F.col("rows") / most_rows, F.col("letters") / most_letters))
+                     .cast("int").alias("cuts")))
+    placed = counted.select("word", "n", _block(classes).alias("home"), at).withColumn("own", own).drop("home")
     part = F.pmod(F.xxhash64("word"), F.col("cuts")).cast("int")
     every = F.sequence(F.lit(0), F.col("cuts") - 1)
     # Roles: 0 the block's own part; held against it: 1 the block's words again, 2 those of neighbours.
