@@ -75,15 +75,45 @@ def timer_durations(timer_events: DataFrame, order: str | None = None,
     w = Window.partitionBy("timer_id").orderBy(*by)
     j = (timer_events.withColumn("_phase", F.lag("phase").over(w)).withColumn("_start", F.lag("ts").over(w))
          .where((F.col("phase") == "end") & (F.col("_phase") == "start")))
-    op = F.regexp_replace("timer_id", "_[^_]*$", "")
     return j.select(
-        "timer_id",
-        F.concat(F.lit("performance."), op, F.lit(".duration_ms")).alias("name"),
-        "ts",
+        "timer_id", _timer_name(), "ts",
         ((F.unix_micros("ts") - F.unix_micros("_start")) / F.lit(1000.0)).alias("value"),
         *([F.col(tags)] if tags else []))
 
 
+def timer_durations_stream(starts: DataFrame, ends: DataFrame, longest: str = "1 hour",
+                           watermark: str = "10 minutes", tags: str | None = None) -> DataFrame:
+    """JOI-3 on streams: :func:`timer_durations` of two streams ``(timer_id,
+    ts)``, for timers of at most ``longest``, in append mode.
+
+    A stream-stream inner join with a watermark on both sides and a range of
+    ``longest`` between start and end, so Spark drops a row from the state as
+    soon as nothing can meet it any more. An id may be used again: the first
+    end behind each start counts, and of the starts that have one end the
+    latest. Both are stateful aggregates chained behind the join. Rows behind
+    the watermark are ignored.
+    """
+    s = (starts.select(F.col("timer_id"), F.col("ts").alias("start_ts")).withWatermark("start_ts", watermark))
+    e = (ends.select(F.col("timer_id").alias("_id"), F.col("ts").alias("end_ts"),
+                     *([F.col(tags).alias("_tags")] if tags else [])).withWatermark("end_ts", watermark))
+    met = s.join(e, (F.col("timer_id") == F.col("_id")) & (F.col("end_ts") >= F.col("start_ts"))
+                 & (F.col("end_ts") <= F.col("start_ts") + F.expr(f"INTERVAL {longest}")))
+    first = met.groupBy("timer_id", "start_ts").agg(
+        F.min("end_ts").alias("end_ts"), *([F.min_by("_tags", "end_ts").alias("_tags")] if tags else []))
+    # All starts of an end lie within ``longest`` before it: one session.
+    last = first.groupBy(F.session_window("start_ts", longest), "timer_id", "end_ts").agg(
+        F.max("start_ts").alias("start_ts"), *([F.max_by("_tags", "start_ts").alias("_tags")] if tags else []))
+    return last.select(
+        "timer_id", _timer_name(), F.col("end_ts").alias("ts"),
+        ((F.unix_micros("end_ts") - F.unix_micros("start_ts")) / F.lit(1000.0)).alias("value"),
+        *([F.col("_tags").alias(tags)] if tags else []))
+
+
+def _timer_name() -> Column:
+    op = F.regexp_replace("timer_id", "_[^_]*$", "")
+    return F.concat(F.lit("performance."), op, F.lit(".duration_ms")).alias("name")
+
+
 def throughput_metrics(events: DataFrame, component: str, ts: str = "ts",
                        every: str = "1 minute") -> DataFrame:
     """MET-2: ``throughput.<component>.messages_per_second`` per time bucket."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
+POLL_SPAN = "5 minutes"          # on a stream: the longest pause within a poll
 MESSAGE_COLUMNS = ["source_id", "device_id", "protocol", "timestamp", "data", "metadata"]
 
 
@@ -29,10 +30,14 @@ def _text(payload: str = "payload") -> Column:
 
 def whole_json(text: Column) -> Column:
     """The text as a VARIANT, null unless it is one JSON value and nothing
-    else. Spark's JSON parsers stop behind the first value; as the only
-    element of an array, a value cannot have anything behind it."""
+    else. Spark's JSON parsers stop behind the first value, so the text is
+    parsed as the only element of an array. Where it holds a ``]`` of its own,
+    which might close that array early, it must be the value of an object,
+    too: what stands behind a value cannot close both."""
     array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull(),
+    value = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"k":'), text, F.lit("}"))), "$.k", "variant")
+    alone = ~F.contains(text, F.lit("]")) | value.isNotNull()
+    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull() & alone,
                   F.try_variant_get(array, "$[0]", "variant"))
 
 
@@ -105,7 +110,7 @@ def normalize_tcp(raw: DataFrame, source: str = "source_id") -> DataFrame:
 
 
 def fold_polls(raw: DataFrame, source: str = "source_id",
-               resources: Sequence[str] | None = None) -> DataFrame:
+               resources: Sequence[str] | None = None, span: str = POLL_SPAN) -> DataFrame:
     """NRM-3/4: one message per SNMP or CoAP poll, both in one pass.
 
     * SNMP: the var-binds of a poll -> map OID -> value.
@@ -118,7 +123,12 @@ def fold_polls(raw: DataFrame, source: str = "source_id",
     (poll, entry), combined before the shuffle, so repeats are never
     collected; a second one folds the poll's entries, as many as there are
     OIDs or resources. A row without a poll id is a poll of its own.
+
+    On a stream (``received_at`` with a watermark, append mode) the two
+    aggregates are chained stateful ones. A poll is closed ``span`` after its
+    last row, once the watermark has passed; its rows may lie that far apart.
     """
+    live = raw.isStreaming
     snmp = F.col("protocol") == "SNMP"
     ok = snmp | ((F.col("protocol") == "CoAP") & F.startswith(F.col("response_code"), F.lit("2.")))
     text = _text()
@@ -131,10 +141,12 @@ def fold_polls(raw: DataFrame, source: str = "source_id",
         F.when(snmp, F.col("oid")).otherwise(F.col("resource")).alias("k"),
         F.when(snmp, F.col("oid_value")).otherwise(doc).alias("v"))
     keys = ["protocol", "device_id", "poll_id", "_own", "host", "port", "community"]
-    last = values.groupBy(*keys, "k").agg(
+    entry = [F.session_window("received_at", span).alias("_w")] if live else []
+    last = values.groupBy(*entry, *keys, "k").agg(
         F.max_by("v", "source_id").alias("v"), F.max("received_at").alias("received_at"),
         F.min("source_id").alias("source_id"))
-    polls = last.groupBy(*keys).agg(
+    poll = [F.session_window(F.window_time("_w"), span)] if live else []
+    polls = last.groupBy(*poll, *keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("data"),
         F.max("received_at").alias("timestamp"), F.min("source_id").alias("source_id"))
     polled = F.array_join(F.map_keys("data"), ",") if resources is None else F.lit(",".join(resources))
@@ -183,8 +195,9 @@ def normalize_row_local(raw: DataFrame, source: str = "source_id") -> DataFrame:
 
 
 def normalize_all(raw: DataFrame, source: str = "source_id",
-                  resources: Sequence[str] | None = None) -> DataFrame:
+                  resources: Sequence[str] | None = None, span: str = POLL_SPAN) -> DataFrame:
     """SET-2: one stream of standard messages from every protocol: the
-    row-local protocols in one pass, the polls in another."""
+    row-local protocols in one pass, the polls in another. The same function
+    serves streams (see :func:`fold_polls`)."""
     return normalize_row_local(raw, source).unionByName(
-        fold_polls(raw, source, resources).select(*MESSAGE_COLUMNS))
+        fold_polls(raw, source, resources, span).select(*MESSAGE_COLUMNS))

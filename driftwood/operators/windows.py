@@ -1,10 +1,12 @@
 """Sliding-window device metrics (PRJ-2/3/4, AGG-1, STR-2, SET-1).
 
-Two physical forms of the same result:
+Three physical forms of the same result:
 
 * ``method="direct"``: ``groupBy(window(event_time, length, slide), keys)``
-  per configuration, unioned. This is the only form Structured Streaming
-  accepts for event-time state (the watermark travels with ``window``).
+  per configuration, unioned: one read and one state per configuration.
+* ``method="stream"`` (streams in append mode): the same panes as below as
+  one stateful aggregate over one read, and a second one, chained behind it,
+  that merges the closed panes into all configurations' windows.
 * ``method="panes"`` (batch default): aggregate once to 30-second panes (the
   greatest common divisor of all lengths and slides), then fan every pane out
   to the windows that contain it and combine partial states in a single
@@ -80,30 +82,57 @@ def _slot(cfg: int, first: Column, slide_us: int, length_us: int):
     return make
 
 
-def _pane_windows(df: DataFrame, windows, time_col: str, keys, proc: str | None) -> DataFrame:
+#: Spark marks a column that carries event time with this metadata key.
+EVENT_TIME_MARK = "spark.watermarkDelayMs"
+
+
+def _pane_aggs(proc: str | None) -> list[Column]:
+    """Partial states of a pane; ``m2t`` is the sum of squared deviations."""
+    out = [F.count(F.lit(1)).alias("n"),
+           F.count("temperature").alias("nt"), F.sum("temperature").alias("st"),
+           (F.var_pop("temperature") * F.count("temperature")).alias("m2t"),
+           F.max("temperature").alias("xt"), F.min("temperature").alias("mt"),
+           F.count("humidity").alias("nh"), F.sum("humidity").alias("sh"),
+           F.count("pressure").alias("np"), F.sum("pressure").alias("sp"),
+           F.count("vibration").alias("nv"), F.sum("vibration").alias("sv"),
+           F.max("vibration").alias("xv")]
+    return out + ([F.max(proc).alias("xp")] if proc else [])
+
+
+def _merged_aggs(proc: str | None) -> list[Column]:
+    """The metrics of a window from the states of its panes."""
+    sum_nt = F.sum("nt")
+    m2 = F.sum("m2t") + F.sum("ct") - F.sum("st") * F.sum("st") / sum_nt
+    out = [F.sum("n").alias("message_count"),
+           (F.sum("st") / sum_nt).alias("avg_temperature"),
+           F.max("xt").alias("max_temperature"),
+           F.min("mt").alias("min_temperature"),
+           F.when(sum_nt >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (sum_nt - 1)))
+            .alias("stddev_temperature"),
+           (F.sum("sh") / F.sum("nh")).alias("avg_humidity"),
+           (F.sum("sp") / F.sum("np")).alias("avg_pressure"),
+           (F.sum("sv") / F.sum("nv")).alias("avg_vibration"),
+           F.max("xv").alias("max_vibration")]
+    return out + ([F.max("xp").alias("last_processed")] if proc else [])
+
+
+def _pane_windows(df: DataFrame, windows, time_col: str, keys, proc: str | None,
+                  streaming: bool = False) -> DataFrame:
     spans = [(interval_micros(length), interval_micros(slide)) for length, slide in windows]
     for length_us, slide_us in spans:
         if length_us % slide_us:
             raise ValueError("window length must be a multiple of its slide")
     pane_us = reduce(gcd, [v for span in spans for v in span])
+    pane = f"{pane_us} microseconds"
 
-    t = F.unix_micros(time_col)
-    pane_aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.count("temperature").alias("nt"), F.sum("temperature").alias("st"),
-        (F.var_pop("temperature") * F.count("temperature")).alias("m2t"),
-        F.max("temperature").alias("xt"), F.min("temperature").alias("mt"),
-        F.count("humidity").alias("nh"), F.sum("humidity").alias("sh"),
-        F.count("pressure").alias("np"), F.sum("pressure").alias("sp"),
-        F.count("vibration").alias("nv"), F.sum("vibration").alias("sv"),
-        F.max("vibration").alias("xv"),
-    ]
-    if proc:
-        pane_aggs.append(F.max(proc).alias("xp"))
-    panes = (df.where(F.col(time_col).isNotNull())
-               .withColumn("_p", F.floor(t / F.lit(pane_us)).cast("long") * F.lit(pane_us))
-               .groupBy(*keys, "_p").agg(*pane_aggs)
-               .withColumn("ct", F.when(F.col("nt") > 0, F.col("st") * F.col("st") / F.col("nt"))))
+    df = df.where(F.col(time_col).isNotNull())
+    if streaming:
+        panes = (df.groupBy(F.window(time_col, pane).alias("_pane"), *keys).agg(*_pane_aggs(proc))
+                   .withColumn("_p", F.unix_micros("_pane.start")).drop("_pane"))
+    else:
+        start = F.floor(F.unix_micros(time_col) / F.lit(pane_us)).cast("long") * F.lit(pane_us)
+        panes = df.withColumn("_p", start).groupBy(*keys, "_p").agg(*_pane_aggs(proc))
+    panes = panes.withColumn("ct", F.when(F.col("nt") > 0, F.col("st") * F.col("st") / F.col("nt")))
 
     # Every pane lies in length/slide windows of each configuration.
     slots = []
@@ -112,32 +141,22 @@ def _pane_windows(df: DataFrame, windows, time_col: str, keys, proc: str | None)
         first = F.floor(F.col("_p") / F.lit(slide_us)).cast("long") * F.lit(slide_us)
         slots.append(F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                                  _slot(i, first, slide_us, length_us)))
-    expanded = panes.select("*", F.explode(F.concat(*slots)).alias("_w"))
-
-    sum_nt = F.sum("nt")
-    m2 = F.sum("m2t") + F.sum("ct") - F.sum("st") * F.sum("st") / sum_nt
-    win_aggs = [
-        F.sum("n").alias("message_count"),
-        (F.sum("st") / sum_nt).alias("avg_temperature"),
-        F.max("xt").alias("max_temperature"),
-        F.min("mt").alias("min_temperature"),
-        F.when(sum_nt >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (sum_nt - 1)))
-         .alias("stddev_temperature"),
-        (F.sum("sh") / F.sum("nh")).alias("avg_humidity"),
-        (F.sum("sp") / F.sum("np")).alias("avg_pressure"),
-        (F.sum("sv") / F.sum("nv")).alias("avg_vibration"),
-        F.max("xv").alias("max_vibration"),
-    ]
-    if proc:
-        win_aggs.append(F.max("xp").alias("last_processed"))
+    expanded = panes.select("*", F.explode(F.concat(*slots)).alias("_w")).select(
+        "*", F.col("_w.cfg").alias("_cfg"), F.col("_w.ws").alias("_ws"), F.col("_w.len").alias("_len"))
+
+    by = [*keys, "_cfg", "_ws", "_len"]
+    if streaming:
+        # A window closes with the last pane-long stretch before its end, so
+        # one window() of that length closes the windows of every length.
+        last = F.timestamp_micros(F.col("_ws") + F.col("_len") - 1)
+        expanded = expanded.withColumn("_last", last.alias("_last", metadata={EVENT_TIME_MARK: 0}))
+        by.append(F.window("_last", pane).alias("_closes"))
     labels = F.array(*[F.lit(length) for length, _ in windows])
-    out = (expanded.groupBy(*keys, F.col("_w.cfg").alias("_cfg"),
-                            F.col("_w.ws").alias("_ws"), F.col("_w.len").alias("_len"))
-           .agg(*win_aggs))
+    out = expanded.groupBy(*by).agg(*_merged_aggs(proc))
     return (out.withColumn("window_duration", F.element_at(labels, F.col("_cfg") + 1))
                .withColumn("window_start", F.timestamp_micros("_ws"))
                .withColumn("window_end", F.timestamp_micros(F.col("_ws") + F.col("_len")))
-               .drop("_cfg", "_ws", "_len"))
+               .drop("_cfg", "_ws", "_len", "_closes"))
 
 
 def window_metrics(df: DataFrame, windows=DEFAULT_WINDOWS, time_col: str = "event_time",
@@ -151,6 +170,6 @@ def window_metrics(df: DataFrame, windows=DEFAULT_WINDOWS, time_col: str = "even
         parts = [window_metrics_direct(df, length, slide, time_col, keys, proc)
                  for length, slide in windows]
         return reduce(lambda a, b: a.unionByName(b), parts)
-    if method == "panes":
-        return _pane_windows(df, windows, time_col, keys, proc)
-    raise ValueError("method must be 'panes' or 'direct'")
+    if method in ("panes", "stream"):
+        return _pane_windows(df, windows, time_col, keys, proc, streaming=method == "stream")
+    raise ValueError("method must be 'panes', 'stream' or 'direct'")

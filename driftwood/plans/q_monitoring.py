@@ -226,7 +226,11 @@ def dashboard(spark, sf_dir):
 # timer; every 5th uses its id again one hour later, for one second. One scan
 # yields the whole timer log (start, end and stray end rows).
 def _timer_log(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    return timer_log_from(table(spark, sf_dir, "events"))
+
+
+def timer_log_from(ev):
+    """The timer log of an events frame (batch or stream)."""
     ts = F.col("ts").cast("timestamp")
     tid = F.concat(F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"))
     end_ts = F.timestamp_micros(F.unix_micros(ts) + F.floor(F.col("value") * 1000).cast("long") * 1000)
@@ -246,7 +250,7 @@ def _timer_log(spark, sf_dir):
     return ev.select(F.inline(rows))
 
 
-@register("timer_durations", """
+SQL_TIMERS = """
 SELECT event_type || '_' || CAST(event_id AS VARCHAR) AS timer_id,
        'performance.' || event_type || '.duration_ms' AS name,
        epoch_us(CAST(ts AS TIMESTAMP)) + CAST(floor(value * 1000) AS BIGINT) * 1000 AS end_us,
@@ -255,7 +259,10 @@ FROM events WHERE event_id % 4 <> 0
 UNION ALL
 SELECT event_type || '_' || CAST(event_id AS VARCHAR), 'performance.' || event_type || '.duration_ms',
        epoch_us(CAST(ts AS TIMESTAMP)) + 3601000000, 1000.0
-FROM events WHERE event_id % 5 = 0""")
+FROM events WHERE event_id % 5 = 0"""
+
+
+@register("timer_durations", SQL_TIMERS)
 def timer_durations(spark, sf_dir):
     d = MT.timer_durations(_timer_log(spark, sf_dir))
     return d.select("timer_id", "name", F.unix_micros("ts").alias("end_us"), "value")

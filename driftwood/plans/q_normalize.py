@@ -5,8 +5,9 @@ Landing rows, by ``event_id``: the protocol is the (event_id % 5)-th of the
 five; MQTT topics cycle over ``actuators/dev<u>/status``,
 ``sensors/dev<u>/data`` and ``sensors/dev<u>/raw/extra`` (every 29th is
 ``x``); the payload is ``props`` (a JSON object), every 13th is broken
-text, every 31st a bare JSON scalar, every 17th an object with text behind it; every 26th TCP payload starts with bytes that
-are not UTF-8; every 7th CoAP response failed (4.04).
+text, every 31st a bare JSON scalar, every 17th an object with text behind it,
+every 19th one with ``] x`` and every 23rd one with ``}`` behind it; every
+26th TCP payload starts with bytes that are not UTF-8; every 7th CoAP response failed (4.04).
 """
 
 from __future__ import annotations
@@ -26,12 +27,18 @@ SUBSCRIPTIONS = ["sensors/+/data", "actuators/+/status"]
 
 
 def landing(spark, sf_dir):
-    i = iot(spark, sf_dir)
+    return landing_from(iot(spark, sf_dir))
+
+
+def landing_from(i):
+    """The landing rows of an ``iot`` frame (batch or stream)."""
     eid, u = F.col("event_id"), F.col("user_id")
     us = u.cast("string")
     text = (F.when(eid % 13 == 0, F.concat(F.lit("broken "), F.col("props")))
              .when(eid % 31 == 0, F.lit("42"))
-             .when(eid % 17 == 0, F.concat(F.col("props"), F.lit(" trailing"))).otherwise(F.col("props")))
+             .when(eid % 17 == 0, F.concat(F.col("props"), F.lit(" trailing")))
+             .when(eid % 19 == 0, F.concat(F.col("props"), F.lit("] x")))
+             .when(eid % 23 == 0, F.concat(F.col("props"), F.lit("}"))).otherwise(F.col("props")))
     proto = F.element_at(F.array(*[F.lit(p) for p in PROTOCOLS]), (eid % 5 + 1).cast("int"))
     payload = F.when((proto == "TCP") & (eid % 26 == 0),
                      F.concat(F.unhex(F.lit("FF00")), text.cast("binary"))
@@ -70,7 +77,9 @@ raw AS (
          event_time AS received_at, user_id, event_id, props,
          CASE WHEN event_id % 13 = 0 THEN 'broken ' || props
               WHEN event_id % 31 = 0 THEN '42'
-              WHEN event_id % 17 = 0 THEN props || ' trailing' ELSE props END AS text,
+              WHEN event_id % 17 = 0 THEN props || ' trailing'
+              WHEN event_id % 19 = 0 THEN props || '] x'
+              WHEN event_id % 23 = 0 THEN props || '}}' ELSE props END AS text,
          CASE WHEN event_id % 29 = 0 THEN 'x'
               WHEN event_id % 3 = 0 THEN 'actuators/dev' || CAST(user_id AS VARCHAR) || '/status'
               WHEN event_id % 3 = 1 THEN 'sensors/dev' || CAST(user_id AS VARCHAR) || '/data'
@@ -172,12 +181,15 @@ def coap_fold(spark, sf_dir):
     return shown(N.fold_coap(landing(spark, sf_dir), resources=RESOURCES), "poll_id")
 
 
-@register("protocol_union", _SQL_RAW + "," + _SQL_SNMP_FOLD + "," + _SQL_COAP_FOLD + f"""
+SQL_UNION = (_SQL_RAW + "," + _SQL_SNMP_FOLD + "," + _SQL_COAP_FOLD + f"""
 {_SQL_MQTT}
 UNION ALL {_SQL_WS}
 UNION ALL {_SQL_TCP}
 UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM snmp
 UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM coap""")
+
+
+@register("protocol_union", SQL_UNION)
 def protocol_union(spark, sf_dir):
     return shown(N.normalize_all(landing(spark, sf_dir), resources=RESOURCES))
 

@@ -3,8 +3,8 @@ stream, drained once with ``availableNow`` into a checkpointed parquet sink
 (STR-1..6, STR-10).
 
 In append mode a window (or session) leaves the state only when the
-watermark, ``max(event time) - 10 minutes``, passes its end; the oracle
-applies the same cut.
+watermark, ``max(event time) - 10 minutes``, passes its end. The tables end,
+so the drained queries are flushed (``run_bounded``) and give all rows.
 """
 
 from __future__ import annotations
@@ -12,15 +12,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwood.operators import calls as C
+from driftwood.operators import metrics as MT
+from driftwood.operators import normalize as N
 from driftwood.operators import windows as W
 from driftwood.operators.messages import map_text
 from driftwood.plans import q_messages as QM
+from driftwood.plans import q_monitoring as QMON
+from driftwood.plans import q_normalize as QN
 from driftwood.plans.q_calls import ORDER
 from driftwood.plans.q_windows import _wins_sql, compared, sql_compared
 from driftwood.plans.registry import ORACLE, register, with_views
 from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from
 from driftwood.session import scratch_path
-from driftwood.streaming.pipeline import WATERMARK, processing_flow, run_available_now
+from driftwood.streaming.pipeline import END_OF_STREAM, WATERMARK, processing_flow, run_available_now, run_bounded
 from driftwood.streaming.sessions import stream_calls_previous
 
 WATERMARK_US = C.interval_micros(WATERMARK)
@@ -37,12 +41,36 @@ def events_stream(spark, sf_dir):
             .parquet(sf_dir))
 
 
-@register("sliding_stream_append", _wins_sql(W.DEFAULT_WINDOWS) + sql_compared("wins") + f"""
-WHERE window_end_us <= (SELECT max(epoch_us(event_time)) FROM iot) - {WATERMARK_US}""")
+@register("sliding_stream_append", _wins_sql(W.DEFAULT_WINDOWS) + sql_compared("wins"))
 def sliding_stream_append(spark, sf_dir):
-    readings = iot_from(events_stream(spark, sf_dir)).withWatermark("event_time", WATERMARK)
-    wins = W.window_metrics(readings, method="direct")
-    return compared(run_available_now(wins, spark, "sliding-stream"))
+    """STR-2: one read, panes and windows as chained stateful aggregates."""
+    def windows(readings):
+        return W.window_metrics(readings.withWatermark("event_time", WATERMARK), method="stream")
+    return compared(run_bounded(iot_from(events_stream(spark, sf_dir)), windows, "sliding-stream",
+                                [{"device_id": "<end>", "event_time": END_OF_STREAM}]))
+
+
+@register("protocol_union_stream", QN.SQL_UNION)
+def protocol_union_stream(spark, sf_dir):
+    """SET-2 and NRM-3/4 on a landing stream: polls are folded by two chained
+    stateful aggregates and closed by the watermark."""
+    def messages(raw):
+        return N.normalize_all(raw.withWatermark("received_at", WATERMARK), resources=QN.RESOURCES)
+    landing = QN.landing_from(iot_from(events_stream(spark, sf_dir)))
+    return QN.shown(run_bounded(landing, messages, "landing", [
+        {"protocol": "SNMP", "received_at": END_OF_STREAM, "poll_id": "<end>"}]))
+
+
+@register("timer_durations_stream", QMON.SQL_TIMERS)
+def timer_durations_stream(spark, sf_dir):
+    """JOI-3 on a stream: starts joined with ends within an hour."""
+    def timers(log):
+        starts, ends = (log.where(F.col("phase") == p) for p in ("start", "end"))
+        return MT.timer_durations_stream(starts, ends)
+    log = QMON.timer_log_from(events_stream(spark, sf_dir))
+    d = run_bounded(log, timers, "timers", [
+        {"timer_id": f"<{phase}>_0", "phase": phase, "ts": END_OF_STREAM} for phase in ("start", "end")])
+    return d.select("timer_id", "name", F.unix_micros("ts").alias("end_us"), "value")
 
 
 _SQL_STREAM_SESSIONS = with_views(SQL_CDR, """
@@ -73,27 +101,29 @@ calls AS (
   FROM sessions GROUP BY msisdn, domain, call_no)""")
 
 
-@register("calls_stream_session", _SQL_STREAM_SESSIONS + f"""
+@register("calls_stream_session", _SQL_STREAM_SESSIONS + """
 SELECT msisdn, domain, session_start_us, session_end_us, fdr_count, ul_bytes, dl_bytes,
        call_end_us
-FROM calls
-WHERE session_end_us <= (SELECT max(epoch_us(start_dt)) FROM cdr) - {WATERMARK_US}""")
+FROM calls""")
 def calls_stream_session(spark, sf_dir):
     """STR-10: calls on a stream with ``session_window``: each record opens
     ``[start, end + 5 min)`` and overlapping records merge (the running-max
     rule)."""
-    rec = C.idle_trim(cdr_from(events_stream(spark, sf_dir)))
-    rec = rec.where(F.col("msisdn").isNotNull() & F.col("domain").isNotNull()
-                    & F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
     gap_s = C.interval_micros(C.CALL_GAP) // 1_000_000
     gap = F.expr("make_interval(0, 0, 0, 0, 0, 0, CAST((unix_micros(end_dt) - "
                  f"unix_micros(start_dt)) / 1000000 + {gap_s} AS DECIMAL(18, 6)))")
-    sess = (rec.withWatermark("start_dt", WATERMARK)
-               .groupBy(F.session_window("start_dt", gap).alias("s"), "msisdn", "domain")
-               .agg(F.count(F.lit(1)).alias("fdr_count"),
-                    F.sum("ulvolume").alias("ul_bytes"), F.sum("dlvolume").alias("dl_bytes"),
-                    F.max("adjusted_end_dt").alias("call_end")))
-    out = run_available_now(sess, spark, "calls-stream")
+
+    def sessions(records):
+        rec = C.idle_trim(records).where(F.col("msisdn").isNotNull() & F.col("domain").isNotNull()
+                                         & F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
+        return (rec.withWatermark("start_dt", WATERMARK)
+                   .groupBy(F.session_window("start_dt", gap).alias("s"), "msisdn", "domain")
+                   .agg(F.count(F.lit(1)).alias("fdr_count"),
+                        F.sum("ulvolume").alias("ul_bytes"), F.sum("dlvolume").alias("dl_bytes"),
+                        F.max("adjusted_end_dt").alias("call_end")))
+
+    out = run_bounded(cdr_from(events_stream(spark, sf_dir)), sessions, "calls-stream", [
+        {"msisdn": -1, "domain": "<end>", "start_dt": END_OF_STREAM, "end_dt": END_OF_STREAM}])
     return out.select("msisdn", "domain",
                       F.unix_micros("s.start").alias("session_start_us"),
                       F.unix_micros("s.end").alias("session_end_us"),

@@ -19,6 +19,7 @@ import logging
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ def parsed_messages(raw: DataFrame) -> DataFrame:
 def windowed_stream(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """STR-1/2: watermark on event time, then the sliding aggregates."""
     readings = parsed_messages(raw).withWatermark("event_time", cfg.watermark)
-    return W.window_metrics(readings, windows=cfg.windows, method="direct",
+    method = "stream" if cfg.output_mode == "append" else "direct"  # only append mode chains states
+    return W.window_metrics(readings, windows=cfg.windows, method=method,
                             proc="processing_time")
 
 
@@ -163,12 +165,14 @@ def stop_all(spark: SparkSession) -> None:
         q.stop()
 
 
-def run_available_now(df: DataFrame, spark: SparkSession, name: str,
-                      output_mode: str = "append") -> DataFrame:
-    """Drain a streaming frame once (``availableNow``) into parquet under the
-    shared checkpoint folder and return what was written, as a batch frame."""
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+#: Event time of the row that ends a bounded stream; later than any data.
+END_OF_STREAM = "9999-01-01 00:00:00"
+
+
+def drain(df: DataFrame, out: str, ckpt: str, output_mode: str = "append") -> None:
+    """Run a streaming frame once over what its sources hold
+    (``availableNow``) into parquet at ``out``."""
+    spark = df.sparkSession
     # State partitions are fixed when a checkpoint is created; this drain
     # owns a fresh one, so size them to the cluster instead of inheriting a
     # batch-oriented shuffle setting.
@@ -184,4 +188,37 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def run_available_now(df: DataFrame, spark: SparkSession, name: str,
+                      output_mode: str = "append") -> DataFrame:
+    """Drain a streaming frame once into parquet under the shared checkpoint
+    folder and return what was written, as a batch frame. What the watermark
+    has not passed stays in the state (see :func:`run_bounded`)."""
+    out = scratch_path(spark, f"{name}-out")
+    drain(df, out, scratch_path(spark, f"{name}-ckpt"), output_mode)
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def run_bounded(source: DataFrame, plan: Callable[[DataFrame], DataFrame], name: str,
+                ends: list[dict[str, object]]) -> DataFrame:
+    """All results of ``plan`` over a stream that has an end, as a batch frame.
+
+    Append mode keeps open windows until the watermark has passed them, which
+    on a stream that ends never happens for the last ones. So the drained
+    query is started once more with ``ends``, rows of the source's columns
+    (others null) whose event time is ``END_OF_STREAM``: the watermark passes
+    everything before, and the state is written out. Give them keys of their
+    own; what they open themselves never closes. The checkpoint is used up.
+    """
+    spark = source.sparkSession
+    tail = scratch_path(spark, f"{name}-tail")
+    spark.createDataFrame([], source.schema).write.parquet(tail)
+    df = plan(source.unionByName(spark.readStream.schema(source.schema).parquet(tail)))
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    drain(df, out, ckpt)
+    rows = [spark.range(1).select(*(F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in source.schema))
+            for row in ends]
+    reduce(DataFrame.unionAll, rows).coalesce(1).write.mode("append").parquet(tail)
+    drain(df, out, ckpt)
     return spark.read.schema(df.schema).parquet(out)
