@@ -143,21 +143,59 @@ def _offsets(buckets: DataFrame, keys: tuple[str, ...], gap_us: int,
              gap_from: str) -> DataFrame:
     """Per (key, bucket): the number of calls that start before the bucket's
     local call 0, from one row per bucket with ``_n`` (breaks inside the
-    bucket) and, for the previous-record rule, ``_first_s``/``_last_e``.
-    The window is over buckets only, so a hot key costs one row per bucket."""
+    bucket) and, for the previous-record rule, ``_first_s``/``_last_e`` and
+    ``_base`` (added from this bucket on; null for 0). The window is over
+    buckets only, so a hot key costs one row per bucket."""
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     if gap_from == "running_max":
         off = F.coalesce(F.sum("_n").over(before), F.lit(0))
         return buckets.select(*keys, "_b", off.alias("_offset"))
     first_flag = F.when(F.col("_first_s") - F.lag("_last_e").over(by_bucket) > F.lit(gap_us),
-                        F.lit(1)).otherwise(F.lit(0))
+                        F.lit(1)).otherwise(F.lit(0)) + F.coalesce("_base", F.lit(0))
     return (buckets.withColumn("_first_flag", first_flag)
                    .select(*keys, "_b",
                            (F.coalesce(F.sum(F.col("_n") + F.col("_first_flag")).over(before),
                                        F.lit(0)) + F.col("_first_flag")).alias("_offset")))
 
 
+def partial_calls(df: DataFrame, keys: tuple[str, ...], start: str, end: str, adjusted_end: str,
+                  gap: str, gap_from: str, order: tuple[str, ...], bucket: str) -> DataFrame:
+    """One row per local call of a (key, bucket), from one ordered pass."""
+    order_cols = [start, *[c for c in order if c != start]]
+    d = _flagged(df, keys, start, end, interval_micros(gap), interval_micros(bucket), gap_from, order_cols)
+    aggs = [F.sum("ulvolume").alias("ul_bytes"), F.sum("dlvolume").alias("dl_bytes"),
+            F.min(start).alias("call_start"), F.max(adjusted_end).alias("call_end"),
+            F.count(F.lit(1)).alias("fdr_count")]
+    if gap_from == "previous":
+        aggs += [F.min("_s_us").alias("_first_s"),
+                 F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e"),
+                 F.lit(None).cast("long").alias("_base")]
+    return d.groupBy(*keys, "_b", "_local_no").agg(*aggs)
+
+
+def merge_partials(partials: DataFrame, keys: tuple[str, ...], gap: str, gap_from: str, out: str) -> DataFrame:
+    """Calls from the partial calls of all buckets of each key; for the
+    previous-record rule with ``_last_e``, the end of a call's last record.
+    ``partials`` is read twice, so it should be a written table."""
+    keys = tuple(keys)
+    kb = [*keys, "_b"]
+    bucket_aggs, last = [F.max("_local_no").alias("_n")], []
+    if gap_from == "previous":
+        bucket_aggs += [F.min("_first_s").alias("_first_s"), F.max("_base").alias("_base"),
+                        F.max_by("_last_e", "_local_no").alias("_last_e")]
+        last = [F.max_by("_last_e", "_b").alias("_last_e")]
+    summary = _offsets(partials.groupBy(*kb).agg(*bucket_aggs), keys, interval_micros(gap), gap_from)
+    numbered = (partials.join(summary, kb, "left")
+                        .withColumn(out, (F.col("_offset") + F.col("_local_no")).cast("long")))
+    return (numbered.groupBy(*keys, out)
+                    .agg(F.sum("ul_bytes").alias("ul_bytes"),
+                         F.sum("dl_bytes").alias("dl_bytes"),
+                         F.min("call_start").alias("call_start"),
+                         F.max("call_end").alias("call_end"),
+                         F.sum("fdr_count").alias("fdr_count"), *last))
+
+
 def call_sessions(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
                   start: str = "start_dt", end: str = "end_dt",
                   adjusted_end: str = "adjusted_end_dt", gap: str = CALL_GAP,
@@ -176,36 +214,11 @@ def call_sessions(df: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),
     final aggregate merges partials of calls that span buckets. A hot key
     is spread over its buckets throughout; only the one-row-per-bucket
     summary is ordered per key. Batch only: the checkpoint is an action. The
-    stream forms are in ``driftwood.streaming.sessions`` and
-    ``plans.q_streaming``.
+    stream form is ``driftwood.streaming.sessions``.
     """
-    gap_us = interval_micros(gap)
-    keys = tuple(keys)
-    order_cols = [start, *[c for c in order if c != start]]
-    kb = [*keys, "_b"]
-    d = _flagged(df, keys, start, end, gap_us, interval_micros(bucket), gap_from, order_cols)
-    aggs = [F.sum("ulvolume").alias("ul_bytes"), F.sum("dlvolume").alias("dl_bytes"),
-            F.min(start).alias("call_start"), F.max(adjusted_end).alias("call_end"),
-            F.count(F.lit(1)).alias("fdr_count")]
-    if gap_from == "previous":
-        aggs += [F.min("_s_us").alias("_first_s"),
-                 F.max_by("_e_us", F.struct(*order_cols)).alias("_last_e")]
-    partials = d.groupBy(*kb, "_local_no").agg(*aggs)
+    partials = partial_calls(df, tuple(keys), start, end, adjusted_end, gap, gap_from, order, bucket)
     ensure_checkpoint_dir(df.sparkSession)
-    partials = partials.checkpoint(eager=True)
-    bucket_aggs = [F.max("_local_no").alias("_n")]
-    if gap_from == "previous":
-        bucket_aggs += [F.min("_first_s").alias("_first_s"),
-                        F.max_by("_last_e", "_local_no").alias("_last_e")]
-    summary = _offsets(partials.groupBy(*kb).agg(*bucket_aggs), keys, gap_us, gap_from)
-    numbered = (partials.join(summary, kb, "left")
-                        .withColumn(out, (F.col("_offset") + F.col("_local_no")).cast("long")))
-    return (numbered.groupBy(*keys, out)
-                    .agg(F.sum("ul_bytes").alias("ul_bytes"),
-                         F.sum("dl_bytes").alias("dl_bytes"),
-                         F.min("call_start").alias("call_start"),
-                         F.max("call_end").alias("call_end"),
-                         F.sum("fdr_count").alias("fdr_count")))
+    return merge_partials(partials.checkpoint(eager=True), keys, gap, gap_from, out).drop("_last_e")
 
 
 def call_aggregates(sessions: DataFrame, keys: tuple[str, ...] = ("msisdn", "domain"),

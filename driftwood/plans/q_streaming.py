@@ -22,10 +22,10 @@ from driftwood.plans import q_normalize as QN
 from driftwood.plans.q_calls import ORDER
 from driftwood.plans.q_windows import _wins_sql, compared, sql_compared
 from driftwood.plans.registry import ORACLE, register, with_views
-from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from
+from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from, table
 from driftwood.session import scratch_path
 from driftwood.streaming.pipeline import END_OF_STREAM, WATERMARK, processing_flow, run_available_now, run_bounded
-from driftwood.streaming.sessions import stream_calls_previous
+from driftwood.streaming.sessions import CallStream
 
 WATERMARK_US = C.interval_micros(WATERMARK)
 
@@ -41,6 +41,20 @@ def events_stream(spark, sf_dir):
             .parquet(sf_dir))
 
 
+def timed_stream(spark, sf_dir, parts: int = 3):
+    """The events as a stream of ``parts`` micro-batches, each a later stretch
+    of time; together they hold every row."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events-by-time")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
+                        F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) * parts
+                           / F.lit(max(1, hi - lo))), F.lit(parts - 1))
+    for i in range(parts):  # files are taken in the order in which they were written
+        events.where(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @register("sliding_stream_append", _wins_sql(W.DEFAULT_WINDOWS) + sql_compared("wins"))
 def sliding_stream_append(spark, sf_dir):
     """STR-2: one read, panes and windows as chained stateful aggregates."""
@@ -163,29 +177,26 @@ sessions AS (
                ORDER BY start_dt, end_dt, ulvolume, dlvolume, event_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS call_no
   FROM flagged)""", """
-ordered AS (
-  SELECT *, last_value(epoch_us(end_dt)) OVER (
-              PARTITION BY msisdn, domain, call_no
-              ORDER BY start_dt, end_dt, ulvolume, dlvolume, event_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_e
-  FROM sessions)""", """
 calls AS (
   SELECT msisdn, domain, CAST(call_no AS BIGINT) AS call_no,
          min(epoch_us(start_dt)) AS call_start_us, max(epoch_us(adjusted_end_dt)) AS call_end_us,
          count(*) AS fdr_count, CAST(sum(ulvolume) AS BIGINT) AS ul_bytes,
-         CAST(sum(dlvolume) AS BIGINT) AS dl_bytes, max(last_e) AS last_e
-  FROM ordered GROUP BY msisdn, domain, call_no)""") + f"""
-SELECT msisdn, domain, call_no, call_start_us, call_end_us, fdr_count, ul_bytes, dl_bytes
-FROM calls
-WHERE ((SELECT max(epoch_us(start_dt)) FROM cdr) // 1000 - {WATERMARK_US // 1000}) * 1000 - last_e
-      > {C.interval_micros(C.CALL_GAP)}""")
+         CAST(sum(dlvolume) AS BIGINT) AS dl_bytes
+  FROM sessions GROUP BY msisdn, domain, call_no)""") + """
+SELECT * FROM calls""")
 def calls_stream_previous(spark, sf_dir):
-    """STR-10 with the previous-record rule on a stream: a custom stateful
-    operator (``applyInPandasWithState``, event-time timeouts)."""
-    rec = C.idle_trim(cdr_from(events_stream(spark, sf_dir)))
-    rec = rec.where(F.col("msisdn").isNotNull() & F.col("domain").isNotNull()
-                    & F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
-    return run_available_now(stream_calls_previous(rec, WATERMARK), spark, "calls-previous")
+    """STR-10 with the previous-record rule, over three micro-batches in time
+    order: buckets closed by the watermark run through the batch operator."""
+    stream = CallStream(scratch_path(spark, "calls-previous"), order=ORDER)
+    records = C.idle_trim(cdr_from(timed_stream(spark, sf_dir)))
+    q = stream.start(records, scratch_path(spark, "calls-ckpt"), trigger=None)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    stream.finish(spark)
+    return stream.read(spark).select(
+        "msisdn", "domain", "call_no", F.unix_micros("call_start").alias("call_start_us"),
+        F.unix_micros("call_end").alias("call_end_us"), "fdr_count", "ul_bytes", "dl_bytes")
 
 
 def _flow(spark, sf_dir, part):

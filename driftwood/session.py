@@ -102,3 +102,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "driftwood", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, through the session's file
+    system; a missing one is fine."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,110 +1,142 @@
-"""Calls on a stream with the previous-record rule (STR-10), as a custom
-stateful operator (``applyInPandasWithState``).
+"""Calls on a stream with the previous-record rule (STR-10), from the batch
+operator's own parts.
 
 ``session_window`` merges overlapping ``[start, end + gap)`` intervals, i.e.
 the running-max rule. The batch rule compares each record with the end of
-the record just before it in start order; on a stream that needs the
-records of a key in start order, which the watermark provides: per key the
-state keeps
-
-* the records not yet released (start at or after the watermark: a record
-  that arrives later may still precede them), and
-* the open call's running aggregates and the last released record's end.
-
-Released records are replayed in order through the gap rule. A call is
-emitted (append mode) when a later record opens a new call, or when the
-watermark is more than ``gap`` past the open call's last record end: every
-future record starts at or after the watermark, so it would open a new call.
-An event-time timeout at that moment closes calls of keys that go quiet.
-
-State per key is bounded by the key's records within one watermark delay
-plus one open call; records arriving behind the watermark are late and are
-dropped, as in Spark's own stateful operators.
+the record just before it in start order. On a stream that order is known
+for the time that the watermark has passed, so each micro-batch
+
+* adds its records to the pending ones; a record that starts before the time
+  already closed is late and goes to a side table;
+* closes all buckets (10 minutes of start) that end before the watermark and
+  folds their records into partial calls per (key, bucket), as the batch
+  operator does, so a hot key is spread over its buckets;
+* merges them with the carry table, which holds one row per key: its last
+  call, open or closed, as a partial call of an earlier bucket;
+* writes the calls that no later record can join, the new carry table and
+  the records still pending.
+
+State is a pair of tables per micro-batch under ``<root>/state``, written
+with overwrite and read by the next one, so a replayed micro-batch starts
+from the same state and replaces its own output. All work is DataFrame code:
+no Python runs per key or record. The carry table is rewritten with every
+micro-batch and grows with the keys seen, not with their records.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import os
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from driftwood.operators.calls import CALL_GAP, interval_micros
-
-OUTPUT_SCHEMA = ("msisdn long, domain string, call_no long, call_start_us long, "
-                 "call_end_us long, fdr_count long, ul_bytes long, dl_bytes long")
-STATE_SCHEMA = ("pend_s array<bigint>, pend_e array<bigint>, pend_a array<bigint>, "
-                "pend_ul array<bigint>, pend_dl array<bigint>, pend_id array<bigint>, "
-                "has_open boolean, call_no bigint, c_start bigint, c_end bigint, "
-                "last_e bigint, c_n bigint, c_ul bigint, c_dl bigint")
-
-
-def stream_calls_previous(records: DataFrame, watermark: str = "10 minutes",
-                          gap: str = CALL_GAP, tiebreak: str = "event_id") -> DataFrame:
-    """Streaming calls by the previous-record rule. ``records`` has msisdn,
-    domain, start_dt, end_dt, adjusted_end_dt, ulvolume, dlvolume and
-    ``tiebreak`` (ordering of equal starts, as in the batch operator)."""
-    gap_us = interval_micros(gap)
-    rows = (records.withWatermark("start_dt", watermark)
-                   .select("msisdn", "domain", "start_dt",
-                           F.unix_micros("start_dt").alias("s"), F.unix_micros("end_dt").alias("e"),
-                           F.unix_micros("adjusted_end_dt").alias("a"),
-                           F.col("ulvolume").alias("ul"), F.col("dlvolume").alias("dl"),
-                           F.col(tiebreak).alias("tb")))
-
-    cols = ["s", "e", "a", "ul", "dl", "tb"]
-
-    def step(key, batches, state):
-        # Plain tuples, not pandas, per key: a key holds a handful of rows
-        # per batch, and per-call pandas overhead would dominate.
-        msisdn, domain = key
-        if state.exists:
-            (ps, pe, pa, pul, pdl, pid, has_open, call_no, c_start, c_end,
-             last_e, c_n, c_ul, c_dl) = state.get
-            pend = list(zip(ps, pe, pa, pul, pdl, pid))
-        else:
-            pend = []
-            has_open, call_no, c_start, c_end, last_e, c_n, c_ul, c_dl = (
-                False, -1, 0, 0, 0, 0, 0, 0)
-        wm = state.getCurrentWatermarkMs() * 1000
-        for b in batches:
-            if len(b):
-                new = b[cols].to_numpy(dtype="int64").tolist()
-                pend.extend(r for r in new if wm <= 0 or r[0] >= wm)   # drop late
-        pend.sort(key=lambda r: (r[0], r[1], r[3], r[4], r[5]))
-        if wm > 0:
-            ready = [r for r in pend if r[0] < wm]
-            pend = [r for r in pend if r[0] >= wm]
-        else:
-            ready = []
-        out = []
-        for s_, e_, a_, ul_, dl_, _ in ready:
-            if has_open and s_ - last_e > gap_us:
-                out.append((msisdn, domain, call_no, c_start, c_end, c_n, c_ul, c_dl))
-                has_open = False
-            if not has_open:
-                has_open, call_no = True, call_no + 1
-                c_start, c_end, c_n, c_ul, c_dl = s_, a_, 0, 0, 0
-            c_start, c_end = min(c_start, s_), max(c_end, a_)
-            c_n, c_ul, c_dl, last_e = c_n + 1, c_ul + ul_, c_dl + dl_, e_
-        if has_open and wm > 0 and wm - last_e > gap_us:
-            out.append((msisdn, domain, call_no, c_start, c_end, c_n, c_ul, c_dl))
-            has_open = False
-        if not has_open and not pend:
-            if state.exists:
-                state.remove()
+from pyspark.sql.streaming import StreamingQuery
+
+from driftwood.operators import calls as C
+from driftwood.session import ensure_checkpoint_dir, remove_folder
+
+#: Bucket of the carry rows, before all others.
+CARRIED = -2 ** 62
+CARRY = ["call_no", "ul_bytes", "dl_bytes", "call_start", "call_end", "fdr_count", "_last_e", "done"]
+
+
+@dataclass
+class CallStream:
+    """Streaming calls; ``records`` have the keys, start, end and adjusted end
+    times, volumes and the ``order`` columns of the batch operator."""
+    root: str
+    keys: tuple[str, ...] = ("msisdn", "domain")
+    order: tuple[str, ...] = ("end_dt", "ulvolume", "dlvolume")
+    gap: str = C.CALL_GAP
+    bucket: str = "10 minutes"
+    watermark: str = "10 minutes"
+
+    def _path(self, name: str, batch_id: int) -> str:
+        return os.path.join(self.root, name, f"batch_id={batch_id}")
+
+    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._path(name, batch_id))
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch (for ``foreachBatch``)."""
+        self._step(batch, batch_id, last=False)
+
+    def finish(self, spark: SparkSession) -> None:
+        """The stream has ended: close every bucket and every call. The calls
+        come out as one more batch; the state is used up."""
+        marks = spark.read.option("basePath", os.path.join(self.root, "state/mark")).parquet(
+            os.path.join(self.root, "state/mark"))
+        newest = marks.agg(F.max("batch_id")).first()[0]
+        pending = spark.read.parquet(self._path("state/pending", newest))
+        self._step(pending.limit(0), newest + 1, last=True)
+
+    def _step(self, batch: DataFrame, batch_id: int, last: bool) -> None:
+        spark = batch.sparkSession
+        ensure_checkpoint_dir(spark)
+        names = list(dict.fromkeys([*self.keys, "start_dt", "end_dt", "adjusted_end_dt", "ulvolume", "dlvolume",
+                                    *self.order]))
+        placeable = batch.select(*names).where(" and ".join(
+            f"{c} is not null" for c in (*self.keys, "start_dt", "end_dt")))
+        first = batch_id == 0
+        closed = None if first else spark.read.parquet(self._path("state/mark", batch_id - 1)).first()["closed"]
+        start = F.unix_micros("start_dt")
+        rows = placeable
+        if closed is not None:
+            self._write(placeable.where(start < closed), "late", batch_id)
+            rows = placeable.where(start >= closed)
+        if not first:
+            rows = rows.unionByName(spark.read.parquet(self._path("state/pending", batch_id - 1)))
+        # Time up to which no record can come any more, in whole buckets.
+        bucket_us = C.interval_micros(self.bucket)
+        newest = rows.agg(F.max(start)).first()[0]
+        upto = closed
+        if last:
+            upto = 2 ** 62
+        elif newest is not None:
+            passed = (newest - C.interval_micros(self.watermark)) // bucket_us * bucket_us
+            upto = passed if closed is None else max(closed, passed)
+        ready = rows.where(start < upto) if upto is not None else rows.limit(0)
+        partials = C.partial_calls(ready, self.keys, "start_dt", "end_dt", "adjusted_end_dt", self.gap, "previous",
+                                   self.order, self.bucket)
+        if not first:
+            carry = spark.read.parquet(self._path("state/carry", batch_id - 1))
+            partials = partials.withColumn("done", F.lit(False)).unionByName(carry.select(
+                *self.keys, F.lit(CARRIED).alias("_b"), F.lit(0).cast("long").alias("_local_no"),
+                "ul_bytes", "dl_bytes", "call_start", "call_end", "fdr_count",
+                F.unix_micros("call_start").alias("_first_s"), "_last_e", F.col("call_no").alias("_base"), "done"))
         else:
-            cols_t = list(zip(*pend)) if pend else [[]] * 6
-            state.update(tuple(list(c) for c in cols_t) + (
-                bool(has_open), int(call_no), int(c_start), int(c_end), int(last_e),
-                int(c_n), int(c_ul), int(c_dl)))
-            wake = [last_e + gap_us + 1] if has_open else []
-            if pend:
-                wake.append(pend[0][0] + 1)
-            state.setTimeoutTimestamp(max(-(-min(wake) // 1000), wm // 1000 + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["msisdn", "domain", "call_no", "call_start_us",
-                                             "call_end_us", "fdr_count", "ul_bytes", "dl_bytes"])
-
-    return rows.groupBy("msisdn", "domain").applyInPandasWithState(
-        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+            partials = partials.withColumn("done", F.lit(False))
+        partials = partials.checkpoint(eager=True)
+        # A call whose number a finished carry row holds has been written before.
+        written = partials.where("done").select(*self.keys, F.col("_base").alias("call_no"), F.lit(True).alias("was"))
+        calls = C.merge_partials(partials, self.keys, self.gap, "previous", "call_no").join(
+            written, [*self.keys, "call_no"], "left")
+        newest_call = calls.groupBy(*self.keys).agg(F.max("call_no").alias("_no"))
+        over = F.lit(upto if upto is not None else CARRIED) - F.col("_last_e") > C.interval_micros(self.gap)
+        calls = (calls.join(newest_call, list(self.keys))
+                 .withColumn("newest", F.col("call_no") == F.col("_no"))
+                 .withColumn("done", ~F.col("newest") | over).checkpoint(eager=True))
+        self._write(calls.where("done and was is null").select(*self.keys, *CARRY[:6]), "calls", batch_id)
+        self._write(calls.where("newest").select(*self.keys, *CARRY), "state/carry", batch_id)
+        self._write(rows.where(start >= upto) if upto is not None else rows, "state/pending", batch_id)
+        self._write(spark.createDataFrame([(upto,)], "closed long"), "state/mark", batch_id)
+        for name in ("state/carry", "state/pending"):  # the one before may still be needed for a replay
+            remove_folder(spark, self._path(name, batch_id - 2))
+
+    def start(self, records: DataFrame, checkpoint: str, trigger: str | None = "5 seconds") -> StreamingQuery:
+        """Run over a stream of records; ``trigger=None`` drains it once."""
+        w = records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.handle)
+        w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
+        return w.start()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The calls written so far."""
+        return self._table(spark, "calls")
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Records that came after their bucket had been closed."""
+        return self._table(spark, "late")
+
+    def _table(self, spark: SparkSession, name: str) -> DataFrame:
+        path = os.path.join(self.root, name)
+        return spark.read.option("basePath", path).parquet(path)
