@@ -169,7 +169,8 @@ def dashboard(points: DataFrame, state: DataFrame, as_of: Column, key_metrics,
         F.lit("system_health").alias("section"),
         F.to_json(F.struct("status", "total_alerts", "critical_alerts", "warning_alerts"))
          .alias("json"))
-    panel = metric_summary(points, as_of, panel_minutes, names=list(key_metrics)).agg(
+    panel = metric_summary(points, as_of, panel_minutes, names=list(key_metrics)).withColumn(
+        "avg", F.round(F.round("avg", 9), 6)).agg(  # no summation noise in the text
         F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
             "name", F.struct("count", "min", "max", "avg", "latest")))))).alias("json")
     ).select(F.lit("performance_metrics").alias("section"), "json")

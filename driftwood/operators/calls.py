@@ -144,7 +144,8 @@ def _offsets(buckets: DataFrame, keys: tuple[str, ...], gap_us: int,
     """Per (key, bucket): the number of calls that start before the bucket's
     local call 0, from one row per bucket with ``_n`` (breaks inside the
     bucket) and, for the previous-record rule, ``_first_s``/``_last_e`` and
-    ``_base`` (added from this bucket on; null for 0). The window is over
+    optionally ``_base``
+    (added from this bucket on; null for 0). The window is over
     buckets only, so a hot key costs one row per bucket."""
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
@@ -152,7 +153,9 @@ def _offsets(buckets: DataFrame, keys: tuple[str, ...], gap_us: int,
         off = F.coalesce(F.sum("_n").over(before), F.lit(0))
         return buckets.select(*keys, "_b", off.alias("_offset"))
     first_flag = F.when(F.col("_first_s") - F.lag("_last_e").over(by_bucket) > F.lit(gap_us),
-                        F.lit(1)).otherwise(F.lit(0)) + F.coalesce("_base", F.lit(0))
+                        F.lit(1)).otherwise(F.lit(0))
+    if "_base" in buckets.columns:
+        first_flag = first_flag + F.coalesce("_base", F.lit(0))
     return (buckets.withColumn("_first_flag", first_flag)
                    .select(*keys, "_b",
                            (F.coalesce(F.sum(F.col("_n") + F.col("_first_flag")).over(before),

@@ -205,12 +205,51 @@ def fit_forests(df: DataFrame, key: str = "device_id", features=FEATURES,
         fit, f"{key} string, n_train long, sample_size long, trees binary").checkpoint(eager=True)
     scores = score_forests(df, scaler, forests.withColumn("threshold", F.lit(None).cast("double")),
                            key, features, (order_key,))
-    thresholds = scores.where(F.col("anomaly_score").isNotNull()).groupBy(key).agg(
-        F.percentile_approx("anomaly_score", 1.0 - contamination, 100_000).alias("threshold"))
+    thresholds = exact_quantile(scores, key, "anomaly_score", 1.0 - contamination).withColumnRenamed(
+        "anomaly_score", "threshold")
     models = forests.join(thresholds, key).select(*MODEL_SCHEMA.fieldNames()).checkpoint(eager=True)
     return scaler, models
 
 
+def exact_quantile(rows: DataFrame, key: str, value: str, share: float, buckets: int = 1000,
+                   few: int = 10_000) -> DataFrame:
+    """The exact quantile of ``value`` per ``key``, interpolated between the
+    two values next to rank ``(n - 1) * share``; nulls do not count.
+
+    Ranks are selected by refinement: every round counts the values between
+    two bounds per bucket, combined before the shuffle, and goes on within
+    the bucket that holds the rank, so no key's values are gathered or sorted.
+    What is left is ordered once a bucket has at most ``few`` values; equal
+    values need no order.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    v = rows.where(F.col(value).isNotNull()).select(key, F.col(value).alias("_v")).checkpoint(eager=True)
+    left = v.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    state = left.select(key, "_n", "_lo", "_hi", F.floor((F.col("_n") - 1) * F.lit(share)).alias("_rank"),
+                        F.lit(0).cast("long").alias("_before"), F.col("_n").alias("_in")).checkpoint(eager=True)
+    inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    while not state.where((F.col("_in") > few) & (F.col("_lo") < F.col("_hi"))).isEmpty():
+        place = F.when(F.col("_lo") == F.col("_hi"), F.lit(0)).otherwise(F.least(F.lit(buckets - 1), F.floor(
+            (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets))).cast("int")
+        parts = (v.join(state, key).where(inside).groupBy(key, "_n", "_rank", "_before", place.alias("_place"))
+                 .agg(F.count(F.lit(1)).alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+        upto = F.col("_before") + F.sum("_in").over(Window.partitionBy(key).orderBy("_place"))
+        state = (parts.withColumn("_upto", upto)
+                 .where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_in") <= F.col("_rank")))
+                 .withColumn("_before", F.col("_upto") - F.col("_in")).drop("_place", "_upto").checkpoint(eager=True))
+    order = Window.partitionBy(key).orderBy("_v")
+    found = (v.join(state.where("_lo < _hi"), key).where(inside)
+             .withColumn("_at", F.col("_before") + F.row_number().over(order) - 1)
+             .where(F.col("_at") == F.col("_rank")).select(key, "_n", "_rank", F.col("_v").alias("_s"))
+             .unionByName(state.where("_lo = _hi").select(key, "_n", "_rank", F.col("_lo").alias("_s"))))
+    beside = (v.join(found, key).groupBy(key, "_n", "_rank", "_s")
+              .agg(F.count_if(F.col("_v") <= F.col("_s")).alias("_c"),
+                   F.min(F.when(F.col("_v") > F.col("_s"), F.col("_v"))).alias("_next")))
+    part = (F.col("_n") - 1) * F.lit(share) - F.col("_rank")
+    after = F.when(F.col("_c") > F.col("_rank") + 1, F.col("_s")).otherwise(F.coalesce("_next", "_s"))
+    return beside.select(key, (F.col("_s") + part * (after - F.col("_s"))).alias(value))
+
+
 def score_forests(df: DataFrame, scaler: DataFrame, models: DataFrame,
                   key: str = "device_id", features=FEATURES,
                   keep: tuple[str, ...] = ("event_id",),

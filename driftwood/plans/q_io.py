@@ -86,14 +86,15 @@ def json_messages_read(spark, sf_dir):
     return Q.errors_by_rule(Q.validate(sources.read_json_messages(spark, path), as_of=F.lit(AS_OF)))
 
 
-@register("landing_read", QN._SQL_RAW + f"""
-SELECT device_id, timestamp_us, data, metadata FROM ({QN._SQL_TCP})""")
+@register("landing_read", QN.SQL_PROTOCOLS + f"""
+SELECT device_id, protocol, timestamp_us, data, metadata FROM ({QN.SQL_MESSAGES})""")
 def landing_read(spark, sf_dir):
-    """SRC-6: captured payloads from a landing table, normalised."""
+    """SRC-6: captured payloads of all protocols from a landing table, normalised."""
     path = scratch_path(spark, "landing")
     QN.landing(spark, sf_dir).drop("source_id").write.parquet(path)
-    m = N.normalize_tcp(read_landing(spark, path))
-    return QN.shown(m).select("device_id", "timestamp_us", "data", "metadata")
+    # Repeated values of a poll keep the last arrival: here, by capture time.
+    rows = read_landing(spark, path).withColumn("source_id", F.unix_micros("received_at"))
+    return QN.shown(N.normalize_all(rows, resources=QN.RESOURCES)).drop("source_id")
 
 
 SINCE = dt.datetime(2024, 1, 10, 6, tzinfo=dt.timezone.utc)
@@ -122,12 +123,27 @@ def quarantine_read(spark, sf_dir):
     return spark.read.parquet(path).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("route_published", QM._SQL_MSG + """
-SELECT topic, dev AS key, count(*) AS n FROM msg WHERE dev IS NOT NULL GROUP BY topic, dev""")
+@register("route_published", QM._SQL_MSG + """,
+routed AS (SELECT *, CASE WHEN dev IS NOT NULL AND has_ts THEN topic ELSE 'iot-invalid' END AS target FROM msg)
+SELECT target AS topic, dev AS key, event_id,
+       CASE WHEN has_ts THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END AS timestamp,
+       CASE WHEN has_data THEN temp_text END AS temperature,
+       count(*) OVER (PARTITION BY target) AS sent
+FROM routed""")
 def route_published(spark, sf_dir):
-    """SNK-7/8: the valid route, each row published to its own topic (file stand-in)."""
+    """FLT-3, SNK-7/8: valid messages published to their own topics, the others
+    to ``iot-invalid`` (file stand-in), beside the sent counts."""
     path = scratch_path(spark, "topics")
-    rows = QM.kafka_rows(spark, sf_dir).where("key is not null").select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic")
-    sinks.publish_rows(rows, sinks.SinkConfig(kind="files", path=path), batch_id=0)
-    return spark.read.json(path).groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
+    parsed = M.parse_envelope(QM.kafka_rows(spark, sf_dir))
+    routed = M.route_valid(parsed.withColumns({"device_id": F.col("message.device_id"),
+                                               "event_time": F.col("message.timestamp")}))
+    rows = routed.select(F.col("device_id").alias("key"), F.to_json("message").alias("value"),
+                         F.when(F.col("route") == "valid", F.col("topic")).otherwise("iot-invalid").alias("topic"))
+    names = sorted({*QM.TOPIC_OF.values(), "unknown", "iot-invalid"})
+    sent = sinks.publish_rows(rows, sinks.SinkConfig(kind="files", path=path), 0, tuple(names))
+    counts = spark.createDataFrame([(t, sent[t]) for t in names], "topic string, sent long")
+    value = F.from_json("value", "timestamp string, data map<string,string>, metadata map<string,string>")
+    back = spark.read.schema("key string, value string, topic string").json(path).withColumn("m", value)
+    return back.join(counts, "topic").select(
+        "topic", "key", F.col("m.metadata")["event_id"].cast("long").alias("event_id"), "m.timestamp",
+        F.col("m.data")["temperature"].alias("temperature"), "sent")

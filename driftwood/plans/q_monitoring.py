@@ -124,8 +124,8 @@ def alert_log(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
     component = F.concat(F.lit("user."), (F.col("user_id") % 10).cast("string"))
     hour = F.floor(F.unix_seconds(ts) / 3600).cast("long")
-    severity = (F.when(F.col("value") < 100, F.lit("INFO")).when(F.col("value") < 250, F.lit("WARNING"))
-                 .when(F.col("value") < 400, F.lit("ERROR")).otherwise(F.lit("CRITICAL")))
+    severity = (F.when(F.col("value") < 20, F.lit("INFO")).when(F.col("value") < 60, F.lit("WARNING"))
+                 .when(F.col("value") < 120, F.lit("ERROR")).otherwise(F.lit("CRITICAL")))
     return ev.select(
         F.concat(component, F.lit("_"), hour.cast("string")).alias("id"),
         F.when(F.col("event_type") == "error", F.lit("create")).otherwise(F.lit("resolve"))
@@ -141,8 +141,8 @@ WITH log AS (
            || CAST(CAST(floor(epoch(CAST(ts AS TIMESTAMP)) / 3600) AS BIGINT) AS VARCHAR) AS id,
          CASE WHEN event_type = 'error' THEN 'create' ELSE 'resolve' END AS action,
          CAST(ts AS TIMESTAMP) AS ts, event_id AS seq,
-         CASE WHEN value < 100 THEN 'INFO' WHEN value < 250 THEN 'WARNING'
-              WHEN value < 400 THEN 'ERROR' ELSE 'CRITICAL' END AS severity,
+         CASE WHEN value < 20 THEN 'INFO' WHEN value < 60 THEN 'WARNING'
+              WHEN value < 120 THEN 'ERROR' ELSE 'CRITICAL' END AS severity,
          'user.' || CAST(user_id % 10 AS VARCHAR) AS component
   FROM events WHERE event_type IN ('error', 'purchase')),
 c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) AS r
@@ -212,10 +212,32 @@ def system_health(spark, sf_dir):
     return AL.system_health(AL.active_alerts(_state(spark, sf_dir)))
 
 
-@register("dashboard")
+@register("dashboard", _SQL_ALERTS + f""",
+{_SQL_POINTS.replace("WITH", "").strip()},
+panel AS ({_sql_summary(MT.PANEL_MINUTES, MT.KEY_METRICS).replace(_SQL_POINTS, "")}),
+newest AS (SELECT * FROM active ORDER BY created_at DESC, seq DESC LIMIT 10),
+health AS (
+  SELECT count(*) AS total_alerts, count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts,
+         count(*) FILTER (WHERE severity = 'WARNING') AS warning_alerts FROM active),
+sections AS (
+  SELECT 'system_health' AS section, to_json(struct_pack(
+      status := CASE WHEN critical_alerts > 0 THEN 'CRITICAL' WHEN warning_alerts > 0 THEN 'WARNING'
+                     WHEN total_alerts > 0 THEN 'DEGRADED' ELSE 'HEALTHY' END,
+      total_alerts := total_alerts, critical_alerts := critical_alerts, warning_alerts := warning_alerts))::VARCHAR AS json
+  FROM health
+  UNION ALL
+  SELECT 'performance_metrics', '{{' || coalesce(string_agg('"' || name || '":' || to_json(struct_pack(
+      count := count, min := min, max := max, avg := avg, latest := latest))::VARCHAR, ',' ORDER BY name), '') || '}}'
+  FROM panel
+  UNION ALL
+  SELECT 'active_alerts', '[' || coalesce(string_agg(to_json(struct_pack(
+      id := id, created_at := strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z', severity := severity,
+      component := component, message := 'error event ' || CAST(seq AS VARCHAR)))::VARCHAR, ','
+      ORDER BY created_at DESC, seq DESC), '') || ']'
+  FROM newest)
+SELECT section, json, epoch_us((SELECT max(ts) FROM p)) AS timestamp FROM sections""")
 def dashboard(spark, sf_dir):
-    """ALR-6, rows-only: its parts have oracles (system_health,
-    metric_key_panel, alert_last10); the JSON document has none."""
+    """ALR-6: the three sections as JSON texts."""
     p = points(spark, sf_dir)
     return AL.dashboard(p, _state(spark, sf_dir), latest_time(p), MT.KEY_METRICS) \
              .withColumn("timestamp", F.unix_micros("timestamp"))

@@ -181,15 +181,16 @@ def coap_fold(spark, sf_dir):
     return shown(N.fold_coap(landing(spark, sf_dir), resources=RESOURCES), "poll_id")
 
 
-SQL_UNION = (_SQL_RAW + "," + _SQL_SNMP_FOLD + "," + _SQL_COAP_FOLD + f"""
+SQL_PROTOCOLS = _SQL_RAW + "," + _SQL_SNMP_FOLD + "," + _SQL_COAP_FOLD
+SQL_MESSAGES = f"""
 {_SQL_MQTT}
 UNION ALL {_SQL_WS}
 UNION ALL {_SQL_TCP}
 UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM snmp
-UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM coap""")
+UNION ALL SELECT source_id, device_id, protocol, timestamp_us, data, metadata FROM coap"""
 
 
-@register("protocol_union", SQL_UNION)
+@register("protocol_union", SQL_PROTOCOLS + SQL_MESSAGES)
 def protocol_union(spark, sf_dir):
     return shown(N.normalize_all(landing(spark, sf_dir), resources=RESOURCES))
 

@@ -20,12 +20,17 @@ from driftwood.plans import q_messages as QM
 from driftwood.plans import q_monitoring as QMON
 from driftwood.plans import q_normalize as QN
 from driftwood.plans.q_calls import ORDER
-from driftwood.plans.q_windows import _wins_sql, compared, sql_compared
-from driftwood.plans.registry import ORACLE, register, with_views
+from driftwood.plans.q_windows import SQL_SCORE, SQL_STATUS, SQL_WIN_ANOMALIES, _wins_sql, compared, sql_compared, sql_windows
+from driftwood.plans.registry import ORACLE, r6, register, sql_r6, with_views
 from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from, table
 from driftwood.session import scratch_path
-from driftwood.streaming.pipeline import END_OF_STREAM, WATERMARK, processing_flow, run_available_now, run_bounded
+from driftwood.sinks import ANOMALIES_TOPIC, RESULTS_TOPIC, SinkConfig
+from driftwood.sources.stream import SourceConfig
+from driftwood.streaming.callbacks import CallbackRegistry
+from driftwood.streaming.pipeline import (END_OF_STREAM, WATERMARK, WINDOW_KEYS, PipelineConfig, drain, processing_flow,
+                                          run_bounded, start_pipeline)
 from driftwood.streaming.sessions import CallStream
+from driftwood.streaming.tables import BatchManifest, VersionedTable
 
 WATERMARK_US = C.interval_micros(WATERMARK)
 
@@ -64,7 +69,7 @@ def sliding_stream_append(spark, sf_dir):
                                 [{"device_id": "<end>", "event_time": END_OF_STREAM}]))
 
 
-@register("protocol_union_stream", QN.SQL_UNION)
+@register("protocol_union_stream", QN.SQL_PROTOCOLS + QN.SQL_MESSAGES)
 def protocol_union_stream(spark, sf_dir):
     """SET-2 and NRM-3/4 on a landing stream: polls are folded by two chained
     stateful aggregates and closed by the watermark."""
@@ -231,3 +236,124 @@ FROM msg WHERE dev IS NULL OR NOT has_ts""")
 def flow_quarantine(spark, sf_dir):
     return _flow(spark, sf_dir, "quarantine").select(
         "reason", F.col("message.metadata")["event_id"].cast("long").alias("event_id"))
+
+
+@register("sliding_stream_update", _wins_sql(W.DEFAULT_WINDOWS) + sql_compared("wins"))
+def sliding_stream_update(spark, sf_dir):
+    """STR-4: update mode over three micro-batches. A window is written again
+    whenever it changes; the newest version of each is read back, from a
+    compacted base and what came after it."""
+    windows = VersionedTable(scratch_path(spark, "versions"), WINDOW_KEYS)
+    readings = iot_from(timed_stream(spark, sf_dir)).withWatermark("event_time", WATERMARK)
+
+    def write(batch, batch_id):
+        windows.write(batch, batch_id)
+        if batch_id == 1:
+            windows.compact(spark, batch_id)
+    drain(W.window_metrics(readings, method="direct"), scratch_path(spark, "versions-ckpt"),
+          output_mode="update", each=write)
+    return compared(windows.read(spark))
+
+
+_MSG_WINDOWS = QM._SQL_MSG.replace("WITH iot AS (", "WITH raw_iot AS (").replace("FROM iot)", "FROM raw_iot)") + f""",
+iot AS (
+  SELECT dev AS device_id, protocol,
+         CASE WHEN has_ts THEN event_time ELSE event_time + INTERVAL 2 SECOND END AS event_time,
+         CASE WHEN has_data AND event_id % 11 <> 0 THEN temperature END AS temperature,
+         CASE WHEN has_data THEN humidity END AS humidity, CASE WHEN has_data THEN pressure END AS pressure,
+         CASE WHEN has_data THEN vibration END AS vibration
+  FROM msg),
+wins AS ({sql_windows(W.DEFAULT_WINDOWS)})"""
+
+
+@register("pipeline_targets", _MSG_WINDOWS + f"""
+SELECT '{RESULTS_TOPIC}' AS target, device_id, window_duration, window_start_us, 'message_count' AS kind,
+       CAST(message_count AS DOUBLE) AS value FROM wins
+UNION ALL
+SELECT '{ANOMALIES_TOPIC}', device_id, window_duration, window_start_us, anomaly_type, {sql_r6('anomaly_value')}
+FROM ({SQL_WIN_ANOMALIES})
+UNION ALL
+SELECT 'health', device_id, window_duration, window_start_us, {SQL_STATUS}, {sql_r6('health_score')}
+FROM (SELECT *, {SQL_SCORE} AS health_score FROM wins)""")
+def pipeline_targets(spark, sf_dir):
+    """SNK-3/4/5: the analytics pipeline from Kafka rows to its three targets,
+    read back: results and anomalies from their topics (file stand-in), health
+    scores from JSON files."""
+    src, root, topics = (scratch_path(spark, n) for n in ("kafka-in", "pipeline-out", "pipeline-topics"))
+    columns = ("key", "value", "topic", "headers")
+    rows = QM.kafka_rows(spark, sf_dir)
+    rows.select(*columns).write.parquet(src)
+    cfg = PipelineConfig(source=SourceConfig(kind="files", path=src, topics=(), file_format="parquet"), trigger=None,
+                         output_root=root, checkpoint=scratch_path(spark, "pipeline-ckpt"),
+                         publish=SinkConfig(kind="files", path=topics))
+    end = QM.kafka_rows_from(QM.message_rows_from(iot_from(table(spark, sf_dir, "events").limit(0))))
+    value = f'{{"timestamp":"{END_OF_STREAM}","data":{{"timestamp":"{END_OF_STREAM}","device_id":"<end>"}}}}'
+    last = spark.range(1).select(*(F.lit({"value": value}.get(c)).cast(end.schema[c].dataType).alias(c) for c in columns))
+    for ended in (False, True):
+        if ended:  # the stream's end moves the watermark past all windows
+            last.write.mode("append").parquet(src)
+        for q in start_pipeline(spark, cfg):
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    sent = spark.read.schema("topic string, value string").json(topics)
+    key = "device_id string, window_duration string, window_start timestamp"
+
+    def shown(df, target, kind, value):
+        return df.select(F.lit(target).alias("target"), "device_id", "window_duration",
+                         F.unix_micros("window_start").alias("window_start_us"), kind.alias("kind"), value.alias("value"))
+
+    def of(topic, more):
+        v = F.from_json("value", f"{key}, {more}").alias("v")
+        return sent.where(F.col("topic") == topic).select(v).select("v.*")
+    results = of(RESULTS_TOPIC, "message_count long")
+    anomalies = of(ANOMALIES_TOPIC, "anomaly_type string, anomaly_value double")
+    health = spark.read.schema(f"{key}, health_score double, health_status string").json(f"{root}/health_json")
+    return (shown(results, RESULTS_TOPIC, F.lit("message_count"), F.col("message_count").cast("double"))
+            .unionAll(shown(anomalies, ANOMALIES_TOPIC, F.col("anomaly_type"), r6("anomaly_value")))
+            .unionAll(shown(health, "health", F.col("health_status"), r6("health_score"))))
+
+
+@register("flow_restart", ORACLE["processed_records"])
+def flow_restart(spark, sf_dir):
+    """STR-9: a query that dies in its second batch, when the outputs are
+    written but not committed, and is started again from its checkpoint."""
+    root, ckpt = scratch_path(spark, "restart-out"), scratch_path(spark, "restart-ckpt")
+    stream = QM.kafka_rows_from(QM.message_rows_from(iot_from(timed_stream(spark, sf_dir))))
+    died = []
+
+    def die_once(batch_id):
+        if batch_id == 1 and not died:
+            died.append(batch_id)
+            raise RuntimeError("stopped before the commit")
+    step = processing_flow(root, before_commit=die_once)
+    try:
+        drain(stream, ckpt, each=step)
+    except Exception:  # noqa: BLE001 - the failure that the restart is for
+        if not died:
+            raise
+    drain(stream, ckpt, each=step)
+    p = BatchManifest(root).read(spark, "processed")
+    return p.select("device_id", "timestamp", map_text(F.col("metrics")).alias("metrics"),
+                    map_text(F.col("metadata")).alias("metadata"))
+
+
+@register("message_callbacks", QN.SQL_PROTOCOLS + f"SELECT *, 'broken' AS failed FROM ({QN.SQL_MESSAGES})")
+def message_callbacks(spark, sf_dir):
+    """UDF-2: a callback on all normalised messages of a stream and one that
+    fails on TCP messages; what the first saw, beside the failure table."""
+    root = scratch_path(spark, "callbacks")
+    registry = CallbackRegistry(root)
+    registry.register("keep", lambda part, n: part.write.mode("overwrite").parquet(f"{root}/seen/batch_id={n}"))
+
+    def broken(part, batch_id):
+        if not part.isEmpty():
+            raise ValueError("cannot handle this")
+    registry.register("broken", broken, "TCP")
+    run_bounded(QN.landing_from(iot_from(events_stream(spark, sf_dir))),
+                lambda raw: N.normalize_all(raw.withWatermark("received_at", WATERMARK), resources=QN.RESOURCES),
+                "callbacks", [{"protocol": "SNMP", "received_at": END_OF_STREAM, "poll_id": "<end>"}],
+                each=lambda batch, n: registry.run(batch, n) and None)
+    failed = registry.failures(spark).select(F.col("callback").alias("failed")).distinct()
+    seen = spark.read.option("basePath", f"{root}/seen").parquet(f"{root}/seen")
+    return QN.shown(seen, F.lit(1).alias("_one")).join(failed, F.col("_one") == 1, "left").drop("_one")

@@ -83,7 +83,7 @@ def sliding_union_direct(spark, sf_dir):
     return compared(sliding(spark, sf_dir, method="direct"))
 
 
-_SQL_WIN_ANOMALIES = f"""
+SQL_WIN_ANOMALIES = f"""
 SELECT device_id, protocol, window_duration, window_start_us, window_end_us,
        'TEMPERATURE_EXTREME' AS anomaly_type,
        CASE WHEN max_temperature > 80 THEN max_temperature ELSE min_temperature END AS anomaly_value,
@@ -106,7 +106,7 @@ FROM wins WHERE message_count < 5"""
 @register("anomalies_windowed", _wins_sql(W.DEFAULT_WINDOWS) + f"""
 SELECT device_id, protocol, window_duration, window_start_us, window_end_us, anomaly_type,
        {sql_r6('anomaly_value')} AS anomaly_value, anomaly_description
-FROM ({_SQL_WIN_ANOMALIES})""")
+FROM ({SQL_WIN_ANOMALIES})""")
 def anomalies_windowed(spark, sf_dir):
     a = A.detect_anomalies(sliding(spark, sf_dir))
     return (a.withColumn("anomaly_value", r6("anomaly_value"))
@@ -144,20 +144,20 @@ def _sql_steps(col, steps, fallback, op):
     return f"(CASE {parts} ELSE {fallback} END)"
 
 
-_SQL_SCORE = (
+SQL_SCORE = (
     f"{_sql_ladder(sql_round('avg_temperature', 9), H.TEMPERATURE_BANDS, H.TEMPERATURE_ELSE)} * {H.TEMPERATURE_WEIGHT}::DOUBLE"
     f" + {_sql_ladder(sql_round('avg_humidity', 9), H.HUMIDITY_BANDS, H.HUMIDITY_ELSE)} * {H.HUMIDITY_WEIGHT}::DOUBLE"
     f" + {_sql_steps('max_vibration', H.VIBRATION_AT_MOST, H.VIBRATION_ELSE, '<=')} * {H.VIBRATION_WEIGHT}::DOUBLE"
     f" + {_sql_steps('message_count', H.COUNT_AT_LEAST, H.COUNT_ELSE, '>=')} * {H.COUNT_WEIGHT}::DOUBLE")
-_SQL_STATUS = "CASE " + " ".join(
+SQL_STATUS = "CASE " + " ".join(
     f"WHEN health_score >= {e} THEN '{n}'" for e, n in H.STATUS_AT_LEAST) + \
     f" ELSE '{H.STATUS_ELSE}' END"
 
 
 @register("health_scores", _wins_sql(W.DEFAULT_WINDOWS) + f"""
 SELECT device_id, protocol, window_duration, window_start_us,
-       {sql_r6('health_score')} AS health_score, {_SQL_STATUS} AS health_status
-FROM (SELECT *, {_SQL_SCORE} AS health_score FROM wins)""")
+       {sql_r6('health_score')} AS health_score, {SQL_STATUS} AS health_status
+FROM (SELECT *, {SQL_SCORE} AS health_score FROM wins)""")
 def health_scores(spark, sf_dir):
     h = H.health_scores(sliding(spark, sf_dir))
     return h.select("device_id", "protocol", "window_duration",

@@ -109,3 +109,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system; a missing one is fine."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, by the session's file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by the session's file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return [f.getPath().getName() for f in found]

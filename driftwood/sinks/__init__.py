@@ -54,25 +54,29 @@ def _kafka_opts(cfg: SinkConfig) -> dict[str, str]:
     return opts
 
 
-def kafka_stream(df: DataFrame, cfg: SinkConfig, checkpoint: str,
-                 key: str | None = None, output_mode: str = "append",
-                 trigger: str | None = "5 seconds") -> DataStreamWriter:
-    """SNK-3/4: stream rows as JSON to a topic with their own checkpoint."""
-    out = as_json_value(df, key)
-    w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
-    if cfg.kind == "kafka":
-        return w.format("kafka").options(**_kafka_opts(cfg))
-    return w.format("json").option("path", cfg.path)
+# The topics of the analytics results.
+RESULTS_TOPIC, ANOMALIES_TOPIC = "iot-analytics-results", "iot-anomalies"
+
+
+def publish_analytics(windows: DataFrame, anomalies: DataFrame, health: DataFrame, cfg: SinkConfig,
+                      health_path: str, batch_id: int) -> dict[str, int]:
+    """SNK-3/4/5: one micro-batch to its three targets under one batch id:
+    window results and anomalies as JSON values to their topics, health
+    scores as JSON files. Returns the rows sent per target; a replayed batch
+    replaces its files."""
+    rows = as_json_value(windows, "device_id").withColumn("topic", F.lit(RESULTS_TOPIC)).unionByName(
+        as_json_value(anomalies, "device_id").withColumn("topic", F.lit(ANOMALIES_TOPIC)))
+    sent = publish_rows(rows, cfg, batch_id, (RESULTS_TOPIC, ANOMALIES_TOPIC))
+    return {**sent, "health": write_health_json(health, health_path, batch_id)}
 
 
-def health_json_stream(df: DataFrame, path: str, checkpoint: str,
-                       trigger: str | None = "1 minute") -> DataStreamWriter:
-    """SNK-5: health scores as JSON files, append mode (file sinks reject
-    update), one-minute trigger."""
-    w = (df.writeStream.format("json").outputMode("append")
-           .option("path", path).option("checkpointLocation", checkpoint))
-    return w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
+def write_health_json(health: DataFrame, path: str, batch_id: int) -> int:
+    """SNK-5: the health scores of a batch as JSON files; the rows written."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    (health.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+     .json(os.path.join(path, f"batch_id={batch_id}")))
+    return seen.get["n"]
 
 
 def write_messages(messages: DataFrame, cfg: SinkConfig, envelope_ts: Column | None = None,
@@ -95,16 +99,25 @@ def write_messages(messages: DataFrame, cfg: SinkConfig, envelope_ts: Column | N
     return obs.get
 
 
-def publish_rows(rows: DataFrame, cfg: SinkConfig, batch_id: int | None = None) -> None:
-    """SNK-7: rows ``key, value, topic``, each to the topic it names. The
-    file stand-in takes one folder a batch, so that a replayed batch replaces
-    its own rows; Kafka consumers must expect repeats after a replay."""
+def publish_rows(rows: DataFrame, cfg: SinkConfig, batch_id: int | None = None,
+                 topics: tuple[str, ...] = ()) -> dict[str, int]:
+    """SNK-7: rows ``key, value, topic``, each to the topic it names. Returns
+    how many rows went to each of ``topics`` and, as ``""``, to all together,
+    observed during the write. The file stand-in takes one folder a batch, so
+    that a replayed batch replaces its own rows; Kafka consumers must expect
+    repeats after a replay."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"),
+                        *(F.count_if(F.col("topic") == t).alias(f"n{i}") for i, t in enumerate(topics)))
     if cfg.kind == "kafka":
         opts = {k: v for k, v in _kafka_opts(cfg).items() if k != "topic"}
         rows.write.format("kafka").options(**opts).save()
-        return
-    target = cfg.path if batch_id is None else os.path.join(cfg.path, f"batch_id={batch_id}")
-    rows.write.mode("append" if batch_id is None else "overwrite").json(target)
+    else:
+        target = cfg.path if batch_id is None else os.path.join(cfg.path, f"batch_id={batch_id}")
+        rows.write.mode("append" if batch_id is None else "overwrite").json(target)
+    found = seen.get
+    return {"": found["n"], **{t: found[f"n{i}"] for i, t in enumerate(topics)}}
 
 
 def write_quarantine(bad: DataFrame, path: str, batch_id: int | None = None) -> None:

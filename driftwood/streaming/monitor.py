@@ -11,6 +11,7 @@ new alerts to handlers whose failures are isolated.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import os
 import uuid
@@ -18,9 +19,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from driftwood.operators import alerts as AL
+from driftwood.session import folder_exists
 
 LOG = logging.getLogger(__name__)
 RULE_CHECK_EVERY = "30 seconds"      # fixed value: rule check period
@@ -63,6 +66,14 @@ def read_progress(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(folder).withColumnRenamed("value", "json")
 
 
+def _days(spark: SparkSession, schema, path: str, day: dt.date) -> DataFrame:
+    """The metric table from the day before ``day`` on."""
+    names = [f"date={day + dt.timedelta(days=k)}" for k in (-1, 0, 1)]
+    found = [os.path.join(path, n) for n in names if folder_exists(spark, os.path.join(path, n))]
+    parts = [T.StructField("date", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *parts])).option("basePath", path).parquet(*found)
+
+
 def start_rule_monitor(points: DataFrame, rules: DataFrame, metrics_path: str, alerts_path: str,
                        checkpoint: str, handlers: dict[str, Callable[[DataFrame, int], None]]
                        | None = None, every: str | None = RULE_CHECK_EVERY) -> StreamingQuery:
@@ -76,16 +87,18 @@ def start_rule_monitor(points: DataFrame, rules: DataFrame, metrics_path: str, a
 
     def check(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        (batch.withColumn("date", F.to_date("ts")).write.mode("overwrite").partitionBy("date")
-         .parquet(os.path.join(metrics_path, f"batch_id={batch_id}")))
-        latest = batch.agg(F.max(F.unix_micros("ts"))).first()[0]
-        if latest is None:
+        # Date first: a check lists the folders of one or two days, not of all batches.
+        (batch.withColumns({"date": F.to_date("ts"), "batch_id": F.lit(batch_id)})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date", "batch_id").parquet(metrics_path))
+        latest = batch.agg(F.max("ts").cast("date"), F.max(F.unix_micros("ts"))).first()
+        if latest[1] is None:
             return
-        table = spark.read.schema(batch.schema.add("batch_id", "long").add("date", "date")).option(
-            "basePath", metrics_path).parquet(metrics_path).where(F.col("batch_id") <= batch_id)
-        newest = table.where(F.col("date") >= F.to_date(F.timestamp_micros(F.lit(latest)))).agg(
-            F.max(F.unix_micros("ts"))).first()[0]
-        as_of = F.timestamp_micros(F.lit(newest))
+        table = _days(spark, batch.schema, metrics_path, latest[0]).where(F.col("batch_id") <= batch_id)
+        newest = table.agg(F.max(F.unix_micros("ts")), F.max("ts").cast("date")).first()
+        as_of = F.timestamp_micros(F.lit(newest[0]))
+        if newest[1] != latest[0]:  # the batch is behind others: take the days of the newest point
+            table = _days(spark, batch.schema, metrics_path, newest[1]).where(F.col("batch_id") <= batch_id)
         # The bound on the partition column keeps the read to one or two dates.
         since = F.to_date(as_of - F.expr(f"INTERVAL {AL.RULE_WINDOW_MINUTES} MINUTE"))
         alerts = AL.evaluate_rules(table.where(F.col("date") >= since), rules, as_of)

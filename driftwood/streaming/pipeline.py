@@ -1,16 +1,20 @@
 """The streaming analytics pipeline.
 
 source (Kafka or file stand-in) -> parse envelope -> flatten -> metrics ->
-watermark -> three sliding-window aggregates -> ONE ``foreachBatch`` that
-writes window results, anomalies, health scores and runs user hooks (D13:
-the original started four queries that each re-read the source and
-recomputed the windows). Rows that cannot enter the windows go to a
-quarantine by a second, stateless query partitioned by reason (SNK-9).
+watermark -> sliding-window aggregates -> ONE ``foreachBatch`` that writes
+window results, anomalies and health scores, publishes them to their targets
+and runs user hooks (D13: the original started four queries that each re-read
+the source and recomputed the windows). Rows that cannot enter the windows
+travel through the same query to a quarantine partitioned by reason (SNK-9),
+so every row of a batch of offsets is in one output or the other.
 
 Fault tolerance: offsets and window state live in the checkpoint (under the
 cluster's shared ``spark.checkpoint.dir``); each batch writes its outputs
 to ``<sink>/batch_id=<n>`` with overwrite, so a batch replayed after a
-failure replaces its own output instead of duplicating it (STR-9).
+failure replaces its own output instead of duplicating it, and a manifest
+names the batches whose outputs are complete (STR-9). In update mode (STR-4)
+the windows are a table of versions, and anomalies and health are read from
+its newest ones.
 """
 
 from __future__ import annotations
@@ -30,8 +34,9 @@ from driftwood.operators import health as H
 from driftwood.operators import messages as M
 from driftwood.operators import windows as W
 from driftwood.session import scratch_path
-from driftwood.sinks import SinkConfig, publish_rows
+from driftwood.sinks import SinkConfig, publish_analytics, publish_rows, write_quarantine
 from driftwood.sources.stream import SourceConfig, message_stream
+from driftwood.streaming.tables import BatchManifest, VersionedTable
 
 LOG = logging.getLogger(__name__)
 WATERMARK = "10 minutes"          # fixed value: allowed event-time lateness
@@ -48,6 +53,10 @@ class PipelineConfig:
     checkpoint: str | None = None
     query_name: str = "iot_analytics"
     hooks: dict[str, Callable[[DataFrame, int], None]] = field(default_factory=dict)
+    publish: SinkConfig | None = None           # SNK-3/4/5: topics and health files
+
+
+WINDOW_KEYS = ("device_id", "protocol", "window_duration", "window_start", "window_end")
 
 
 def parsed_messages(raw: DataFrame) -> DataFrame:
@@ -79,63 +88,76 @@ def _write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
        .save(os.path.join(root, name, f"batch_id={batch_id}")))
 
 
+def window_versions(root: str) -> VersionedTable:
+    """The windows of a pipeline in update mode."""
+    return VersionedTable(os.path.join(root, "windows"), WINDOW_KEYS)
+
+
 def fan_out(cfg: PipelineConfig, root: str) -> Callable[[DataFrame, int], None]:
     """STR-7: one micro-batch, several outputs; user hooks run isolated
-    (a failing hook does not stop the others: UDF-2/3)."""
+    (a failing hook does not stop the others: UDF-2/3). A batch holds window
+    rows, or rows ``window, rejected`` of both kinds."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _write_batch(batch, root, "windows", batch_id)
-            _write_batch(A.detect_anomalies(batch, detected_at=F.current_timestamp()),
-                         root, "anomalies", batch_id)
-            _write_batch(H.health_scores(batch), root, "health", batch_id)
-            for _name, hook in cfg.hooks.items():
+            both = "rejected" in batch.columns
+            windows = batch.where("window is not null").select("window.*") if both else batch
+            if both:
+                write_quarantine(batch.where("rejected is not null").select("rejected.*"),
+                                 os.path.join(root, "quarantine"), batch_id)
+            anomalies = A.detect_anomalies(windows, detected_at=F.current_timestamp())
+            health = H.health_scores(windows)
+            if cfg.output_mode == "update":
+                window_versions(root).write(windows, batch_id)
+            else:
+                _write_batch(windows, root, "windows", batch_id)
+                _write_batch(anomalies, root, "anomalies", batch_id)
+                _write_batch(health, root, "health", batch_id)
+            sent = {}
+            if cfg.publish is not None:
+                sent = publish_analytics(windows, anomalies, health, cfg.publish,
+                                         os.path.join(root, "health_json"), batch_id)
+            for name, hook in cfg.hooks.items():
                 try:
-                    hook(batch, batch_id)
+                    hook(windows, batch_id)
                 except Exception:  # noqa: BLE001 - hook isolation is the contract
-                    LOG.exception("hook failed on batch %s", batch_id)
+                    LOG.exception("hook %s failed on batch %s", name, batch_id)
+            BatchManifest(root).commit(batch.sparkSession, batch_id, {"windows": windows.count(), **sent})
         finally:
             batch.unpersist()
     return handle
 
 
 def start_pipeline(spark: SparkSession, cfg: PipelineConfig) -> list[StreamingQuery]:
-    """STR-6/8: start the windowed fan-out query and the quarantine query;
-    each has its own checkpoint under the shared checkpoint folder."""
+    """STR-6/8: start the query; its checkpoint is under the shared folder.
+    Windows and rejected rows are two branches over one source, so they see
+    the same offsets, wherever the source starts."""
     root = cfg.output_root or scratch_path(spark, "pipeline-out")
     ckpt = cfg.checkpoint or scratch_path(spark, "pipeline-ckpt")
     raw = message_stream(spark, cfg.source)
-    main = (windowed_stream(raw, cfg).writeStream
-            .queryName(cfg.query_name)
-            .outputMode(cfg.output_mode)
-            .option("checkpointLocation", os.path.join(ckpt, "windows"))
-            .foreachBatch(fan_out(cfg, root)))
-    bad = (quarantine(message_stream(spark, cfg.source)).writeStream
-           .queryName(cfg.query_name + "_quarantine")
-           .outputMode("append")
-           .option("checkpointLocation", os.path.join(ckpt, "quarantine"))
-           .partitionBy("reason").format("parquet")
-           .option("path", os.path.join(root, "quarantine")))
-    queries = []
-    for w in (main, bad):
-        w = w.trigger(availableNow=True) if cfg.trigger is None else \
-            w.trigger(processingTime=cfg.trigger)
-        queries.append(w.start())
-    return queries
+    windows, bad = windowed_stream(raw, cfg), quarantine(raw)
+    rows = windows.select(F.struct(*windows.columns).alias("window")).unionByName(
+        bad.select(F.struct(*bad.columns).alias("rejected")), allowMissingColumns=True)
+    w = (rows.writeStream.queryName(cfg.query_name).outputMode(cfg.output_mode)
+         .option("checkpointLocation", os.path.join(ckpt, "windows")).foreachBatch(fan_out(cfg, root)))
+    w = w.trigger(availableNow=True) if cfg.trigger is None else w.trigger(processingTime=cfg.trigger)
+    return [w.start()]
 
 
 def processing_flow(root: str, processed_at=None, threshold: float = 80.0,
-                    publish: SinkConfig | None = None) -> Callable[[DataFrame, int], None]:
+                    publish: SinkConfig | None = None,
+                    before_commit: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """ALR-2: the ``foreachBatch`` step that validates a micro-batch of Kafka
     rows and writes its processed records, temperature alerts and rejected
     rows (with a reason) under ``<root>/<name>/batch_id=<n>``; a replayed
     batch replaces its own rows. With ``publish``, processed records also go
     to the topic in ``iot-processed-data`` and alerts to ``iot-alerts``
-    (SNK-7/8), keyed by device."""
+    (SNK-7/8), keyed by device. A batch counts once it is in the manifest
+    (``BatchManifest(root)``, STR-9); ``before_commit`` runs when its outputs
+    are written, and if it fails the batch is not committed."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        parsed = M.parse_envelope(batch).persist()  # one parse for the three outputs
         try:
-            parsed = M.parse_envelope(batch)
             done = M.processed_records(parsed, processed_at)
             alerts = M.temperature_alerts(done, threshold, processed_at)
             _write_batch(done, root, "processed", batch_id)
@@ -146,8 +168,12 @@ def processing_flow(root: str, processed_at=None, threshold: float = 80.0,
                                  F.to_json(F.struct(*df.columns)).alias("value"))
                        for df, topic in ((done, "iot-processed-data"), (alerts, "iot-alerts"))]
                 publish_rows(out[0].unionByName(out[1]), publish, batch_id)
+            if before_commit is not None:
+                before_commit(batch_id)
+            BatchManifest(root).commit(batch.sparkSession, batch_id, {
+                "processed": done.count(), "alerts": alerts.count(), "quarantine": rejected(parsed).count()})
         finally:
-            batch.unpersist()
+            parsed.unpersist()
     return handle
 
 
@@ -169,9 +195,10 @@ def stop_all(spark: SparkSession) -> None:
 END_OF_STREAM = "9999-01-01 00:00:00"
 
 
-def drain(df: DataFrame, out: str, ckpt: str, output_mode: str = "append") -> None:
+def drain(df: DataFrame, ckpt: str, out: str | None = None, output_mode: str = "append",
+          each: Callable[[DataFrame, int], None] | None = None) -> None:
     """Run a streaming frame once over what its sources hold
-    (``availableNow``) into parquet at ``out``."""
+    (``availableNow``), into parquet at ``out`` or through ``each``."""
     spark = df.sparkSession
     # State partitions are fixed when a checkpoint is created; this drain
     # owns a fresh one, so size them to the cluster instead of inheriting a
@@ -179,10 +206,9 @@ def drain(df: DataFrame, out: str, ckpt: str, output_mode: str = "append") -> No
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
     spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
     try:
-        q = (df.writeStream.outputMode(output_mode).format("parquet")
-               .option("checkpointLocation", ckpt).option("path", out)
-               .trigger(availableNow=True).start())
+        q = (w.format("parquet").option("path", out) if each is None else w.foreachBatch(each)).start()
     finally:
         spark.conf.set(key, saved)
     q.awaitTermination()
@@ -196,13 +222,14 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str,
     folder and return what was written, as a batch frame. What the watermark
     has not passed stays in the state (see :func:`run_bounded`)."""
     out = scratch_path(spark, f"{name}-out")
-    drain(df, out, scratch_path(spark, f"{name}-ckpt"), output_mode)
+    drain(df, scratch_path(spark, f"{name}-ckpt"), out, output_mode)
     return spark.read.schema(df.schema).parquet(out)
 
 
 def run_bounded(source: DataFrame, plan: Callable[[DataFrame], DataFrame], name: str,
-                ends: list[dict[str, object]]) -> DataFrame:
-    """All results of ``plan`` over a stream that has an end, as a batch frame.
+                ends: list[dict[str, object]], each: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
+    """All results of ``plan`` over a stream that has an end, as a batch frame
+    (or, with ``each``, through that ``foreachBatch`` function).
 
     Append mode keeps open windows until the watermark has passed them, which
     on a stream that ends never happens for the last ones. So the drained
@@ -216,9 +243,9 @@ def run_bounded(source: DataFrame, plan: Callable[[DataFrame], DataFrame], name:
     spark.createDataFrame([], source.schema).write.parquet(tail)
     df = plan(source.unionByName(spark.readStream.schema(source.schema).parquet(tail)))
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    drain(df, out, ckpt)
+    drain(df, ckpt, out, each=each)
     rows = [spark.range(1).select(*(F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in source.schema))
             for row in ends]
     reduce(DataFrame.unionAll, rows).coalesce(1).write.mode("append").parquet(tail)
-    drain(df, out, ckpt)
-    return spark.read.schema(df.schema).parquet(out)
+    drain(df, ckpt, out, each=each)
+    return spark.read.schema(df.schema).parquet(out) if each is None else None

@@ -14,7 +14,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"device_iforest", "dashboard"}
+ROWS_ONLY = {"device_iforest"}
 
 
 def test_entry_smoke(spark):
@@ -30,6 +30,17 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_other_queries_survive_a_corpus_package_that_cannot_be_imported(monkeypatch):
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("driftwood.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    import driftwood
+    monkeypatch.delattr(driftwood, "llm", raising=False)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    found = E.queries()
+    assert "calls_bitrate" in found and "pipeline" not in found and not any(q.startswith("op1") for q in found)
+    assert set(E.oracle_sql()) <= set(found)
+
+
 def test_oracles_agree_on_small_tables(spark):
     con = duckdb.connect()
     for t in TABLES:

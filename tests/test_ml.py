@@ -41,3 +41,17 @@ def test_forest_properties(spark):
 def test_c_factor():
     assert ml.c_factor(np.array([1.0, 2.0]))[1] == 1.0
     assert abs(ml.c_factor(np.array([256.0]))[0] - 10.2448) < 1e-3
+
+
+def test_exact_quantile_against_numpy(spark):
+    """Ties, negative and infinite ranges of sizes, single rows, nulls."""
+    rng = np.random.default_rng(3)
+    groups = {"normal": rng.normal(size=3000), "ties": rng.integers(0, 5, 800).astype(float), "one": np.array([4.5]),
+              "two": np.array([1.0, 2.0]), "same": np.full(500, 7.25), "skew": np.exp(rng.normal(size=1000) * 5)}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("normal", None), ("nothing", None)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    for share in (0.9, 0.5, 0.0, 1.0, 0.37):
+        got = {r.k: r.v for r in ml.exact_quantile(frame, "k", "v", share, buckets=7, few=20).collect()}
+        assert got.keys() == groups.keys()
+        for k, v in groups.items():
+            assert abs(got[k] - np.quantile(v, share)) <= 1e-9 * max(1.0, abs(got[k]))

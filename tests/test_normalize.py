@@ -112,3 +112,15 @@ def test_shift_and_route(spark):
     n = nested.select(M.shift_nested(F.col("doc")).alias("s")).collect()[0].s
     assert n.geo_location.latitude == 1.5 and n.device_metadata == {"fw": "x"}
     assert "junk" not in n.asDict()
+
+
+def test_text_behind_a_json_value_is_no_json(spark):
+    """NRM-2/5/6: what follows a value may not close the parser's wrapping."""
+    from driftwood.operators.normalize import whole_json
+    bad = ['{"a":1}] x', '{"a":1}]', '{"a":1}}', '{"a":1},"b":2', '{"a":1}] , [2', "1,2", "1],[2", '1,"b":2', '{"a":1} x',
+           "", "x", '{"a":1}}x', '{"a":1}, "k": 3', '{"a":1}],"', '{"a":1}]}', '{"a":1}}]', "[1]]", "[1],[2]", '{"a":[1]}] x']
+    good = ['{"a":1}', "1", '"x"', "[1,2]", '{"a":{"b":[1]}}', '{"a":"]"}', "[[1],[2]]", '{"a":"}]"}']
+    rows = spark.createDataFrame([(x, False) for x in bad] + [(x, True) for x in good] + [(" " + x + " ", True) for x in good],
+                                 "t string, good boolean")
+    wrong = rows.where(whole_json(F.col("t")).isNotNull() != F.col("good"))
+    assert [r.t for r in wrong.collect()] == []

@@ -19,18 +19,31 @@ def test_as_json_value_round_trips(spark):
         (r.device_id, r.device_id, r.score, r.ts) for r in df.collect())
 
 
-def test_health_json_stream_appends_json_files(spark, tmp_path):
-    src = str(tmp_path / "src")
-    rows = [("d1", 0.9, "HEALTHY"), ("d2", 0.4, "CRITICAL")]
-    spark.createDataFrame(rows, "device_id string, health_score double, status string") \
-         .write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    q = sinks.health_json_stream(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"),
-                                 trigger=None).start()
-    q.awaitTermination()
-    assert q.exception() is None
-    got = spark.read.schema(stream.schema).json(str(tmp_path / "out"))
-    assert sorted(tuple(r) for r in got.collect()) == sorted(rows)
+def test_analytics_targets_replace_a_replayed_batch(spark, tmp_path):
+    """SNK-3/4/5: two topics and JSON files under one batch id, with sent counts."""
+    windows = spark.createDataFrame([("d1", 3, T), ("d2", 4, T)], "device_id string, message_count long, window_start timestamp")
+    anomalies = spark.createDataFrame([("d1", "HIGH_VIBRATION", 120.5)], "device_id string, anomaly_type string, anomaly_value double")
+    health = spark.createDataFrame([("d1", 0.9, "HEALTHY"), ("d2", 0.4, "CRITICAL"), ("d3", None, None)],
+                                   "device_id string, health_score double, health_status string")
+    cfg = sinks.SinkConfig(kind="files", path=str(tmp_path / "topics"))
+    for batch_id in (0, 1, 0):
+        sent = sinks.publish_analytics(windows, anomalies, health, cfg, str(tmp_path / "health"), batch_id)
+        assert sent == {"": 3, sinks.RESULTS_TOPIC: 2, sinks.ANOMALIES_TOPIC: 1, "health": 3}
+    topics = spark.read.json(str(tmp_path / "topics"))
+    got = {(r.batch_id, r.topic, r.key): r.value for r in topics.collect()}
+    assert len(got) == topics.count() == 6
+    assert '"anomaly_value":120.5' in got[1, sinks.ANOMALIES_TOPIC, "d1"]
+    scores = spark.read.schema(health.schema).json(str(tmp_path / "health"))
+    assert scores.count() == 6 and scores.where("health_status = 'CRITICAL'").count() == 2
+
+
+def test_sent_counts_per_topic(spark, tmp_path):
+    """SNK-7: observed during the write; topics not asked for only count in all."""
+    rows = spark.createDataFrame([("k", "v", "a"), (None, "v", "a"), ("k", None, "b"), ("k", "v", None)],
+                                 "key string, value string, topic string")
+    cfg = sinks.SinkConfig(kind="files", path=str(tmp_path / "t"))
+    assert sinks.publish_rows(rows, cfg, 0, ("a", "c")) == {"": 4, "a": 2, "c": 0}
+    assert sinks.publish_rows(rows.limit(0), cfg, 1, ("a",)) == {"": 0, "a": 0}
 
 
 def test_quarantine_replayed_batch_replaces_its_output(spark, tmp_path):
