@@ -2,8 +2,9 @@
 
 A space between two characters that are no white space always ends a match
 of the byte-level pre-tokenisation pattern: the match before it cannot hold
-white space and the match after it starts with the space. So a text may be
-cut there, and the ids of a text are the ids of its chunks in order. Chunks
+white space and the match after it starts with the space. A line break
+between two such characters is a match of its own. So a text may be cut
+before both, and the ids of a text are the ids of its chunks in order. Chunks
 repeat far more than texts, so each task encodes the distinct new ones.
 """
 
@@ -14,16 +15,22 @@ import re
 
 import numpy as np
 
-_EDGE = re.compile(r"\s | \s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_EDGE = re.compile(r"\s[ \n]|[ \n]\s")
+_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 #: Entries of a worker's memo and the longest chunk it keeps (memory bound only).
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 800_000
 MEMO_CHARS = 64
+MARKS = frozenset(".,;:!?")
 
 
 def chunks(text: str) -> list[str]:
-    """Chunks of ``text``; all but the first stand for a space and themselves."""
-    return _CUT.split(text) if _EDGE.search(text) else text.split(" ")
+    """Chunks of ``text``; all but the first stand for ``spelt`` of themselves."""
+    return _CUT.split(text) if _EDGE.search(text) else text.replace("\n", " \n").split(" ")
+
+
+def spelt(chunk: str) -> str:
+    """The text of a chunk behind the first: with the space that it was cut at."""
+    return chunk if chunk[:1] == "\n" else " " + chunk
 
 
 @functools.lru_cache(maxsize=2)
@@ -46,20 +53,23 @@ def _encode(path: str, pieces: list[str]) -> list[bytes]:
     """Ids of each piece as little-endian unsigned 32-bit numbers."""
     tok, newline = _library(path)
     out: dict[int, bytes] = {}
+    # Pieces of a space, or a line break, and a word may share one call, parted
+    # by line breaks: "\n" before " x" or "x" is a match of its own.
     plain = [i for i, p in enumerate(pieces)
-             if newline is not None and p[:1] == " " and "\n" not in p and len(p) <= MEMO_CHARS]
-    # Pieces that start with a space may share one call, parted by newlines:
-    # "\n" before " x" is a match of its own.
+             if newline is not None and 1 < len(p) <= MEMO_CHARS and p[0] in " \n" and "\n" not in p[1:]
+             and not p[1].isspace()]
     packs = [plain[i:i + 256] for i in range(0, len(plain), 256)]
-    joined = tok.encode_batch_fast(["\n".join(pieces[i] for i in pack) for pack in packs],
+    joined = tok.encode_batch_fast(["\n".join(pieces[i].removeprefix("\n") for i in pack) for pack in packs],
                                    add_special_tokens=False)
     for pack, e in zip(packs, joined):
         ids = np.asarray(e.ids, np.uint32)
-        ends = np.append(np.nonzero(ids == newline)[0], len(ids))
+        ends = np.append(np.nonzero(ids == newline)[0], len(ids)).tolist()
         if len(ends) == len(pack):
             start = 0
+            packed, broken = ids.tobytes(), np.uint32(newline).tobytes()
             for i, end in zip(pack, ends):
-                out[i] = ids[start:end].tobytes()
+                found = packed[4 * start:4 * end]
+                out[i] = broken + found if pieces[i][0] == "\n" else found
                 start = end + 1
     rest = [i for i in range(len(pieces)) if i not in out]
     for i, e in zip(rest, tok.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
@@ -67,34 +77,32 @@ def _encode(path: str, pieces: list[str]) -> list[bytes]:
     return [out[i] for i in range(len(pieces))]
 
 
+@functools.lru_cache(maxsize=64)
+def _mark(path: str, mark: str) -> bytes:
+    return _encode(path, [mark])[0]
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers."""
     memo = _memo(path)
-    if len(memo) > MEMO_ENTRIES:
-        memo.clear()
     out = []
     for lo in range(0, len(texts), 512):
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
         parts = [chunks(t) for t in texts[lo:lo + 512]]
-        new = {c for p in parts for c in p[1:]}
-        new.difference_update(memo)
-        new = list(new)
-        known = memo
-        if new:
-            ids = _encode(path, [" " + c for c in new])
-            known = dict(zip(new, ids))
-            memo.update((c, i) for c, i in known.items() if len(c) <= MEMO_CHARS)
-            known = _Chain(known, memo)
+        new = set()
+        for p in parts:
+            new.update(p[1:])
+        new = [c for c in new if c not in memo]
+        # Letters and one mark behind them are two matches.
+        marked = [c for c in new if c[-1:] in MARKS and c[:-1].isalpha()]
+        bare = {c[:-1] for c in marked}.union(new).difference(marked)
+        bare = [c for c in bare if c not in memo]
+        memo.update(zip(bare, _encode(path, [spelt(c) for c in bare])))
+        memo.update((c, memo[c[:-1]] + _mark(path, c[-1])) for c in marked)
         heads = _encode(path, [p[0] for p in parts])
-        out += [h + b"".join([known[c] for c in p[1:]]) for h, p in zip(heads, parts)]
+        out += [h + b"".join([memo[c] for c in p[1:]]) for h, p in zip(heads, parts)]
+        for c in (*bare, *marked):  # long chunks are not kept
+            if len(c) > MEMO_CHARS:
+                del memo[c]
     return out
-
-
-class _Chain(dict):
-    """Fresh entries, then the memo."""
-
-    def __init__(self, fresh: dict, memo: dict):
-        super().__init__(fresh)
-        self._memo = memo
-
-    def __missing__(self, key):
-        return self._memo[key]

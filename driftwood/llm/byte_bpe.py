@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwood.llm.bpe_ids import chunks
+from driftwood.llm.bpe_ids import chunks, spelt
 
 #: Words per recursive query, and bytes up to which a word goes through it.
 #: A longer word would need as many recursions as bytes over all its rows, so
@@ -151,7 +151,7 @@ class Codec:
             return [" " + chunk]
         if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
             return [" " + chunk[:-1], chunk[-1]]
-        return self.match(" " + chunk)
+        return self.match(spelt(chunk))
 
     def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
         """Ids of new words, and the bytes that these ids decode to."""
@@ -166,7 +166,7 @@ class Codec:
         parts = [chunks(t) for t in texts]
         new = set()
         for p in parts:
-            new.update(p[1:])  # each stands for a space and itself
+            new.update(p[1:])
         new.difference_update(self.chunks)
         cut = {c: self._words_of(c) for c in new}
         heads = [self.match(p[0]) for p in parts]
