@@ -183,7 +183,13 @@ PLAIN = regex.compile(r"[^\p{L}\p{N}]+")
 
 
 
-def line_removals(spark, docs, radius=3, similarity=0.8):
+def shared_blocks(x, blocks=line_dedup.BLOCKS):
+    """Blocks in which two hashes agree, given their difference."""
+    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+    return sum(not (x >> a) & ((1 << b - a) - 1) for a, b in zip(edges, edges[1:]))
+
+
+def line_removals(spark, docs, radius=line_dedup.RADIUS, similarity=line_dedup.SIMILARITY):
     occurrences = [(i, k, PLAIN.sub(" ", x.lower()).strip(" ")) for i, t in docs for k, x in enumerate(t.split("\n"))]
     lines = sorted({x for _, _, x in occurrences if x})
     words = sorted({w for x in lines for w in x.split(" ")})
@@ -209,6 +215,8 @@ def line_removals(spark, docs, radius=3, similarity=0.8):
     for i in range(len(lines)):
         for j in np.nonzero(np.bitwise_count(v[i + 1:] ^ v[i]) <= radius)[0] + i + 1:
             a, b = lines[i], lines[j]
+            if shared_blocks(value[i] ^ value[j]) < line_dedup.AGREE:
+                continue
             if distance(a, b) <= int((1 - similarity + 1e-9) * max(len(a), len(b))):
                 links.append((a, b))
     root = roots(lines, links)
@@ -240,18 +248,33 @@ def test_simhash_of_long_lines(spark):
     assert got[1] == got[2] and got[3] == spark.range(1).select(F.xxhash64(F.lit("w0"))).first()[0]
 
 
-def test_every_hash_pair_within_the_radius_is_found(spark):
+def test_every_hash_pair_that_meets_is_found(spark):
+    """All pairs within blocks - agree bits, and of those beyond the ones that share the blocks."""
     r = random.Random(6)
     values = {r.getrandbits(64) - 2 ** 63 for _ in range(150)}
     for x in list(values)[:100]:
         for _ in range(3):
             y = x
-            for b in r.sample(range(64), r.randrange(1, 6)):
+            for b in r.sample(range(64), r.randrange(1, 13)):
                 y ^= 1 << b if b < 63 else -(1 << 63)
             values.add(y)
-    got = line_dedup.near_hashes(spark.createDataFrame([(x,) for x in values], "simhash long")).collect()
-    want = {(a, b) for a in values for b in values if a < b and bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 3}
-    assert len(got) == len(want) and {(x["sa"], x["sb"]) for x in got} == want
+    rows = [(i, x, 50 + i % 3, i % 97) for i, x in enumerate(sorted(values))]
+    got = line_dedup.near_hashes(spark.createDataFrame(rows, "id long, simhash long, n int, root long")).collect()
+    want, sure = set(), 0
+    for a, x, _, p in rows:
+        for b, y, _, q in rows[a + 1:]:
+            bits = (x ^ y) & (2 ** 64 - 1)
+            if p != q and bin(bits).count("1") <= line_dedup.RADIUS and shared_blocks(bits) >= 2:
+                want.add((a, b))
+                sure += bin(bits).count("1") <= 5
+    assert len(got) == len(want) and {(x["a"], x["b"]) for x in got} == want and sure > 50
+
+
+def test_two_texts_under_one_id_are_two_documents(spark):
+    docs = [(3, "shared line of some words here\nother text stands here"), (7, "shared line of some words here"),
+            (7, "unique zebra content here today")]
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs_of(spark, docs)).collect()}
+    assert got == {(3, docs[0][1]), (7, ""), (7, docs[2][1])}
 
 
 def test_lines_odd_rows(spark):
