@@ -242,14 +242,19 @@ def line_removals(spark, docs, radius=line_dedup.RADIUS, similarity=line_dedup.S
     occurrences = [(i, k, PLAIN.sub(" ", x.lower()).strip(" ")) for i, t in docs for k, x in enumerate(t.split("\n"))]
     lines = sorted({x for _, _, x in occurrences if x})
     words = sorted({w for x in lines for w in x.split(" ")})
-    hashes = {r["w"]: r["h"] & (2 ** 64 - 1) for r in spark.createDataFrame([(w,) for w in words], "w string")
-              .select("w", F.xxhash64("w").alias("h")).collect()}
-    bits = np.array([[hashes[w] >> b & 1 for b in range(64)] for w in words])
+    found = spark.createDataFrame([(w,) for w in words], "w string").select(
+        "w", F.xxhash64("w").alias("h"), F.xxhash64("w", F.lit(line_dedup.SECOND)).alias("g")).collect()
     number = {w: i for i, w in enumerate(words)}
-    value = []
-    for x in lines:
-        rows = bits[[number[w] for w in x.split(" ")]]
-        value.append(sum(1 << b for b in range(64) if 2 * rows[:, b].sum() > len(rows)))
+
+    def simhashes(column):
+        hashes = {r["w"]: r[column] & (2 ** 64 - 1) for r in found}
+        bits = np.array([[hashes[w] >> b & 1 for b in range(64)] for w in words])
+        out = []
+        for x in lines:
+            rows = bits[[number[w] for w in x.split(" ")]]
+            out.append(sum(1 << b for b in range(64) if 2 * rows[:, b].sum() > len(rows)))
+        return out
+    value, second = simhashes("h"), simhashes("g")
 
     def distance(a, b):
         row = np.arange(len(b) + 1)
@@ -264,7 +269,8 @@ def line_removals(spark, docs, radius=line_dedup.RADIUS, similarity=line_dedup.S
     for i in range(len(lines)):
         for j in np.nonzero(np.bitwise_count(v[i + 1:] ^ v[i]) <= radius)[0] + i + 1:
             a, b = lines[i], lines[j]
-            if shared_blocks(value[i] ^ value[j]) < line_dedup.AGREE:
+            if (shared_blocks(value[i] ^ value[j]) < line_dedup.AGREE
+                    or bin(second[i] ^ second[j]).count("1") > line_dedup.SECOND_RADIUS):
                 continue
             if distance(a, b) <= int((1 - similarity + 1e-9) * max(len(a), len(b))):
                 links.append((a, b))
