@@ -1,4 +1,4 @@
-"""DuckDB SQL that says what the manifest, near-copy and word-variant queries return."""
+"""DuckDB SQL that says what the queries return that SQL can express."""
 
 #: Bytewise CRC-32: ``crc_table(i, c)``, from the polynomial.
 CRC_TABLE = """
@@ -133,3 +133,35 @@ chase(word, root, form) AS (
   UNION ALL SELECT c.word, n.word, n.form FROM chase c JOIN named n ON n.word = c.form)
 SELECT word, named.form, c.root, n, n_near, form_n FROM named JOIN chase c USING (word) WHERE c.form IS NULL
 """
+
+NEAR_DOCUMENTS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 10 * count(*) >= 8 * (m.n + n.n - count(*))),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, y FROM reach JOIN links ON x = r),
+copied AS (SELECT w, count(*) AS copies FROM words WHERE len(w) > 0 GROUP BY w)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(copies, 1) AS copies
+FROM (SELECT doc_id, min(r) AS class_id FROM reach GROUP BY doc_id)
+JOIN words USING (doc_id) LEFT JOIN copied USING (w)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x) USING (doc_id)
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id) AS rank
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+WHERE rank <= 10
+"""

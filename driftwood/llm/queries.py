@@ -31,7 +31,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.edited_fingerprints(documents(spark, sf_dir))
 
 
-@register("op9_ngram_jaccard_join")
+@register("op9_ngram_jaccard_join", oracle_sql.NEAR_DOCUMENTS)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents.near_documents(documents(spark, sf_dir))
 
@@ -62,7 +62,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@register("op4_voronoi_top_k")
+@register("op4_voronoi_top_k", oracle_sql.TOP_K)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = voronoi_knn.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return voronoi_knn.top_k(vectors)
