@@ -165,3 +165,27 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
 WHERE rank <= 10
 """
+
+#: Every string of 50 bytes (in hex) against the least document that holds it.
+SUBSTRINGS = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (SELECT doc_id, lo, substring(h, 2 * lo + 1, 2 * (500 + 49)) AS part
+          FROM texts, unnest(range(0, strlen(h) // 2 - 49, 500)) AS u(lo)),
+strings AS (SELECT doc_id, lo + i AS p, substring(part, 2 * i + 1, 100) AS w
+            FROM parts, unnest(range(strlen(part) // 2 - 49)) AS u(i)),
+least AS (SELECT w, min(doc_id) AS owner FROM strings GROUP BY w HAVING min(doc_id) < max(doc_id)),
+marks AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, true) AS opens
+          FROM strings JOIN least USING (w) WHERE doc_id > owner),
+runs AS (SELECT doc_id, p, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marks),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM runs GROUP BY doc_id, run),
+sums AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+cuts AS (SELECT doc_id, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS lo, a AS hi FROM spans
+         UNION ALL
+         SELECT doc_id, coalesce(max(z), 0), any_value(strlen(h) // 2)
+         FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+rest AS (SELECT doc_id, string_agg(substring(h, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS kept
+         FROM texts JOIN cuts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM texts JOIN rest USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""

@@ -76,7 +76,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-@register("op3_suffix_dedup")
+@register("op3_suffix_dedup", oracle_sql.SUBSTRINGS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes",

@@ -15,21 +15,28 @@ matters, and only suffixes that tie with one of another document:
    bucket at a time over all blocks; those that tie with another document's
    are flagged. A flag may be wrong, a missing one never is.
 3. The suffixes within reach of a flag, few against all, are sorted one
-   bucket at a time by the fingerprint of their first ``min_bytes`` bytes,
-   and every block learns which of its own start in an earlier block too.
-   Inside a block the same sort settles the documents.
-
-Buckets are ranges of 64-bit fingerprints, not of the bytes themselves: equal
-strings still fall together, which is all that is asked, and a suffix takes
-six bytes of shuffle instead of fifty or more. A block sends each bucket its
-distinct values as sorted differences and gets one bit back for each, in the
-same order, so a string that a third of all documents hold costs one value a
-block. Blocks and buckets bound the memory of every task.
+   bucket at a time by a hash of their first ``min_bytes`` bytes, and every
+   block learns which of its own start in an earlier block too. Inside a
+   block a sort settles the documents, and every tie is held byte for byte.
+
+Buckets are ranges of hash values, not of the bytes themselves: equal strings
+still fall together, which is all that is asked, and a suffix takes some seven
+bytes of shuffle instead of fifty or more. Blocks compare strings by a hash
+from a strongly universal family, drawn anew for every run: two different
+strings, whatever they are, agree in all its bits with chance 2 ** -bits, and
+there are so many bits that the chance of any wrong tie in a run stays below
+2 ** -20. A block sends each bucket its distinct values as a packed ascending
+list and gets one bit back for each, in the same order, so a string that a
+third of all documents hold costs one value a block. Blocks and buckets bound
+the memory of every task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import secrets
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,18 +85,73 @@ def fingerprints(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def _bits(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bits of each value, one after the other."""
+    wide = values.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.packbits(np.unpackbits(wide, axis=1)[:, 64 - width:]).tobytes()
+
+
+def _from_bits(data: bytes, n: int, width: int) -> np.ndarray:
+    wide = np.zeros((n, 64), np.uint8)
+    if width:
+        wide[:, 64 - width:] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
+    return np.packbits(wide, axis=1).view(">u8").ravel().astype(np.uint64)
+
+
 def packed(values: np.ndarray) -> bytes:
-    """Ascending values as differences of as many bytes as the largest takes."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    size = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return bytes([size]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    """Ascending values: low bits as they are, high bits as steps in unary,
+    some two bits a value above what their number and range ask."""
+    n = len(values)
+    low = max(0, int(values[-1]).bit_length() - n.bit_length())
+    high = (values >> np.uint64(low)).astype(np.int64)
+    steps = np.zeros(n + int(high[-1]), np.uint8)
+    steps[high + np.arange(n)] = 1
+    return struct.pack("<IB", n, low) + _bits(values, low) + np.packbits(steps).tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    part = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
-    wide = np.zeros((len(part), 8), np.uint8)
-    wide[:, :data[0]] = part
-    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+    n, low = struct.unpack_from("<IB", data)
+    middle = 5 + (n * low + 7) // 8
+    steps = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=middle)))
+    high = (steps - np.arange(n)).astype(np.uint64)
+    return (high << np.uint64(low)) | _from_bits(data[5:middle], n, low)
+
+
+class Multilinear:
+    """Hashes of strings of ``width`` bytes: sums of random multiples of their
+    32-bit words modulo 2 ** 64, of which the upper half is strongly universal.
+    Four sums give the value (64 bits) and up to 64 further bits."""
+
+    def __init__(self, width: int, extra: int):
+        self.width, self.extra = width, extra
+        self.at = [*range(0, width - 3, 4), *([width - 4] if width % 4 else [])]
+        self.times = [[secrets.randbits(64) for _ in range(len(self.at) + 1)] for _ in range(4)]
+
+    def _sum(self, words: list[np.ndarray], k: int) -> np.ndarray:
+        first, *times = self.times[k]
+        out = np.full(len(words[0]), first, np.uint64)
+        for w, t in zip(words, times):
+            out += w * np.uint64(t)
+        return out >> np.uint64(32)
+
+    def hashes(self, words: np.ndarray, at: np.ndarray, further: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Values, and the further bits where asked, of the strings at the
+        places ``at``; ``words[i]`` is the word that starts at byte i."""
+        parts = [words[at + k].astype(np.uint64) for k in self.at]
+        value = (self._sum(parts, 0) << np.uint64(32)) | self._sum(parts, 1)
+        if not further:
+            return value, np.zeros(0, np.uint64)
+        rest = (self._sum(parts, 2) << np.uint64(32)) | self._sum(parts, 3)
+        return value, rest >> np.uint64(64 - self.extra)
+
+
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The 32-bit word that starts at each byte but the last three."""
+    n = max(0, len(data) - 3)
+    out = np.zeros(n, np.uint32)
+    for k in range(4):
+        out |= data[k:k + n].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 class Block:
@@ -97,51 +159,90 @@ class Block:
     without those that are whole copies."""
 
     def __init__(self, table: pa.Table, replies: pa.Table, min_bytes: int):
-        copies = {d for d, p in zip(replies.column("bucket").to_pylist(), replies.column("phase").to_pylist())
-                  if p == 0}
-        is_copy = pa.array([d in copies for d in table.column("d").to_pylist()], pa.bool_())
+        told = replies.filter(pc.equal(replies.column("phase"), 0))
+        copies = set(zip(told.column("bucket").to_pylist(), told.column("blob").to_pylist()))
+        several = {d for d, _ in copies}
+        is_copy = pa.array([d in several and (d, hashlib.sha256(t.as_py().encode()).digest()) in copies
+                            for d, t in zip(table.column("d").to_pylist(), table.column("t"))], pa.bool_())
         self.copies = table.filter(is_copy)
         table = table.filter(pc.invert(is_copy))
-        ids = table.column("d").to_pylist()
-        self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0))
-        self.ids = [ids[i] for i in self.order]
-        texts = table.column("t")
-        raw = [texts[i].as_py().encode() for i in self.order]
+        rows = sorted(zip(table.column("d").to_pylist(), (t.as_py().encode() for t in table.column("t"))),
+                      key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        self.ids, raw = [d for d, _ in rows], [b for _, b in rows]
         self.data = np.frombuffer(b"".join(raw), np.uint8)
         size = np.array([len(b) for b in raw], np.int64)
         self.edge = np.concatenate([[0], np.cumsum(size)])
         self.min_bytes, self.depth = min_bytes, min_bytes - PERIOD + 1
         # Rows with one id are one document; null ids are not compared.
-        rank = np.cumsum([0] + [a != b for a, b in zip(self.ids, self.ids[1:])]).astype(np.int32)[:len(ids)]
+        rank = np.cumsum([0] + [a != b for a, b in zip(self.ids, self.ids[1:])]).astype(np.int32)[:len(rows)]
         self.doc = np.repeat(rank, size)
         self.room = np.repeat(np.where([i is None for i in self.ids], 0, self.edge[1:]), size) - np.arange(len(self.data))
         self.local = np.arange(len(self.data)) - np.repeat(self.edge[:-1], size)
 
-    def _sorted(self, at: np.ndarray, width: int, bits: int):
-        """Distinct fingerprints, each position's number among them, the first
-        document of each, and whether a second document has it."""
-        value, first, number = np.unique(fingerprints(self.data, at, width) >> np.uint64(64 - bits),
-                                         return_index=True, return_inverse=True)
+    def _several(self, at: np.ndarray, first: np.ndarray, number: np.ndarray):
+        """First document of each distinct string, and whether a second has it."""
         lead = self.doc[at[first]] if len(at) else np.zeros(0, np.int32)
-        several = np.zeros(len(value), bool)
+        several = np.zeros(len(first), bool)
         several[number[self.doc[at] != lead[number]]] = True
-        return value, number, lead, several
+        return lead, several
+
+    def _named(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``at`` of the first of each distinct string of ``min_bytes``
+        bytes, and each position's number among them, held byte for byte."""
+        _, first, number = np.unique(fingerprints(self.data, at, self.min_bytes),
+                                     return_index=True, return_inverse=True)
+        if not len(at):
+            return first, number
+        words = words_at(self.data)
+        lead = at[first][number]
+
+        def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            out = np.ones(len(a), bool)
+            for k in [*range(0, self.min_bytes - 3, 4), self.min_bytes - 4]:
+                out &= words[a + k] == words[b + k]
+            return out
+
+        # Where a position and its leader both follow those before them, the last byte settles it.
+        head = np.r_[True, (np.diff(at) != 1) | (np.diff(lead) != 1)]
+        last = self.min_bytes - 1
+        if (self.data[at + last] == self.data[lead + last]).all() and same(at[head], lead[head]).all():
+            return first, number
+        more: dict[bytes, int] = {}
+        new = []
+        for i in np.flatnonzero(~same(at, lead)).tolist():
+            text = self.data[at[i]:at[i] + self.min_bytes].tobytes()
+            if text not in more:
+                more[text] = len(first) + len(more)
+                new.append(i)
+            number[i] = more[text]
+        return np.r_[first, np.array(new, first.dtype)], number
 
     def samples(self, bits: int):
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
         self.sampled = np.nonzero(cover[self.local % PERIOD] & (self.room >= self.depth))[0]
-        return self._sorted(self.sampled, self.depth, bits)
+        value, first, number = np.unique(fingerprints(self.data, self.sampled, self.depth) >> np.uint64(64 - bits),
+                                         return_index=True, return_inverse=True)
+        return value, number, self._several(self.sampled, first, number)[1]
 
-    def candidates(self, samples, told: np.ndarray):
-        """Suffixes with a flagged sample at an offset below the period."""
-        _, number, _, several = samples
+    def candidates(self, samples, told: np.ndarray, family: Multilinear, further: bool):
+        """Name the suffixes with a flagged sample at an offset below the
+        period. Hash values, ascending, and further bits of those distinct
+        ones of which other blocks have a sample too."""
+        _, number, several = samples
         self.suffixes = np.nonzero(self._reaching((several | told)[number]))[0]
-        out = self._sorted(self.suffixes, self.min_bytes, 64)
+        first, self.number = self._named(self.suffixes)
+        self.lead, _ = self._several(self.suffixes, first, self.number)
         # Other blocks need those alone whose samples they have too.
-        self.shared = np.zeros(len(out[0]), bool)
-        self.shared[out[1][self._reaching(told[number])[self.suffixes]]] = True
-        return out
+        shared = np.zeros(len(first), bool)
+        shared[self.number[self._reaching(told[number])[self.suffixes]]] = True
+        self.shared = np.flatnonzero(shared)
+        at = self.suffixes[first[self.shared]]
+        by_place = np.argsort(at)
+        value, rest = family.hashes(words_at(self.data), at[by_place], further)
+        order = np.argsort(value, kind="stable")
+        self.shared = self.shared[by_place][order]
+        return value[order], rest[order] if further else rest
 
     def _reaching(self, flagged: np.ndarray) -> np.ndarray:
         """Whether a full-length suffix has one of the flagged samples in reach."""
@@ -151,24 +252,29 @@ class Block:
         total = np.concatenate([[0], np.cumsum(mark)])  # samples before each position
         return (total[PERIOD:PERIOD + n] > total[:n]) & (self.room >= self.min_bytes)
 
-    def covered(self, suffixes, told: np.ndarray) -> np.ndarray:
-        _, number, lead, _ = suffixes
+    def covered(self, told: np.ndarray) -> np.ndarray:
+        """Whether each byte goes; ``told``: whether an earlier block has each shared suffix."""
+        earlier = np.zeros(len(self.lead), bool)
+        earlier[self.shared] = told
         mark = np.zeros(len(self.data) + self.min_bytes, np.int32)
-        mark[self.suffixes[told[number] | (self.doc[self.suffixes] > lead[number])] + self.min_bytes] = 1
+        mark[self.suffixes[earlier[self.number] | (self.doc[self.suffixes] > self.lead[self.number])] + self.min_bytes] = 1
         total = np.cumsum(mark)
         n = len(self.data)
         # total[i + m] counts the strings that start at i or before.
         return (total[self.min_bytes:self.min_bytes + n] - total[:n]) > 0
 
 
-def _split(block: int, phase: int, value: np.ndarray, bits: int, bucket_bits: int) -> pa.Table:
-    """A row per bucket that holds any of the values."""
+def _split(block: int, phase: int, value: np.ndarray, bits: int, bucket_bits: int,
+           rest: np.ndarray | None = None, extra: int = 0) -> pa.Table:
+    """A row per bucket that holds any of the values (and their further bits)."""
     bucket = (value >> np.uint64(bits - bucket_bits)).astype(np.int64)
     names, start = np.unique(bucket, return_index=True)
-    rest = value & np.uint64((1 << (bits - bucket_bits)) - 1)
-    blobs = [packed(p) for p in np.split(rest, start[1:])] if len(names) else []
+    low = value & np.uint64((1 << (bits - bucket_bits)) - 1)
+    blobs = [packed(p) for p in np.split(low, start[1:])] if len(names) else []
+    more = [_bits(p, extra) for p in np.split(rest, start[1:])] if extra and len(names) else [b""] * len(names)
     return pa.table({"phase": pa.array([phase] * len(names), pa.int32()), "bucket": pa.array(names),
-                     "block": pa.array([block] * len(names), pa.int32()), "blob": pa.array(blobs, pa.binary())})
+                     "block": pa.array([block] * len(names), pa.int32()), "blob": pa.array(blobs, pa.binary()),
+                     "more": pa.array(more, pa.binary())})
 
 
 def _told(replies: pa.Table, phase: int, value: np.ndarray, bits: int, bucket_bits: int) -> np.ndarray:
@@ -182,17 +288,25 @@ def _told(replies: pa.Table, phase: int, value: np.ndarray, bits: int, bucket_bi
     return out
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answer(batches: Iterator[pa.RecordBatch], extra: int) -> Iterator[pa.RecordBatch]:
     """Sort one bucket at a time. Phase 1 flags values of several blocks,
-    phase 2 values that an earlier block has."""
+    phase 2 values (with their further bits) that an earlier block has."""
     for (phase, bucket), rows in groups_of(batches, 2):
         rows.sort(key=lambda r: r[2])
         parts = [unpacked(r[3]) for r in rows]
         size = [len(p) for p in parts]
-        value, owner = np.concatenate(parts), np.repeat(np.arange(len(rows)), size)
+        value = np.concatenate(parts)
         order = np.argsort(value, kind="stable")  # equal values stay in block order
-        value = value[order]
-        start = np.r_[True, value[1:] != value[:-1]]
+        ordered = value[order]
+        start = np.r_[True, ordered[1:] != ordered[:-1]]
+        if phase == 2:
+            rest = np.concatenate([_from_bits(r[4], n, extra) for r, n in zip(rows, size)])
+            other = np.r_[True, np.diff(rest[order].view(np.int64)) != 0]
+            if (other & ~start).any():
+                order = np.lexsort((rest, value))
+                ordered, other = value[order], np.r_[True, np.diff(rest[order].view(np.int64)) != 0]
+                start = np.r_[True, ordered[1:] != ordered[:-1]]
+            start |= other
         flag = np.empty(len(value), bool)
         if phase == 1:
             flag[order] = ~start | np.r_[~start[1:], False]
@@ -204,7 +318,6 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([bucket] * len(rows), pa.int64()),
              pa.array([np.packbits(flag[a:b]).tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
             names=["block", "phase", "bucket", "blob"])
-        del owner
 
 
 def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int = 1500,
@@ -228,8 +341,11 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
     bucket_bits = max(1, math.ceil(math.log2(max(2, total / bucket_bytes))))
     # So many bits of a sample's fingerprint that about one in 5,000 is flagged by chance.
     bits = min(64, max(24, bucket_bits + 8, math.ceil(math.log2(total + 2)) + 10))
+    # So many bits between blocks that total ** 2 pairs have less than one wrong tie in 2 ** 20 runs.
+    extra = min(64, max(8, 2 * math.ceil(math.log2(total + 2)) + 20 - 64))
+    family = Multilinear(min_bytes, extra)
     blocks = rows.withColumn("block", range_of(bounds, "d")).select("block", "d", "t")
-    sent = "phase int, bucket long, block int, blob binary"
+    sent = "phase int, bucket long, block int, blob binary, more binary"
     back = "block int, phase int, bucket long, blob binary"
 
     def sample(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -243,8 +359,8 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
             return _split(0, 2, np.zeros(0, np.uint64), 64, bucket_bits)
         block = Block(table, replies, min_bytes)
         s = block.samples(bits)
-        c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
-        return _split(table.column("block")[0].as_py(), 2, c[0][block.shared], 64, bucket_bits)
+        value, rest = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits), family, True)
+        return _split(table.column("block")[0].as_py(), 2, value, 64, bucket_bits, rest, extra)
 
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
@@ -253,10 +369,8 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
                              "spans": pa.array([], kind), "kept": pa.array([], pa.binary())})
         block = Block(table, replies, min_bytes)
         s = block.samples(bits)
-        c = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits))
-        earlier = np.zeros(len(c[0]), bool)
-        earlier[block.shared] = _told(replies, 2, c[0][block.shared], 64, bucket_bits)
-        gone = block.covered(c, earlier)
+        value, _ = block.candidates(s, _told(replies, 1, s[0], bits, bucket_bits), family, False)
+        gone = block.covered(_told(replies, 2, value, 64, bucket_bits))
         spans, kept = [], []
         for a, b in zip(block.edge, block.edge[1:]):
             part = gone[a:b]
@@ -276,14 +390,14 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
 
     def sorted_buckets(values: DataFrame) -> DataFrame:
         return (values.repartition("phase", "bucket").sortWithinPartitions("phase", "bucket")
-                .mapInArrow(_answer, back))
+                .mapInArrow(lambda batches: _answer(batches, extra), back))
 
-    # Ids of whole copies, told to their blocks like the buckets' replies.
-    keyed = rows.where("d is not null").select("d", F.md5(F.col("t").cast("binary")).alias("key"))
+    # Whole copies (id and hash of the text), told to their blocks like the buckets' replies.
+    keyed = rows.where("d is not null").select("d", F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("key"))
     first = keyed.groupBy("key").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
-    copies = (keyed.join(first, "key").where("d > first").select("d").distinct()
+    copies = (keyed.join(first, "key").where("d > first").select("d", "key").distinct()
               .select(range_of(bounds, "d").alias("block"), F.lit(0).alias("phase"), F.col("d").alias("bucket"),
-                      F.lit(None).cast("binary").alias("blob")))
+                      F.col("key").alias("blob")))
     copies = cut(copies)
     # The three passes over the blocks share one exchange of the texts.
     flags = sorted_buckets(blocks.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(sample, sent))

@@ -45,8 +45,47 @@ def test_cover_meets_every_offset():
 def test_packing_of_values():
     rng = np.random.default_rng(1)
     for n in (1, 2, 1000):
-        v = np.unique(rng.integers(0, 2 ** 63, n, np.uint64))
-        assert (suffix_dedup.unpacked(suffix_dedup.packed(v)) == v).all()
+        for top in (1, 3, 2 ** 20, 2 ** 64 - 1):
+            v = np.sort(rng.integers(0, top, n, np.uint64, endpoint=True))
+            assert (suffix_dedup.unpacked(suffix_dedup.packed(v)) == v).all()
+            assert (suffix_dedup._from_bits(suffix_dedup._bits(v, 13), n, 13) == v % 2 ** 13).all()
+    assert suffix_dedup.unpacked(suffix_dedup.packed(np.zeros(3, np.uint64))).tolist() == [0, 0, 0]
+
+
+def test_multilinear_tells_strings_apart():
+    r = random.Random(2)
+    data = np.frombuffer(r.randbytes(5_000) * 2, np.uint8)
+    at = np.arange(len(data) - 50)
+    for width in (50, 52):
+        family = suffix_dedup.Multilinear(width, 14)
+        here = at[:len(data) - width + 1]
+        value, rest = family.hashes(suffix_dedup.words_at(data), here, True)
+        assert rest.max() < 2 ** 14
+        texts = [data[p:p + width].tobytes() for p in here]
+        assert len(set(zip(value.tolist(), rest.tolist()))) == len(set(texts)) == len(set(zip(texts, value.tolist())))
+
+
+#: Two texts without a common string of 50 bytes, but of one 64-bit polynomial fingerprint.
+ALIKE = ("fbadadbbadbaaakkkkkkkkkkkkkkkkkkkkkkkkkkkkkkdccbba", "aadabaaaaaaaackkkkkkkkkkkkkkkkkkkkkkkkkkkkkkaaaaab")
+
+
+def test_equal_fingerprints_of_different_strings(spark):
+    a, b = (np.frombuffer(t.encode(), np.uint8) for t in ALIKE)
+    zero = np.zeros(1, np.int64)
+    assert suffix_dedup.fingerprints(a, zero, 50) == suffix_dedup.fingerprints(b, zero, 50)
+    docs = [(1, ALIKE[0]), (2, ALIKE[1]), (3, "x" + ALIKE[1]), (4, ALIKE[0] + ALIKE[1]), (5, None)]
+    for rows_per_block in (1, 2, 100):
+        got = suffix_dedup.dedup_substrings(docs_of(spark, docs), rows_per_block=rows_per_block)
+        assert rows_of(got) == brute(docs)
+
+
+def test_several_texts_under_one_id(spark):
+    words = " ".join(f"word{i}" for i in range(30))
+    other = " ".join(f"term{i}" for i in range(30))
+    docs = [(3, words), (7, words), (7, other), (9, other + words), (9, words)]
+    for rows_per_block in (1, 100):
+        got = suffix_dedup.dedup_substrings(docs_of(spark, docs), rows_per_block=rows_per_block)
+        assert rows_of(got) == brute(docs)
 
 
 def test_fingerprints_over_slices():
