@@ -25,7 +25,8 @@ bytes of shuffle instead of fifty or more. Blocks compare strings by a hash
 from a strongly universal family, drawn anew for every run: two different
 strings, whatever they are, agree in all its bits with chance 2 ** -bits, and
 there are so many bits that the chance of any wrong tie in a run stays below
-2 ** -20. A block sends each bucket its distinct values as a packed ascending
+2 ** -12 if every byte started a string that is sent (some eighth do, which
+makes it 2 ** -18). A block sends each bucket its distinct values as a packed ascending
 list and gets one bit back for each, in the same order, so a string that a
 third of all documents hold costs one value a block. Blocks and buckets bound
 the memory of every task.
@@ -120,37 +121,40 @@ def unpacked(data: bytes) -> np.ndarray:
 class Multilinear:
     """Hashes of strings of ``width`` bytes: sums of random multiples of their
     32-bit words modulo 2 ** 64, of which the upper half is strongly universal.
-    Four sums give the value (64 bits) and up to 64 further bits."""
+    Two sums give the value (64 bits), two more up to 64 further bits."""
 
     def __init__(self, width: int, extra: int):
         self.width, self.extra = width, extra
         self.at = [*range(0, width - 3, 4), *([width - 4] if width % 4 else [])]
-        self.times = [[secrets.randbits(64) for _ in range(len(self.at) + 1)] for _ in range(4)]
-
-    def _sum(self, words: list[np.ndarray], k: int) -> np.ndarray:
-        first, *times = self.times[k]
-        out = np.full(len(words[0]), first, np.uint64)
-        for w, t in zip(words, times):
-            out += w * np.uint64(t)
-        return out >> np.uint64(32)
-
-    def hashes(self, words: np.ndarray, at: np.ndarray, further: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Values, and the further bits where asked, of the strings at the
-        places ``at``; ``words[i]`` is the word that starts at byte i."""
-        parts = [words[at + k].astype(np.uint64) for k in self.at]
-        value = (self._sum(parts, 0) << np.uint64(32)) | self._sum(parts, 1)
-        if not further:
-            return value, np.zeros(0, np.uint64)
-        rest = (self._sum(parts, 2) << np.uint64(32)) | self._sum(parts, 3)
-        return value, rest >> np.uint64(64 - self.extra)
+        self.times = np.array([[secrets.randbits(64) for _ in range(len(self.at) + 1)] for _ in range(4)], np.uint64)
+
+    def _pair(self, words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        out = np.empty(len(at), np.uint64)
+        (a0, *a), (b0, *b) = self.times[k], self.times[k + 1]
+        for lo in range(0, len(at), 1 << 14):  # as much as a core's cache holds
+            here = at[lo:lo + (1 << 14)]
+            high, low = np.full(len(here), a0, np.uint64), np.full(len(here), b0, np.uint64)
+            for place, x, y in zip(self.at, a, b):
+                word = words[place:].take(here).astype(np.uint64)
+                high += word * x
+                low += word * y
+            out[lo:lo + (1 << 14)] = (high & np.uint64(0xFFFFFFFF00000000)) | (low >> np.uint64(32))
+        return out
+
+    def values(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of the strings at the places ``at``; ``words[i]`` is the word that starts at byte i."""
+        return self._pair(words, at, 0)
+
+    def further(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self._pair(words, at, 2) >> np.uint64(64 - self.extra)
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
     """The 32-bit word that starts at each byte but the last three."""
     n = max(0, len(data) - 3)
     out = np.zeros(n, np.uint32)
-    for k in range(4):
-        out |= data[k:k + n].astype(np.uint32) << np.uint32(8 * k)
+    for k in range(min(4, n)):
+        out[k::4] = np.frombuffer(data, "<u4", (n - k + 3) // 4, k)
     return out
 
 
@@ -170,6 +174,7 @@ class Block:
                       key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         self.ids, raw = [d for d, _ in rows], [b for _, b in rows]
         self.data = np.frombuffer(b"".join(raw), np.uint8)
+        self.words = words_at(self.data)
         size = np.array([len(b) for b in raw], np.int64)
         self.edge = np.concatenate([[0], np.cumsum(size)])
         self.min_bytes, self.depth = min_bytes, min_bytes - PERIOD + 1
@@ -186,27 +191,26 @@ class Block:
         several[number[self.doc[at] != lead[number]]] = True
         return lead, several
 
-    def _named(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``at`` of the first of each distinct string of ``min_bytes``
-        bytes, and each position's number among them, held byte for byte."""
-        _, first, number = np.unique(fingerprints(self.data, at, self.min_bytes),
-                                     return_index=True, return_inverse=True)
+    def _named(self, at: np.ndarray, family: Multilinear):
+        """Distinct strings of ``min_bytes`` bytes, held byte for byte: hash
+        values, ascending, places in ``at`` of the first of each, and each
+        position's number among them."""
+        value, first, number = np.unique(family.values(self.words, at), return_index=True, return_inverse=True)
         if not len(at):
-            return first, number
-        words = words_at(self.data)
+            return value, first, number
         lead = at[first][number]
 
         def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             out = np.ones(len(a), bool)
-            for k in [*range(0, self.min_bytes - 3, 4), self.min_bytes - 4]:
-                out &= words[a + k] == words[b + k]
+            for k in family.at:
+                out &= self.words[k:].take(a) == self.words[k:].take(b)
             return out
 
         # Where a position and its leader both follow those before them, the last byte settles it.
         head = np.r_[True, (np.diff(at) != 1) | (np.diff(lead) != 1)]
-        last = self.min_bytes - 1
-        if (self.data[at + last] == self.data[lead + last]).all() and same(at[head], lead[head]).all():
-            return first, number
+        last = self.data[self.min_bytes - 1:]
+        if (last.take(at) == last.take(lead)).all() and same(at[head], lead[head]).all():
+            return value, first, number
         more: dict[bytes, int] = {}
         new = []
         for i in np.flatnonzero(~same(at, lead)).tolist():
@@ -215,7 +219,12 @@ class Block:
                 more[text] = len(first) + len(more)
                 new.append(i)
             number[i] = more[text]
-        return np.r_[first, np.array(new, first.dtype)], number
+        first = np.r_[first, np.array(new, first.dtype)]
+        value = family.values(self.words, at[first])
+        order = np.argsort(value, kind="stable")
+        rank = np.empty(len(order), number.dtype)
+        rank[order] = np.arange(len(order))
+        return value[order], first[order], rank[number]
 
     def samples(self, bits: int):
         cover = np.zeros(PERIOD, bool)
@@ -231,18 +240,13 @@ class Block:
         ones of which other blocks have a sample too."""
         _, number, several = samples
         self.suffixes = np.nonzero(self._reaching((several | told)[number]))[0]
-        first, self.number = self._named(self.suffixes)
+        value, first, self.number = self._named(self.suffixes, family)
         self.lead, _ = self._several(self.suffixes, first, self.number)
         # Other blocks need those alone whose samples they have too.
-        shared = np.zeros(len(first), bool)
-        shared[self.number[self._reaching(told[number])[self.suffixes]]] = True
-        self.shared = np.flatnonzero(shared)
-        at = self.suffixes[first[self.shared]]
-        by_place = np.argsort(at)
-        value, rest = family.hashes(words_at(self.data), at[by_place], further)
-        order = np.argsort(value, kind="stable")
-        self.shared = self.shared[by_place][order]
-        return value[order], rest[order] if further else rest
+        self.shared = np.zeros(len(first), bool)
+        self.shared[self.number[self._reaching(told[number])[self.suffixes]]] = True
+        rest = family.further(self.words, self.suffixes[first[self.shared]]) if further else None
+        return value[self.shared], rest
 
     def _reaching(self, flagged: np.ndarray) -> np.ndarray:
         """Whether a full-length suffix has one of the flagged samples in reach."""
@@ -341,8 +345,8 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
     bucket_bits = max(1, math.ceil(math.log2(max(2, total / bucket_bytes))))
     # So many bits of a sample's fingerprint that about one in 5,000 is flagged by chance.
     bits = min(64, max(24, bucket_bits + 8, math.ceil(math.log2(total + 2)) + 10))
-    # So many bits between blocks that total ** 2 pairs have less than one wrong tie in 2 ** 20 runs.
-    extra = min(64, max(8, 2 * math.ceil(math.log2(total + 2)) + 20 - 64))
+    # So many bits between blocks that total ** 2 / 2 pairs hold a wrong tie in less than one of 2 ** 12 runs.
+    extra = min(64, max(4, math.ceil(2 * math.log2(total + 2)) - 1 + 12 - 64))
     family = Multilinear(min_bytes, extra)
     blocks = rows.withColumn("block", range_of(bounds, "d")).select("block", "d", "t")
     sent = "phase int, bucket long, block int, blob binary, more binary"
