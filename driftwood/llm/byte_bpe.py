@@ -87,8 +87,8 @@ class Codec:
         # Bytes as the code points of the same numbers: VARCHAR carries them unchanged.
         self._table("vocabulary", id=pa.array(self.ranks.values(), pa.int32()),
                     bytes=pa.array([b.decode("latin-1") for b in self.ranks]))
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, tuple[bytes, bytes, bytes]] = {}
+        self.chunks: dict[str, tuple[bytes, bytes, bytes]] = {}
         self.runs: dict[bytes, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
@@ -153,13 +153,15 @@ class Codec:
             return [" " + chunk[:-1], chunk[-1]]
         return self.match(spelt(chunk))
 
-    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids of new words, and the bytes that these ids decode to."""
+    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes, bytes]]:
+        """Ids of new words, the bytes that these ids decode to, and the
+        decimal ids with a space behind each."""
         ids = self.contract(words)
-        return dict(zip(words, zip(ids, self.expand(ids))))
+        return dict(zip(words, zip(ids, self.expand(ids), [self.decimals(i) + b" " for i in ids])))
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of each text, packed, and the bytes they decode to."""
+    def encode(self, texts: list[str], forms: tuple[int, ...] = (0, 1)) -> list[tuple[bytes, ...]]:
+        """Of each text the ``forms`` asked for: its packed ids (0), the bytes
+        they decode to (1), its decimal ids with a space behind each (2)."""
         if len(self.chunks) > MEMO_ENTRIES or len(self.words) > MEMO_ENTRIES:
             self.chunks.clear()
             self.words.clear()
@@ -180,12 +182,12 @@ class Codec:
                 known[c] = words[ws[0]]
             else:
                 found = [words[w] for w in ws]
-                known[c] = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+                known[c] = tuple(b"".join([f[k] for f in found]) for k in range(3))
         out = []
         for h, p in zip(heads, parts):
             found = [words[w] for w in h]
             found += [known[c] for c in p[1:]]
-            out.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+            out.append(tuple(b"".join([f[k] for f in found]) for k in forms))
         for memo, fresh in ((known, cut), (words, learnt)):  # long entries are not kept
             for x in [x for x in fresh if len(x) > MEMO_CHARS]:
                 del memo[x]
@@ -280,11 +282,11 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
     def work(batch):
         c = codec(path, pattern)
-        enc = c.encode([t or "" for t in batch.column("t").to_pylist()])
+        enc = c.encode([t or "" for t in batch.column("t").to_pylist()], forms=(2, 1))
         yield pa.RecordBatch.from_arrays([
             batch.column("d"),
-            pa.array([len(i) // 4 for i, _ in enc], pa.int64()),
-            pa.array([hashlib.sha256(c.decimals(i)).hexdigest() for i, _ in enc], pa.string()),
+            pa.array([i.count(b" ") for i, _ in enc], pa.int64()),
+            pa.array([hashlib.sha256(i[:-1]).hexdigest() for i, _ in enc], pa.string()),
             pa.array([hashlib.sha256(b).hexdigest() for _, b in enc], pa.string()),
         ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return (docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
