@@ -23,7 +23,7 @@ from driftwood.plans.q_calls import ORDER
 from driftwood.plans.q_windows import SQL_SCORE, SQL_STATUS, SQL_WIN_ANOMALIES, _wins_sql, compared, sql_compared, sql_windows
 from driftwood.plans.registry import ORACLE, r6, register, sql_r6, with_views
 from driftwood.plans.views import SQL_CDR, cdr, cdr_from, iot_from, table
-from driftwood.session import scratch_path
+from driftwood.session import folder_names, scratch_path
 from driftwood.sinks import ANOMALIES_TOPIC, RESULTS_TOPIC, SinkConfig
 from driftwood.sources.stream import SourceConfig
 from driftwood.streaming.callbacks import CallbackRegistry
@@ -46,18 +46,29 @@ def events_stream(spark, sf_dir):
             .parquet(sf_dir))
 
 
-def timed_stream(spark, sf_dir, parts: int = 3):
+#: Most rows of a file that ``timed_stream`` writes: one task reads a few of
+#: them, however long a stretch is.
+ROWS_PER_FILE = 100_000
+
+
+def timed_stream(spark, sf_dir, parts: int = 3, rows_per_file: int = ROWS_PER_FILE):
     """The events as a stream of ``parts`` micro-batches, each a later stretch
-    of time; together they hold every row."""
+    of time; together they hold every row. All stretches have as many files,
+    so that a micro-batch takes the files of one."""
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "events-by-time")
-    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
-                        F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) * parts
-                           / F.lit(max(1, hi - lo))), F.lit(parts - 1))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(us), F.max(us)).first()
+    part = F.coalesce(F.least(F.floor((us - F.lit(lo)) * parts / F.lit(max(1, (hi or 0) - (lo or 0)))),
+                              F.lit(parts - 1)), F.lit(0))
+    most = max((r["count"] for r in events.groupBy(part.alias("part")).count().collect()), default=0)
+    files = max(1, -(-most // rows_per_file))
     for i in range(parts):  # files are taken in the order in which they were written
-        events.where(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        events.where(part == i).repartition(files).write.mode("append").parquet(path)
+        written = sum(n.startswith("part-") for n in folder_names(spark, path))
+        for _ in range(written, files * (i + 1)):  # a stretch of few rows: empty files
+            events.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @register("sliding_stream_append", _wins_sql(W.DEFAULT_WINDOWS) + sql_compared("wins"))
@@ -332,6 +343,7 @@ def flow_restart(spark, sf_dir):
     except Exception:  # noqa: BLE001 - the failure that the restart is for
         if not died:
             raise
+        spark.streams.resetTerminated()  # the session's awaitAnyTermination would raise it again
     drain(stream, ckpt, each=step)
     p = BatchManifest(root).read(spark, "processed")
     return p.select("device_id", "timestamp", map_text(F.col("metrics")).alias("metrics"),

@@ -338,3 +338,49 @@ def test_processing_flow_replay_and_topics(spark, tmp_path):
     assert counts() == first
     assert first[0]["processed"] + first[0]["quarantine"] == rows.count()
     assert first[1] == {"iot-processed-data": first[0]["processed"], "iot-alerts": first[0]["alerts"]}
+
+
+def test_a_stretch_of_events_is_read_by_many_tasks(spark, tmp_path):
+    """STR-9: every micro-batch holds one stretch of time, in as many files as
+    its rows need, also where the stretches are of unequal size or empty."""
+    from driftwood.plans.q_streaming import timed_stream
+    t = dt.datetime(2024, 1, 1)
+    at = [t + dt.timedelta(seconds=k) for k in range(50)] + [t + dt.timedelta(hours=9)] * 3 + [None] * 2
+    want = [50, 0, 5]
+    spark.createDataFrame([(k, s) for k, s in enumerate(at)], "event_id long, ts timestamp_ntz").coalesce(1).write.parquet(
+        str(tmp_path / "events.parquet"))
+    seen = {}
+
+    def each(batch, n):
+        files = batch.select(F.input_file_name().alias("f"), "event_id").groupBy("f").count().collect()
+        seen[n] = [r["count"] for r in files]
+    (timed_stream(spark, str(tmp_path), rows_per_file=10).writeStream.foreachBatch(each)
+     .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start().awaitTermination())
+    assert [sum(seen.get(n, [])) for n in range(3)] == want and len(seen) == 3
+    assert max(max(n) for n in seen.values() if n) <= 10 and len(seen[0]) == 5
+
+
+def test_a_deliberate_stop_does_not_fail_the_session(spark):
+    """STR-9: a restarted query leaves no failure to the session's streams."""
+    from driftwood.plans.q_streaming import flow_restart
+    spark.streams.resetTerminated()
+    assert flow_restart(spark, SF_SMALL).count() > 0
+    spark.streams.awaitAnyTermination(1)
+
+
+def test_committed_rows_are_not_dealt_by_batch(spark, tmp_path):
+    """STR-9: the committed batches go to the rows, whatever the join
+    threshold; a sort by batch would put a batch's rows into one task."""
+    for n in range(3):
+        spark.range(10 * n, 10 * n + 10).write.parquet(str(tmp_path / "processed" / f"batch_id={n}"))
+    for n in (0, 2):
+        BatchManifest(str(tmp_path)).commit(spark, n, {"processed": 10})
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = BatchManifest(str(tmp_path)).read(spark, "processed")
+        ids = sorted(r["id"] for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert "SortMergeJoin" not in plan and ids == [*range(10), *range(20, 30)]
