@@ -144,6 +144,7 @@ def route_published(spark, sf_dir):
     counts = spark.createDataFrame([(t, sent[t]) for t in names], "topic string, sent long")
     value = F.from_json("value", "timestamp string, data map<string,string>, metadata map<string,string>")
     back = spark.read.schema("key string, value string, topic string").json(path).withColumn("m", value)
-    return back.join(counts, "topic").select(
+    # Few topics hold most rows, so these stay where they are read.
+    return back.join(F.broadcast(counts), "topic").select(
         "topic", "key", F.col("m.metadata")["event_id"].cast("long").alias("event_id"), "m.timestamp",
         F.col("m.data")["temperature"].alias("temperature"), "sent")

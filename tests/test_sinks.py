@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from driftwood import sinks
 
+from conftest import SF_SMALL
+
 T = dt.datetime(2024, 1, 1)
 
 
@@ -62,3 +64,22 @@ def test_quarantine_replayed_batch_replaces_its_output(spark, tmp_path):
     sinks.write_quarantine(bad, plain)
     sinks.write_quarantine(bad, plain)
     assert spark.read.parquet(plain).count() == 6
+
+
+def test_published_rows_are_not_dealt_by_topic(spark):
+    """SNK-7: the sent counts go to the rows, whatever the join threshold; a
+    sort by topic would put a topic's rows into one task."""
+    from driftwood.plans.q_io import route_published
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = route_published(spark, SF_SMALL)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert "SortMergeJoin" not in plan and "hashpartitioning(topic" not in plan
+    sent = {}
+    for r in rows:
+        sent.setdefault(r["topic"], []).append(r["sent"])
+    assert len(rows) == 1000 and all(set(n) == {len(n)} for n in sent.values())
