@@ -27,8 +27,8 @@ from driftwood.session import folder_names, scratch_path
 from driftwood.sinks import ANOMALIES_TOPIC, RESULTS_TOPIC, SinkConfig
 from driftwood.sources.stream import SourceConfig
 from driftwood.streaming.callbacks import CallbackRegistry
-from driftwood.streaming.pipeline import (END_OF_STREAM, WATERMARK, WINDOW_KEYS, PipelineConfig, drain, processing_flow,
-                                          run_bounded, start_pipeline)
+from driftwood.streaming.pipeline import (END_OF_STREAM, WATERMARK, WINDOW_KEYS, PipelineConfig, cluster_partitions, drain,
+                                          processing_flow, run_bounded, start_pipeline)
 from driftwood.streaming.sessions import CallStream
 from driftwood.streaming.tables import BatchManifest, VersionedTable
 
@@ -292,7 +292,10 @@ def pipeline_targets(spark, sf_dir):
     scores from JSON files."""
     src, root, topics = (scratch_path(spark, n) for n in ("kafka-in", "pipeline-out", "pipeline-topics"))
     columns = ("key", "value", "topic", "headers")
-    rows = QM.kafka_rows(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    # A file of few row groups is read by few tasks; the messages are made and parsed by all.
+    tasks = max(spark.sparkContext.defaultParallelism, events.rdd.getNumPartitions())
+    rows = QM.kafka_rows_from(QM.message_rows_from(iot_from(events.repartition(tasks))))
     rows.select(*columns).write.parquet(src)
     cfg = PipelineConfig(source=SourceConfig(kind="files", path=src, topics=(), file_format="parquet"), trigger=None,
                          output_root=root, checkpoint=scratch_path(spark, "pipeline-ckpt"),
@@ -303,7 +306,9 @@ def pipeline_targets(spark, sf_dir):
     for ended in (False, True):
         if ended:  # the stream's end moves the watermark past all windows
             last.write.mode("append").parquet(src)
-        for q in start_pipeline(spark, cfg):
+        with cluster_partitions(spark):
+            started = start_pipeline(spark, cfg)
+        for q in started:
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))

@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -195,22 +196,28 @@ def stop_all(spark: SparkSession) -> None:
 END_OF_STREAM = "9999-01-01 00:00:00"
 
 
+@contextmanager
+def cluster_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a query in here to size its state partitions, which are fixed when
+    its checkpoint is created, to the cluster instead of inheriting a
+    batch-oriented shuffle setting."""
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, saved)
+
+
 def drain(df: DataFrame, ckpt: str, out: str | None = None, output_mode: str = "append",
           each: Callable[[DataFrame, int], None] | None = None) -> None:
     """Run a streaming frame once over what its sources hold
     (``availableNow``), into parquet at ``out`` or through ``each``."""
     spark = df.sparkSession
-    # State partitions are fixed when a checkpoint is created; this drain
-    # owns a fresh one, so size them to the cluster instead of inheriting a
-    # batch-oriented shuffle setting.
-    key = "spark.sql.shuffle.partitions"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
-    try:
+    with cluster_partitions(spark):
         q = (w.format("parquet").option("path", out) if each is None else w.foreachBatch(each)).start()
-    finally:
-        spark.conf.set(key, saved)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
