@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwood.llm.bpe_ids import chunks, spelt
+from driftwood.llm.bpe_ids import Cut, Memo, spelt, steps
 
 #: Words per recursive query, and bytes up to which a word goes through it.
 #: A longer word would need as many recursions as bytes over all its rows, so
@@ -87,8 +87,7 @@ class Codec:
         # Bytes as the code points of the same numbers: VARCHAR carries them unchanged.
         self._table("vocabulary", id=pa.array(self.ranks.values(), pa.int32()),
                     bytes=pa.array([b.decode("latin-1") for b in self.ranks]))
-        self.words: dict[str, tuple[bytes, bytes, bytes]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes, bytes]] = {}
+        self.stems = Memo(MEMO_ENTRIES)  # packed ids, bytes and decimal ids of each
         self.runs: dict[bytes, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
@@ -144,53 +143,39 @@ class Codec:
                     heapq.heappush(heap, p)
         return np.array([self.ranks[word[i:end[i]]] for i in range(n) if alive[i]], "<u4").tobytes()
 
-    def _words_of(self, chunk: str) -> list[str]:
-        """Pre-tokens of a chunk: the pattern's matches, spelt out where the
-        chunk is letters with at most one plain mark behind them."""
-        if chunk.isalpha():
-            return [" " + chunk]
-        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
-            return [" " + chunk[:-1], chunk[-1]]
-        return self.match(spelt(chunk))
-
     def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes, bytes]]:
         """Ids of new words, the bytes that these ids decode to, and the
         decimal ids with a space behind each."""
         ids = self.contract(words)
-        return dict(zip(words, zip(ids, self.expand(ids), [self.decimals(i) + b" " for i in ids])))
+        return dict(zip(words, zip(ids, self.expand(ids), self._spaced(ids))))
 
-    def encode(self, texts: list[str], forms: tuple[int, ...] = (0, 1)) -> list[tuple[bytes, ...]]:
+    def encode(self, texts: list[str] | pa.Array, forms: tuple[int, ...] = (0, 1)) -> list[tuple[bytes, ...]]:
         """Of each text the ``forms`` asked for: its packed ids (0), the bytes
         they decode to (1), its decimal ids with a space behind each (2)."""
-        if len(self.chunks) > MEMO_ENTRIES or len(self.words) > MEMO_ENTRIES:
-            self.chunks.clear()
-            self.words.clear()
-        parts = [chunks(t) for t in texts]
-        new = set()
-        for p in parts:
-            new.update(p[1:])
-        new.difference_update(self.chunks)
-        cut = {c: self._words_of(c) for c in new}
-        heads = [self.match(p[0]) for p in parts]
-        wanted = {w for ws in (*cut.values(), *heads) for w in ws}
-        wanted.difference_update(self.words)
-        words, learnt = self.words, self._learn(list(wanted))
-        words.update(learnt)
-        known = self.chunks
-        for c, ws in cut.items():
-            if len(ws) == 1:
-                known[c] = words[ws[0]]
-            else:
-                found = [words[w] for w in ws]
-                known[c] = tuple(b"".join([f[k] for f in found]) for k in range(3))
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
         out = []
-        for h, p in zip(heads, parts):
-            found = [words[w] for w in h]
-            found += [known[c] for c in p[1:]]
-            out.append(tuple(b"".join([f[k] for f in found]) for k in forms))
-        for memo, fresh in ((known, cut), (words, learnt)):  # long entries are not kept
-            for x in [x for x in fresh if len(x) > MEMO_CHARS]:
-                del memo[x]
+        for part in steps(texts):
+            cut = Cut(part)
+            known = self.stems
+            known.trim()
+            new = known.lacks(cut.stems)
+            # A stem of letters is a match, as is a run of marks.
+            pieces = [[" " + c] if c.isalpha() else self.match(spelt(c)) for c in new]
+            heads = [self.match(h) for h in cut.heads]
+            marks = [[m] if m else [] for m in cut.marks]
+            learnt = self._learn(list({w for ws in (*pieces, *heads, *marks) for w in ws}))
+
+            def joined(words: list[str]) -> tuple[bytes, ...]:
+                if len(words) == 1:
+                    return learnt[words[0]]
+                return tuple(b"".join([learnt[w][k] for w in words]) for k in range(3))
+            known.update(zip(new, map(joined, pieces)))
+            found = [list(map(joined, heads)), [known[c] for c in cut.stems], list(map(joined, marks))]
+            out += zip(*(cut.laid(*([f[k] for f in x] for x in found)) for k in forms))
+            for c in new:  # long stems are not kept
+                if len(c) > MEMO_CHARS:
+                    del known[c]
         return out
 
     def expand(self, packed: list[bytes]) -> list[bytes]:
@@ -211,10 +196,18 @@ class Codec:
             out += texts
         return out
 
+    def _spaced(self, packed: list[bytes]) -> list[bytes]:
+        """Decimal ids of each id sequence, with a space behind each."""
+        at = np.frombuffer(b"".join(packed), "<u4")
+        held = self.digit_mask[at]
+        data = self.digits[at][held].tobytes()
+        ends = np.concatenate([[0], np.cumsum(held.sum(axis=1))])
+        edges = ends[np.cumsum([0, *(len(p) // 4 for p in packed)])].tolist()
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
+
     def decimals(self, ids: bytes) -> bytes:
         """Decimal ids joined by one space."""
-        at = np.frombuffer(ids, "<u4")
-        return self.digits[at][self.digit_mask[at]].tobytes()[:-1]
+        return self._spaced([ids])[0][:-1]
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each id sequence (any ids of the vocabulary, in any order)."""
@@ -238,7 +231,7 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _per_batch(work, texts_per_step: int = 1024):
+def _per_batch(work, texts_per_step: int = 4096):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, texts_per_step):
@@ -252,7 +245,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def work(batch):
         c = codec(path, pattern)
         ids = [np.frombuffer(i, "<u4").astype(np.int32) for i, _ in
-               c.encode([t or "" for t in batch.column("t").to_pylist()])]
+               c.encode(batch.column("t"))]
         yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(ids, pa.list_(pa.int32()))],
                                          names=["doc_id", "ids"])
     return (docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
@@ -282,7 +275,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
     def work(batch):
         c = codec(path, pattern)
-        enc = c.encode([t or "" for t in batch.column("t").to_pylist()], forms=(2, 1))
+        enc = c.encode(batch.column("t"), forms=(2, 1))
         yield pa.RecordBatch.from_arrays([
             batch.column("d"),
             pa.array([i.count(b" ") for i, _ in enc], pa.int64()),

@@ -43,10 +43,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
     end = np.uint32(end_id).tobytes()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = bpe_ids.Memo()
         for batch in batches:
-            texts = [t or "" for t in batch.column("t").to_pylist()]
             rows = []
-            for doc, body in zip(batch.column("d").to_pylist(), bpe_ids.encode(texts, tokenizer)):
+            for doc, body in zip(batch.column("d").to_pylist(), bpe_ids.encode(batch.column("t"), tokenizer, memo)):
                 ids = body + end
                 n = len(ids) // 4
                 first = n % capacity or min(n, capacity)

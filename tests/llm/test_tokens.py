@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -77,6 +78,47 @@ def test_memoised_ids_are_the_librarys(json_library):
         assert np.frombuffer(got, np.uint32).tolist() == json_library.encode(t, add_special_tokens=False).ids
 
 
+def test_words_with_marks_are_not_encoded_anew(json_library, monkeypatch):
+    asked, real = [], bpe_ids._encode
+    monkeypatch.setattr(bpe_ids, "_encode", lambda path, pieces: asked.extend(pieces) or real(path, pieces))
+    texts = ["a wordy text wordy### wordy.*** it's wordy's", "wordy wordy.###"]
+    for t, got in zip(texts, bpe_ids.encode(texts, JSON)):
+        assert np.frombuffer(got, np.uint32).tolist() == json_library.encode(t, add_special_tokens=False).ids
+    assert sorted(x for x in asked if "wordy" in x and "'" not in x) == [" wordy", "wordy"]
+
+
+def test_memo_keeps_what_is_asked_for():
+    memo = bpe_ids.Memo(entries=10)
+    for i in range(40):
+        memo.trim()
+        for k in memo.lacks(["often", i]):
+            memo[k] = i
+        assert memo["often"] == 0 and memo[i] == i
+        assert len(memo) + len(memo.old) <= 14
+    assert memo.lacks([0, 39]) == [0]
+
+
+def test_steps_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(bpe_ids, "STEP_BYTES", 10)
+    texts = pa.array(["x" * n for n in (3, 25, 0, 9, 1, 1)] + [None])
+    parts = [p.to_pylist() for p in bpe_ids.steps(texts)]
+    assert sum(parts, []) == texts.to_pylist() and max(map(len, parts)) > 1
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 10 for p in parts)
+
+
+def test_byte_bpe_contracts_words_with_marks_once(library, monkeypatch):
+    c = byte_bpe.Codec(RANKS, P.PATTERN)
+    asked, real = [], c.contract
+    monkeypatch.setattr(c, "contract", lambda words: asked.extend(words) or real(words))
+    texts = ["a wordy text wordy### wordy.*** it's", "wordy wordy.###"]
+    for t, (ids, raw, spaced) in zip(texts, c.encode(texts, (0, 1, 2))):
+        want = library.encode_ordinary(t)
+        assert np.frombuffer(ids, "<u4").tolist() == want and raw == t.encode()
+        assert spaced == b"".join(b"%d " % i for i in want)
+    c.encode(["a wordy%%%"])
+    assert sum(w == " wordy" for w in asked) == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 32), st.integers(1, 40), min_size=1))
 def test_plan_uses_every_piece_once(histogram):
