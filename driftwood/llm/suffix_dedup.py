@@ -34,6 +34,7 @@ the memory of every task.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import secrets
@@ -67,6 +68,24 @@ _UP = _powers(_BASE, _SLICE + 4096)
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), _SLICE + 4096)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending."""
+    ordered = np.sort(values)
+    return ordered[np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)]]
+
+
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, ascending, the first place of each, and the number
+    among them of every value."""
+    order = np.argsort(values)
+    ordered = values[order]
+    start = np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)]
+    at = np.flatnonzero(start)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(start) - 1
+    return ordered[at], np.minimum.reduceat(order, at) if len(at) else order, number
+
+
 def fingerprints(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """64-bit fingerprint of the ``width`` bytes from each position (ascending)."""
     out = np.empty(len(at), np.uint64)
@@ -174,7 +193,6 @@ class Block:
                       key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         self.ids, raw = [d for d, _ in rows], [b for _, b in rows]
         self.data = np.frombuffer(b"".join(raw), np.uint8)
-        self.words = words_at(self.data)
         size = np.array([len(b) for b in raw], np.int64)
         self.edge = np.concatenate([[0], np.cumsum(size)])
         self.min_bytes, self.depth = min_bytes, min_bytes - PERIOD + 1
@@ -184,6 +202,10 @@ class Block:
         self.room = np.repeat(np.where([i is None for i in self.ids], 0, self.edge[1:]), size) - np.arange(len(self.data))
         self.local = np.arange(len(self.data)) - np.repeat(self.edge[:-1], size)
 
+    @functools.cached_property
+    def words(self) -> np.ndarray:
+        return words_at(self.data)
+
     def _several(self, at: np.ndarray, first: np.ndarray, number: np.ndarray):
         """First document of each distinct string, and whether a second has it."""
         lead = self.doc[at[first]] if len(at) else np.zeros(0, np.int32)
@@ -195,7 +217,7 @@ class Block:
         """Distinct strings of ``min_bytes`` bytes, held byte for byte: hash
         values, ascending, places in ``at`` of the first of each, and each
         position's number among them."""
-        value, first, number = np.unique(family.values(self.words, at), return_index=True, return_inverse=True)
+        value, first, number = numbered(family.values(self.words, at))
         if not len(at):
             return value, first, number
         lead = at[first][number]
@@ -226,12 +248,15 @@ class Block:
         rank[order] = np.arange(len(order))
         return value[order], first[order], rank[number]
 
-    def samples(self, bits: int):
+    def marks(self, bits: int) -> np.ndarray:
+        """Fingerprints of the sampled suffixes."""
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
         self.sampled = np.nonzero(cover[self.local % PERIOD] & (self.room >= self.depth))[0]
-        value, first, number = np.unique(fingerprints(self.data, self.sampled, self.depth) >> np.uint64(64 - bits),
-                                         return_index=True, return_inverse=True)
+        return fingerprints(self.data, self.sampled, self.depth) >> np.uint64(64 - bits)
+
+    def samples(self, bits: int):
+        value, first, number = numbered(self.marks(bits))
         return value, number, self._several(self.sampled, first, number)[1]
 
     def candidates(self, samples, told: np.ndarray, family: Multilinear, further: bool):
@@ -356,7 +381,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 50, rows_per_block: int =
         if not len(table):
             return _split(0, 1, np.zeros(0, np.uint64), bits, bucket_bits)
         block = Block(table, replies, min_bytes)
-        return _split(table.column("block")[0].as_py(), 1, block.samples(bits)[0], bits, bucket_bits)
+        return _split(table.column("block")[0].as_py(), 1, distinct(block.marks(bits)), bits, bucket_bits)
 
     def candidates(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):

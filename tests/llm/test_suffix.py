@@ -91,6 +91,25 @@ def test_names_hold_under_a_poor_hash():
         assert all(texts.index(texts[i]) == i for i in first)
 
 
+def test_values_are_numbered_like_unique():
+    r = np.random.default_rng(5)
+    for n in (0, 1, 2, 4000):
+        values = r.integers(0, 900, n, dtype=np.uint64) << np.uint64(50)
+        want = np.unique(values, return_index=True, return_inverse=True)
+        assert all((a == b).all() for a, b in zip(want, suffix_dedup.numbered(values)))
+        assert (suffix_dedup.distinct(values) == want[0]).all()
+
+
+def test_sampling_makes_no_words():
+    table = pa.table({"d": [1, 2], "t": ["ab" * 60, "cd" * 70]})
+    replies = pa.table({"phase": pa.array([], pa.int32()), "bucket": pa.array([], pa.int64()),
+                        "blob": pa.array([], pa.binary())})
+    block = suffix_dedup.Block(table, replies, 50)
+    marks = block.marks(40)
+    assert "words" not in vars(block)
+    assert (suffix_dedup.distinct(marks) == block.samples(40)[0]).all() and len(block.words) == 257
+
+
 #: Two texts without a common string of 50 bytes, but of one 64-bit polynomial fingerprint.
 ALIKE = ("fbadadbbadbaaakkkkkkkkkkkkkkkkkkkkkkkkkkkkkkdccbba", "aadabaaaaaaaackkkkkkkkkkkkkkkkkkkkkkkkkkkkkkaaaaab")
 
