@@ -52,6 +52,17 @@ def test_key_pairs_of_a_few_combinations_at_a_time(spark):
     assert len(whole) >= 100 and set.union(*parts) == whole and sum(map(len, parts)) == len(whole)
 
 
+def test_a_line_sends_three_keys_at_a_time(spark, monkeypatch):
+    parts, real = [], line_dedup.near_hashes
+
+    def noted(hashes, radius, blocks, agree, among):
+        parts.append(among)
+        return real(hashes, radius, blocks, agree, among)
+    monkeypatch.setattr(line_dedup, "near_hashes", noted)
+    assert line_dedup.removed_lines(copies(spark)).count() == 5
+    assert [i for p in parts for i in p] == list(range(21)) and max(map(len, parts)) == 3
+
+
 def test_tables_of_a_run_are_removed(spark):
     before = folders(spark, "units"), folders(spark, "lines")
     docs = copies(spark)
