@@ -28,7 +28,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 #: Bytes of text that are cut at a time, entries of a task's memo and the
 #: longest chunk it keeps (memory bounds only).
 STEP_BYTES = 4_000_000
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 250_000
 MEMO_CHARS = 64
 #: A run of these behind letters is a match of its own. None is white space, a letter or an apostrophe.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from driftwood.llm import bpe_ids
-from driftwood.llm.common import cut
+from driftwood.llm.common import cut, small_batches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -167,7 +167,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, rows_per_salt: int = 500_000)
     still spreads over many tasks. No pieces give no rows; repeated rows are
     packed once each.
     """
-    pieces = cut(pieces)  # read twice below; tokenising is not repeated
+    with small_batches(pieces.sparkSession):
+        pieces = cut(pieces)  # read twice below; tokenising is not repeated
     histogram = {r["length"]: r["n"] for r in
                  pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if histogram and not 0 < min(histogram) <= max(histogram) <= capacity:
