@@ -3,9 +3,10 @@
 import random
 import time
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from driftwood.llm import common, line_dedup, paragraphs
+from driftwood.llm import common, line_dedup, packing, paragraphs
 from driftwood.session import ensure_checkpoint_dir, folder_names
 from llm_rows import docs_of
 
@@ -76,3 +77,41 @@ def test_words_beside_units_are_made_once(spark):
     """Each side's in one exchange; before, every use of them read the texts again."""
     plan = paragraphs.near_paragraphs(copies(spark))._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan
+
+
+def test_texts_of_a_few_pairs_at_a_time(spark, monkeypatch):
+    """Lines of the same words in another order meet, but are not alike: the
+    texts of all such pairs lay on disk at once."""
+    r = random.Random(5)
+    words = [f"w{r.randrange(10 ** 6)}" for _ in range(30)]
+    lines = spark.createDataFrame([(i, " ".join(r.sample(words, 30))) for i in range(12)], "id long, line string")
+    sizes, real = [], line_dedup.alike
+
+    def noted(ids, lines, similarity):
+        sizes.append(ids.count())
+        return real(ids, lines, similarity)
+    monkeypatch.setattr(line_dedup, "alike", noted)
+    assert line_dedup.near_lines(lines).count() == 0
+    assert sum(sizes[1:]) == 66 and max(sizes[1:]) <= 20
+
+
+def test_new_tables_of_a_run_are_removed(spark):
+    names = "occurrences", "distinct", "sets"
+    before = [folders(spark, n) for n in names]
+    docs = copies(spark)
+    assert paragraphs.removals(paragraphs.near_paragraphs(docs)).count() == line_dedup.removed_lines(docs).count() == 5
+    assert [folders(spark, n) for n in names] == before
+
+
+def test_tokenising_gets_small_batches(spark, monkeypatch):
+    """Memory of the packing stage: 10,000 texts lay in a batch."""
+    seen, real, before = [], packing.cut, spark.conf.get(common.ARROW_ROWS)
+
+    def noted(df):
+        seen.append(spark.conf.get(common.ARROW_ROWS))
+        return real(df)
+    monkeypatch.setattr(packing, "cut", noted)
+    pieces = packing.token_pieces(docs_of(spark, [(1, "some words"), (2, None)]),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.pack(pieces).count() == 2
+    assert seen == ["1000"] and spark.conf.get(common.ARROW_ROWS) == before
