@@ -347,3 +347,57 @@ def test_line_dedup_is_native(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_pieces_let_every_near_pair_pass(spark):
+    """Edits spread over the pieces as evenly as can be, up to the bound."""
+    r = random.Random(4)
+    pairs = []
+    for _ in range(60):
+        a = [r.choice("abcdeé🙂 ") for _ in range(r.randrange(8, 260))]
+        b = list(a)
+        for at in sorted(r.sample(range(len(a)), round(len(a) * r.choice((0.08, 0.1, 0.12)))), reverse=True):
+            b[at:at + 1] = r.choice(([], ["x"], [b[at], "x"]))
+        pairs.append(("".join(a), "".join(b)))
+    lines = spark.createDataFrame([(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "id long, line string")
+    ids = spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(len(pairs))], "a long, b long")
+    near = {2 * i for i, (a, b) in enumerate(pairs) if _edits(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-6)}
+    assert 10 < len(near) < 60 and {x["a"] for x in line_dedup.alike(ids, lines, 0.9).collect()} == near
+
+
+def test_links_of_a_group_connect_what_all_pairs_connect(spark, monkeypatch):
+    """A group that chance holds together was sent to every block of it."""
+    r = random.Random(6)
+    sets = [np.unique(np.array([r.randrange(2 ** 63) for _ in range(r.randrange(4, 60))], np.uint64)) for _ in range(150)]
+    for s in sets[:60]:  # chains of near copies
+        for _ in range(3):
+            s = np.unique(np.concatenate([s[r.random() < 0.5:], np.array([r.randrange(2 ** 63)], np.uint64)]))
+            sets.append(s)
+    members = spark.createDataFrame([(i % 3, i, s.tobytes()) for i, s in enumerate(sets)],
+                                    "root long, node long, shingles binary")
+    held, real = [], minhash._reached
+
+    def noted(pairs, *rest):
+        held.append(pairs.count())
+        return real(pairs, *rest)
+    monkeypatch.setattr(minhash, "_reached", noted)
+    found = {(x["node"], x["root"]) for x in components(minhash.linked(members, 0.8)).collect()}
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if i % 3 == j % 3 and both * 1.8 >= 0.8 * (len(a) + len(sets[j])) - 1e-9:
+                x, y = sorted((root[i], root[j]))
+                root = [x if k == y else k for k in root]
+    size = Counter(root)
+    assert found == {(i, k) for i, k in enumerate(root) if size[k] > 1} and len(found) > 60
+    assert sum(held) < 4 * len(sets)
