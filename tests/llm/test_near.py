@@ -401,3 +401,89 @@ def test_links_of_a_group_connect_what_all_pairs_connect(spark, monkeypatch):
     size = Counter(root)
     assert found == {(i, k) for i, k in enumerate(root) if size[k] > 1} and len(found) > 60
     assert sum(held) < 4 * len(sets)
+
+
+def held_pairs(monkeypatch):
+    held, real = [], minhash._reached
+
+    def noted(pairs, *rest):
+        held.append(pairs.count())
+        return real(pairs, *rest)
+    monkeypatch.setattr(minhash, "_reached", noted)
+    return held
+
+
+def test_shingles_of_many_sets_make_no_pairs(spark, monkeypatch):
+    """What all sets of a group have comes first in the order of the sets: every pair was held."""
+    r = random.Random(9)
+    common = list(range(1, 30))
+    sets = [np.array(sorted([*common, *(r.randrange(2 ** 40, 2 ** 63) for _ in range(70))]), np.uint64) for _ in range(120)]
+    sets += [np.unique(np.append(s[:-2], np.uint64(2 ** 63 + i))) for i, s in enumerate(sets[:10])]
+    members = spark.createDataFrame([(1, i, s.tobytes()) for i, s in enumerate(sets)],
+                                    "root long, node long, shingles binary")
+    held = held_pairs(monkeypatch)
+    found = {(x["node"], x["root"]) for x in components(minhash.linked(members, 0.8)).collect()}
+    assert found == {(i + k, i) for i in range(10) for k in (0, 120)}
+    assert sum(held) < 3 * len(sets)
+
+
+def test_sets_of_as_many_pairs_as_nodes_at_a_time(spark, monkeypatch):
+    """Copies of one set with a fifth of it changed: many pairs share first
+    shingles, and the sets of all of them moved at once."""
+    r = random.Random(2)
+    base = [r.randrange(2 ** 63) for _ in range(100)]
+    sets = [np.unique(np.array([*r.sample(base, 90), *(r.randrange(2 ** 63) for _ in range(10))], np.uint64)) for _ in range(60)]
+    members = spark.createDataFrame([(1, i, s.tobytes()) for i, s in enumerate(sets)],
+                                    "root long, node long, shingles binary")
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(np.intersect1d(a, sets[j])) * 1.8 >= 0.8 * (len(a) + len(sets[j])) - 1e-9:
+                x, y = sorted((root[i], root[j]))
+                root = [x if k == y else k for k in root]
+    held = held_pairs(monkeypatch)
+    found = {(x["node"], x["root"]) for x in components(minhash.linked(members, 0.8)).collect()}
+    size = Counter(root)
+    assert found == {(i, k) for i, k in enumerate(root) if size[k] > 1}
+    assert max(held[1:], default=0) <= 2 * len(sets)
+
+
+def test_words_beside_a_unit_reach_as_far_in_any_text():
+    """Also where lower case is longer than the text; hashes of one row do not depend on the other rows."""
+    r = random.Random(5)
+    for letter in ("i", "\u0130"):
+        text = " ".join(f"{letter}w{r.randrange(50)}" for _ in range(200)) + "."
+        words, spans = paragraphs.spans_of(text)
+        hashes, units = paragraphs.units_of(text)
+        cuts = np.array([0, *(u[3] for u in units if u[4] == 0)])
+        held = []
+        for a, b, first, last, apart in units:
+            low, high = map(int, paragraphs.beside(cuts, first, last))
+            if not apart:
+                held.append({"class_id": len(held) - 3, "start": a, "end": b, "first": first, "last": last, "low": low,
+                             "high": high, "skip_0": 1, "skip_1": 0})
+        rows = list(paragraphs.words_beside(text, held))
+        other = [u | {"first": -1} for u in held]  # found anew
+        assert [x[:4] for x in rows] == [x[:4] for x in paragraphs.words_beside(text, other)] and len(rows) > 10
+        for side in (0, 1):
+            own = [x for x in rows if x[1] == side]
+            column = [np.array([held[x[0]][c] for x in own], np.int64) for c in ("class_id", f"skip_{side}")]
+            place = np.array([x[2] for x in own])
+            got = list(zip(*map(np.ndarray.tolist, paragraphs._prefixes(side, *column, place, [x[3] for x in own], [x[4] for x in own]))))
+            want = []
+            for i, (number, *_) in enumerate(own):
+                u = held[number]
+                near, at = ((hashes[u["low"]:u["first"]][::-1], spans[u["low"]:u["first"], 0][::-1]) if side == 0
+                            else (hashes[u["last"]:u["high"]], spans[u["last"]:u["high"], 1]))
+                steps = np.arange(len(near), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                seed = minhash.mixed(np.array([(u["class_id"] * 2 + side) % 2 ** 64], np.uint64))
+                keys = minhash.mixed(np.cumsum(minhash.mixed(near + steps)) + seed)
+                want += [(i, int(k), int(x)) for k, x in list(zip(keys, at))[u[f"skip_{side}"]:]]
+            assert got == want and len(got) > 50
+
+
+def test_tables_beside_units_are_removed(spark):
+    from test_disk import copies, folders
+    before = [folders(spark, n) for n in ("beside", "shingles")]
+    assert paragraphs.removals(paragraphs.near_paragraphs(copies(spark))).count() == 5
+    assert [folders(spark, n) for n in ("beside", "shingles")] == before
