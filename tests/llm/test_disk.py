@@ -115,3 +115,41 @@ def test_tokenising_gets_small_batches(spark, monkeypatch):
                                   public_tokenizers.path("byte_bpe_50k.json"))
     assert packing.pack(pieces).count() == 2
     assert seen == ["1000"] and spark.conf.get(common.ARROW_ROWS) == before
+
+
+def test_texts_of_connected_lines_do_not_move_again(spark, monkeypatch):
+    """A line with two words changed in each copy: every two copies meet, and the
+    texts of all pairs moved, whatever was connected by then."""
+    r = random.Random(7)
+    words = [f"w{r.randrange(10 ** 6)}" for _ in range(60)]
+
+    def copy():
+        out = list(words)
+        for at in r.sample(range(60), 2):
+            out[at] = f"v{r.randrange(10 ** 6)}"
+        return " ".join(out)
+    lines = spark.createDataFrame([(i, copy()) for i in range(40)], "id long, line string")
+    real, sizes, real_met, met = line_dedup.alike, [], line_dedup.near_hashes, []
+
+    def noted(ids, lines, similarity):
+        sizes.append(ids.count())
+        return real(ids, lines, similarity)
+
+    def noted_met(*args):
+        out = real_met(*args)
+        met.append(out.count())
+        return out
+    monkeypatch.setattr(line_dedup, "alike", noted)
+    monkeypatch.setattr(line_dedup, "near_hashes", noted_met)
+    monkeypatch.setattr(line_dedup, "stars", lambda hashes, *rest: hashes.select(
+        F.col("id").alias("a"), F.col("id").alias("b")).limit(0))
+    root = {x["node"]: x["root"] for x in common.components(line_dedup.near_lines(lines)).collect()}
+    assert sum(k == 0 for k in root.values()) > 30 and sum(met) > 100
+    assert sum(sizes) < sum(met) / 2
+
+
+def test_pairs_far_apart_by_the_second_hash_do_not_meet(spark):
+    rows = [(1, 5, 50, 1, 0), (2, 5, 50, 2, 2 ** 12 - 1), (3, 5, 50, 3, 2 ** 25 - 1)]
+    hashes = spark.createDataFrame(rows, "id long, simhash long, n int, root long, second long")
+    assert {tuple(x) for x in line_dedup.near_hashes(hashes).collect()} == {(1, 2)}
+    assert line_dedup.near_hashes(hashes.drop("second")).count() == 3
